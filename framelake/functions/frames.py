@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelake.functions.address import (
-    ip_bytes, ip_to_be, ip_to_le, mac_from_hex, mac_to_bytes, u16_bytes)
+from framelake.functions.address import ip_bytes, ip_to_be, mac_to_bytes, u16_bytes
 
 # Fixed values of the frame format: byte offset and length of each header field.
 LAYOUT = {
@@ -87,45 +86,52 @@ def encode_packets(df: DataFrame, name: str = "frame", checksum: str = "computed
         c("src_port"), c("dst_port"), c("payload"), checksum))
 
 
-def _field(head: Column, name: str) -> Column:
-    """Hex digits of a header field, null when the frame ends before it does."""
+def _field(frame: Column, name: str, value) -> Column:
+    """``value(start, size)`` of a header field, null when the frame ends before it does."""
     start, size = LAYOUT[name]
-    return F.when(F.length(head) >= 2 * (start + size),
-                  F.substring(head, 2 * start + 1, 2 * size))
+    return F.when(F.octet_length(frame) >= start + size, value(start + 1, size))
 
 
-def _number(digits: Column) -> Column:
-    return F.conv(digits, 16, 10).cast("bigint")
+def decode(df: DataFrame, frame: str = "frame") -> DataFrame:
+    """Add every header field, the payload, the frame length and a ``malformed`` flag.
 
+    Each field slices the bytes it needs; fields nobody selects are pruned by the
+    optimizer.
+    """
+    f = F.col(frame)
 
-def _dotted(digits: Column) -> Column:
-    return F.when(digits.isNotNull(), F.concat_ws(".", *[
-        F.conv(F.substring(digits, 2 * i + 1, 2), 16, 10) for i in range(4)]))
+    def number(at: int, size: int) -> Column:
+        return F.conv(F.hex(F.substring(f, at, size)), 16, 10)
 
+    def u16(at: int, size: int) -> Column:
+        return number(at, size).cast("int")
 
-def decode(df: DataFrame, frame: str = "frame") -> DataFrame:
-    """Add every header field, the payload, the frame length and a ``malformed`` flag.
+    def mac(at: int, size: int) -> Column:
+        return F.lower(F.concat_ws(
+            ":", *[F.hex(F.substring(f, i, 1)) for i in range(at, at + size)]))
 
-    The head is turned into hex once; unused fields are pruned by the optimizer.
-    """
-    head = F.hex(F.substring(F.col(frame), 1, HEADER_BYTES))
-    staged = df.withColumn("_head", head)
-    h = F.col("_head")
-    numeric = [n for n in LAYOUT if n not in ("dst_mac", "src_mac", "src_ip", "dst_ip")]
-    src, dst = _dotted(_field(h, "src_ip")), _dotted(_field(h, "dst_ip"))
-    return staged.select(
+    def dotted(at: int, size: int) -> Column:
+        return F.concat_ws(".", *[number(i, 1) for i in range(at, at + size)])
+
+    def low_first(at: int, size: int) -> Column:
+        swapped = F.concat(*[F.substring(f, i, 1) for i in reversed(range(at, at + size))])
+        return F.conv(F.hex(swapped), 16, 10).cast("bigint")
+
+    def high_first(at: int, size: int) -> Column:
+        return number(at, size).cast("bigint")
+
+    shapes = {"dst_mac": mac, "src_mac": mac, "src_ip": dotted, "dst_ip": dotted}
+    return df.select(
         *df.columns,
-        mac_from_hex(_field(h, "dst_mac")).alias("dst_mac"),
-        mac_from_hex(_field(h, "src_mac")).alias("src_mac"),
-        *[_number(_field(h, n)).cast("int").alias(n) for n in numeric],
-        src.alias("src_ip"), dst.alias("dst_ip"),
-        ip_to_le(src).alias("src_ip_le"), ip_to_le(dst).alias("dst_ip_le"),
-        _number(_field(h, "src_ip")).alias("src_ip_be"),
-        _number(_field(h, "dst_ip")).alias("dst_ip_be"),
-        F.when(F.octet_length(frame) >= HEADER_BYTES, F.substring(
-            F.col(frame), HEADER_BYTES + 1, 1 << 30)).alias("payload"),
-        F.octet_length(frame).alias("frame_len"),
-        (F.octet_length(frame) < HEADER_BYTES).alias("malformed"))
+        *[_field(f, n, shapes.get(n, u16)).alias(n) for n in LAYOUT],
+        _field(f, "src_ip", low_first).alias("src_ip_le"),
+        _field(f, "dst_ip", low_first).alias("dst_ip_le"),
+        _field(f, "src_ip", high_first).alias("src_ip_be"),
+        _field(f, "dst_ip", high_first).alias("dst_ip_be"),
+        F.when(F.octet_length(f) >= HEADER_BYTES,
+               F.substring(f, HEADER_BYTES + 1, 1 << 30)).alias("payload"),
+        F.octet_length(f).alias("frame_len"),
+        (F.octet_length(f) < HEADER_BYTES).alias("malformed"))
 
 
 def split_payload(df: DataFrame, header_bytes: int, data_bytes: int,

@@ -37,46 +37,58 @@ OPTIONAL = {
 KEY_WIDTH = 20
 
 
-def _pairs(text: Column, separator: str) -> Column:
-    """Array of (key, value) in text order; comments and keyless lines removed."""
-    lines = F.split(F.replace(text, F.lit("\x00"), F.lit("")), "\r?\n")
-    cleaned = F.transform(lines, lambda s: F.trim(
-        F.regexp_replace(F.regexp_replace(s, "#.*", ""), "[\t\r ]+", " ")))
-    split = F.transform(cleaned, lambda s: F.split(s, separator, 2))
-    named = F.filter(split, lambda p: (F.size(p) == 2) & (F.trim(p[0]) != ""))
-    return F.transform(named, lambda p: F.struct(
-        F.trim(p[0]).alias("key"), F.trim(p[1]).alias("value")))
+# What a header line looks like. A comment needs no blank before it.
+LINE = r"(?m)^[ \t]*([^\s#\x00]+)[ \t]+([^\s#\x00]+)"
 
 
-def key_values(text: Column, separator: str = " ") -> Column:
-    """Map of the header; where a key repeats the first value counts."""
-    pairs = _pairs(text, separator)
-    keys = F.transform(pairs, lambda p: p["key"])
-    first = F.filter(pairs, lambda p, i: F.array_position(keys, p["key"]) == i + 1)
-    return F.map_from_entries(first)
+def _first(text: Column, key: str, separator: str) -> Column:
+    return F.regexp_extract(text, rf"(?m)^[ \t]*{key}{separator}([^\s#\x00]+)", 1)
 
 
-def repeated_keys(text: Column, separator: str = " ") -> Column:
-    keys = F.transform(_pairs(text, separator), lambda p: p["key"])
-    return F.array_sort(F.array_distinct(
-        F.filter(keys, lambda k, i: F.array_position(keys, k) != i + 1)))
+def value_of(text: Column, key: str, separator: str = r"[ \t]+") -> Column:
+    """First value of a key, null when absent. Where a key repeats the first counts."""
+    return F.nullif(_first(text, key, separator), F.lit(""))
 
 
-def _typed(entries: Column, key: str, kind: str) -> Column:
-    value = F.try_element_at(entries, F.lit(key))
-    # The first word is the value; trailing words are ignored, as by a scanner.
-    return value if kind == "string" else F.split(value, " ")[0].try_cast(kind)
+def typed(text: Column, key: str, kind: str) -> Column:
+    if kind == "string":
+        return value_of(text, key)
+    # An absent key extracts as empty text, which casts to null as well.
+    return _first(text, key, r"[ \t]+").try_cast(kind)
+
+
+def keys_of(text: Column) -> Column:
+    """Keys in text order, repetitions included."""
+    return F.regexp_extract_all(text, F.lit(LINE), F.lit(1))
+
+
+def repeated_keys(keys: Column) -> Column:
+    """Keys that occur more than once: equal neighbours after sorting."""
+    ordered = F.array_sort(keys)
+    n = F.size(keys)
+    pairs = F.arrays_zip(
+        F.slice(ordered, F.lit(1), F.greatest(n - 1, F.lit(0))).alias("a"),
+        F.slice(ordered, F.lit(2), F.greatest(n - 1, F.lit(0))).alias("b"))
+    return F.array_distinct(F.transform(
+        F.filter(pairs, lambda p: p["a"] == p["b"]), lambda p: p["a"]))
 
 
 def parse(df: DataFrame, text: str = "header_text") -> DataFrame:
-    """Typed columns (lower-case key names) plus ``extra``, the keys not known here."""
-    staged = df.withColumn("_kv", key_values(F.col(text)))
-    kv = F.col("_kv")
+    """Typed columns, named as the keys in lower case."""
     known = {**REQUIRED, **OPTIONAL}
-    return staged.select(
-        *df.columns,
-        *[_typed(kv, k, kind).alias(k.lower()) for k, kind in known.items()],
-        F.map_filter(kv, lambda k, _: ~k.isin(*known)).alias("extra"))
+    return df.select(
+        *df.columns, *[typed(F.col(text), k, kind).alias(k.lower()) for k, kind in known.items()])
+
+
+def extra(df: DataFrame, text: str = "header_text") -> DataFrame:
+    """Add ``extra``: a map of the keys that have no typed column."""
+    known = [*REQUIRED, *OPTIONAL]
+    staged = df.withColumn("_keys", keys_of(F.col(text))).withColumn(
+        "_values", F.regexp_extract_all(F.col(text), F.lit(LINE), F.lit(2)))
+    entries = F.arrays_zip(F.col("_keys").alias("key"), F.col("_values").alias("value"))
+    first = F.filter(entries, lambda e, i: ~e["key"].isin(known)
+                     & (F.array_position("_keys", e["key"]) == i + 1))
+    return staged.select(*df.columns, F.map_from_entries(first).alias("extra"))
 
 
 def validate(df: DataFrame, text: str = "header_text") -> DataFrame:
@@ -84,14 +96,13 @@ def validate(df: DataFrame, text: str = "header_text") -> DataFrame:
 
     Rows are reported, not dropped: split on ``ok`` to route rejects.
     """
-    staged = df.withColumn("_kv", key_values(F.col(text)))
     missing = F.array_compact(F.array(*[
-        F.when(_typed(F.col("_kv"), k, kind).isNull(), F.lit(k))
-        for k, kind in REQUIRED.items()]))
+        F.when(typed(F.col(text), k, kind).isNull(), F.lit(k)) for k, kind in REQUIRED.items()]))
+    staged = df.withColumn("_missing", missing).withColumn("_keys", keys_of(F.col(text)))
     return staged.select(
-        *df.columns, missing.alias("missing_keys"),
-        repeated_keys(F.col(text)).alias("duplicate_keys"),
-        (F.size(missing) == 0).alias("ok"))
+        *df.columns, F.col("_missing").alias("missing_keys"),
+        repeated_keys(F.col("_keys")).alias("duplicate_keys"),
+        (F.size("_missing") == 0).alias("ok"))
 
 
 def consistency(parsed: DataFrame, pkts_per_block: int) -> DataFrame:

@@ -8,9 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from framelake.session import durable
+
 
 BROADCAST_BYTES = 64 << 20
 SALT_BUCKETS = 16
+# Most records of a per-partition summary that may pass through the driver.
+LOCAL_ROWS = 50_000
 
 
 def _width(field: T.StructField) -> Column:
@@ -51,14 +55,32 @@ def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
             "_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALT_BUCKETS)).cast("int"))
         dim = dim.withColumn("_salt", F.explode(buckets))
         keys = keys + ["_salt"]
-    if not null_safe:
-        return fact.join(dim, keys, how).drop("_salt")
+    if null_safe:
+        return _null_safe(fact, dim, keys, how).drop("_salt")
+    return fact.join(dim, keys, how).drop("_salt")
+
+
+def attach_bounded(fact: DataFrame, side: DataFrame, on: list[str],
+                   max_rows: int = LOCAL_ROWS) -> DataFrame:
+    """Left join, null-safe, of a side expected to hold a record per partition or so.
+
+    Up to ``max_rows`` records pass through the driver and are broadcast; with more,
+    the side is stored and both sides shuffle.
+    """
+    found = side.limit(max_rows + 1).toArrow()
+    if found.num_rows <= max_rows:
+        local = side.sparkSession.createDataFrame(found, side.schema)
+        return _null_safe(fact, F.broadcast(local), on, "left")
+    return _null_safe(fact, durable(side), on, "left")
+
+
+def _null_safe(fact: DataFrame, dim: DataFrame, keys: list[str], how: str) -> DataFrame:
     renamed = dim.select(*[
         F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in dim.columns])
     condition = reduce(
         lambda a, b: a & b,
         [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return fact.join(renamed, condition, how).drop("_salt", *[f"_r_{k}" for k in keys])
+    return fact.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def lookup_with_fallback(fact: DataFrame, dim: DataFrame, key: str, index: str,

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.operators.joins import attach
+from framelake.operators.joins import attach_bounded
 from framelake.session import durable
 
 PART = "_part"
@@ -50,7 +50,7 @@ def positions(df: DataFrame, keys: list[str], order: list[str],
         PART, *keys,
         (F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)) - F.col("_first")).alias("_shift"))
     # One record per (partition, key), so the shuffled form is balanced too.
-    placed = attach(rows, durable(starts), [PART, *keys], "left", null_safe=True)
+    placed = attach_bounded(rows, starts, [PART, *keys])
     return placed.select(*df.columns, (F.col(ROW) + F.col("_shift")).alias(name))
 
 
@@ -70,8 +70,8 @@ def running_sums(df: DataFrame, keys: list[str], order: list[str],
         *[F.sum(v).over(_before(keys)).alias(f"_c{v}") for v in added])
     # Only the first key of a partition can continue an earlier one, so this has
     # at most one row per partition.
-    carried = durable(carried.filter("_i > 1").drop("_i"))
-    joined = attach(local, carried, [PART, *keys], "left", null_safe=True)
+    carried = carried.filter("_i > 1").drop("_i")
+    joined = attach_bounded(local, carried, [PART, *keys])
     return joined.select(*df.columns, *[
         (F.col(f"_l{v}") + F.coalesce(F.col(f"_c{v}"), F.lit(0))).alias(name)
         for v, (name, _) in added.items()])
@@ -85,9 +85,9 @@ def previous(df: DataFrame, keys: list[str], order: list[str],
     inside = Window.partitionBy(PART, *keys).orderBy(ROW)
     local = rows.select(*df.columns, PART, F.lag("_v").over(inside).alias("_p"))
     lasts = rows.groupBy(PART, *keys).agg(F.max_by("_v", ROW).alias("_v"))
-    carried = durable(lasts.select(
+    carried = (lasts.select(
         PART, *keys, F.lag("_v").over(Window.partitionBy(*keys).orderBy(PART)).alias("_c"))
         .filter(F.col("_c").isNotNull()))
-    joined = attach(local, carried, [PART, *keys], "left", null_safe=True)
+    joined = attach_bounded(local, carried, [PART, *keys])
     return joined.select(*df.columns, *[
         F.coalesce(F.col("_p"), F.col("_c")).getField(name).alias(name) for name in values])

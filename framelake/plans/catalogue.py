@@ -103,10 +103,10 @@ def header_render(spark, sf_dir):
              .withColumn("file_size", F.lit(TINY.file_bytes).cast("bigint"))
              .withColumn("mjd_start", timestamps.mjd(started))
              .withColumn("utc_start", timestamps.utc_stamp(started)))
-    text = header.render()
-    return typed.filter(text.isNotNull()).select(
-        "file_id", text.alias("header_text"),
-        F.octet_length(header.pad(text)).alias("header_len"))
+    rendered = typed.filter(F.col("pkt_nbit").isNotNull()).select(
+        "file_id", header.render().alias("header_text"))
+    return rendered.select("file_id", "header_text",
+                           F.octet_length(header.pad(F.col("header_text"))).alias("header_len"))
 
 
 def header_consistency(spark, sf_dir):
@@ -288,9 +288,9 @@ def log_metrics(spark, sf_dir):
 def record_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Write the document packets as recordings: only published blocks, padded."""
     packets = views.document_packets(spark, sf_dir)
-    order = ordered.positions(packets.select("stream_id", "seq"), ["stream_id"], ["seq"])
+    order = ordered.positions(views.document_keys(spark, sf_dir), ["stream_id"], ["seq"])
     name = F.concat_ws("_", "stream_id", F.lpad(F.col("file_id").cast("string"), 8, "0"))
-    placed = session.durable(assemble.published(order, TINY).withColumn("file", name))
+    placed = assemble.published(order, TINY).withColumn("file", name)
     body = placed.join(packets, ["stream_id", "seq"]).select(
         "file", "block_id", "ordinal", "payload")
     started = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")

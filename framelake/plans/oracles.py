@@ -325,9 +325,10 @@ SELECT l_orderkey, "offset", expected, "offset" AS actual FROM z WHERE i = 1""",
          date_diff('hour', TIMESTAMP '2024-01-01', win_start) % 168 = 0 AS starts
   FROM hours),
 r AS (
-  SELECT *, sum(CAST(starts AS INTEGER)) OVER (PARTITION BY file ORDER BY win_start) AS run_id
+  SELECT *, CAST(sum(CAST(starts AS INTEGER)) OVER (PARTITION BY file ORDER BY win_start)
+                 AS BIGINT) AS run_id
   FROM h)
-SELECT file, CAST(run_id AS BIGINT) AS run_id, win_start, 'started' AS kind,
+SELECT file, run_id, win_start, 'started' AS kind,
        CAST(NULL AS BIGINT) AS blocks, CAST(NULL AS DOUBLE) AS fill_pct,
        CAST(NULL AS BIGINT) AS kb, CAST(NULL AS DOUBLE) AS gbps
 FROM r WHERE starts

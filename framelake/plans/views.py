@@ -131,17 +131,36 @@ def layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(8).alias("nbufs"), F.lit(10).alias("blocks_per_file"))
 
 
+DATA = 64
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").filter(F.octet_length("text") > 0)
+
+
+def _seq(doc, chunk):
+    return doc * F.lit(1 << 24) + chunk
+
+
+def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream and sequence number of every document packet, without the bytes."""
+    last = assemble.div(F.octet_length("text").cast("bigint") - 1, DATA)
+    chunk = F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("chunk")
+    return (_documents(spark, sf_dir).select("doc_id", "lang", chunk)
+            .select(F.col("lang").alias("stream_id"),
+                    _seq(F.col("doc_id"), F.col("chunk")).alias("seq")))
+
+
 def document_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut into packets: a 16-byte header (document, chunk) and 64 data bytes,
     the last chunk filled with zero bytes. The language is the stream."""
     raw = F.col("text").cast("binary")
-    starts = F.sequence(F.lit(1), F.octet_length("text"), F.lit(64))
-    pieces = F.transform(starts, lambda at: F.substring(raw, at, F.lit(64)))
-    docs = (table(spark, sf_dir, "documents").filter(F.octet_length("text") > 0)
-            .select("doc_id", "lang", F.posexplode(pieces).alias("chunk", "data")))
+    starts = F.sequence(F.lit(1), F.octet_length("text"), F.lit(DATA))
+    pieces = F.transform(starts, lambda at: F.substring(raw, at, F.lit(DATA)))
+    docs = _documents(spark, sf_dir).select(
+        "doc_id", "lang", F.posexplode(pieces).alias("chunk", "data"))
     head = F.unhex(F.concat(F.lpad(F.hex("doc_id"), 16, "0"),
                             F.lpad(F.hex(F.col("chunk").cast("bigint")), 16, "0")))
     return docs.select(
-        F.col("lang").alias("stream_id"),
-        (F.col("doc_id") * F.lit(1 << 24) + F.col("chunk")).alias("seq"),
-        F.concat(head, F.rpad(F.col("data"), F.lit(64), F.lit(b"\x00"))).alias("payload"))
+        F.col("lang").alias("stream_id"), _seq(F.col("doc_id"), F.col("chunk")).alias("seq"),
+        F.concat(head, F.rpad(F.col("data"), F.lit(DATA), F.lit(b"\x00"))).alias("payload"))

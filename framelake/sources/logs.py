@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.functions.header import key_values
+from framelake.functions.header import value_of
 from framelake.operators import ordered
 
 # Shapes of the log lines.
@@ -72,13 +72,8 @@ def read(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 def parse_snapshot(df: DataFrame, text: str = "value") -> DataFrame:
     """Buffer counters from ``key : value`` text, one snapshot per row."""
-    staged = df.withColumn("_kv", key_values(F.col(text), ":"))
-
-    def count(key: str):
-        raw = F.try_element_at(F.col("_kv"), F.lit(key))
-        return F.split(raw, " ")[0].try_cast("bigint").alias(key)
-
-    return staged.select(
-        *df.columns, F.try_element_at("_kv", F.lit("header_state")).alias("header_state"),
-        count("blocks_in_use"), count("bytes_written"), count("bytes_read"),
-        count("bytes_available"))
+    counters = ("blocks_in_use", "bytes_written", "bytes_read", "bytes_available")
+    found = {k: value_of(F.col(text), k, r"[ \t]*:[ \t]*") for k in ("header_state", *counters)}
+    return df.select(
+        *df.columns, found["header_state"].alias("header_state"),
+        *[found[k].try_cast("bigint").alias(k) for k in counters])

@@ -28,6 +28,8 @@ from framelake.functions.layout import Layout
 SUFFIX = ".rec"
 STAGING = "_staging"
 SPLIT_BYTES = 128 << 20
+# What opening a file counts for when small files are read together.
+OPEN_BYTES = 1 << 20
 # Rows per Arrow batch are chosen so that a batch stays around this size.
 BATCH_BYTES = 8 << 20
 
@@ -60,7 +62,7 @@ def _list(path: str):
 
 
 @dataclass
-class FileRange(InputPartition):
+class FileRange:
     """Blocks ``first`` up to ``last`` of one file."""
 
     path: str
@@ -68,46 +70,69 @@ class FileRange(InputPartition):
     first: int
     last: int
 
-    def __init__(self, path: str, size: int, first: int, last: int):
-        super().__init__(path)
-        self.path, self.size, self.first, self.last = path, size, first, last
+
+class Split(InputPartition):
+    """Ranges read by one task: part of a large file, or several small files."""
+
+    def __init__(self, ranges: list):
+        super().__init__(ranges)
+        self.ranges = ranges
+
+
+def _pack(ranges, weight, limit):
+    """Fill splits up to ``limit`` bytes, counting an opening cost per range."""
+    splits, current, used = [], [], 0
+    for item in ranges:
+        cost = weight(item) + OPEN_BYTES
+        if current and used + cost > limit:
+            splits.append(Split(current))
+            current, used = [], 0
+        current.append(item)
+        used += cost
+    return splits + ([Split(current)] if current else [])
 
 
 class RecordingReader(DataSourceReader):
     """Options: ``path``; ``record`` (packet, block or header); ``block_bytes``,
     ``pkt_size``, ``pkts_per_block`` (packets stored per block, padding excluded);
-    ``blocks`` as "a-b" to read only that range of every file."""
+    ``blocks`` as "a-b" to read only that range of every file; ``split_bytes`` and
+    ``parallelism`` to size the tasks."""
 
     def __init__(self, options):
         self.path = options["path"]
         self.record = options.get("record", "packet")
+        self.split = int(options.get("split_bytes", SPLIT_BYTES))
+        self.parallelism = int(options.get("parallelism", 1))
         if self.record == "header":
             self.block_bytes = int(options.get("block_bytes", 0))
             return
         self.block_bytes = int(options["block_bytes"])
         self.pkt_size = int(options.get("pkt_size", self.block_bytes))
         self.per_block = int(options.get("pkts_per_block", self.block_bytes // self.pkt_size))
-        self.split = int(options.get("split_bytes", SPLIT_BYTES))
         lo, _, hi = options.get("blocks", "").partition("-")
         self.lo = int(lo) if lo else 0
         self.hi = int(hi) + 1 if hi else (self.lo + 1 if lo else None)
 
     def partitions(self):
         _, found = _list(self.path)
+        total = sum(f.size + OPEN_BYTES for f in found)
+        limit = min(self.split, max(OPEN_BYTES, total // self.parallelism))
         if self.record == "header":
-            return [FileRange(f.path, f.size, 0, 0) for f in found]
-        step = max(1, self.split // self.block_bytes)
+            return _pack([FileRange(f.path, f.size, 0, 0) for f in found], lambda r: 0, limit)
+        step = max(1, limit // self.block_bytes)
         ranges = []
         for f in found:
             n = max(0, f.size - HEADER_BYTES) // self.block_bytes
             stop = n if self.hi is None else min(n, self.hi)
             ranges += [FileRange(f.path, f.size, b, min(b + step, stop))
                        for b in range(self.lo, stop, step)]
-        return ranges
+        return _pack(ranges, lambda r: (r.last - r.first) * self.block_bytes, limit)
 
     def read(self, partition):
-        if not isinstance(partition, FileRange):
-            return
+        for item in getattr(partition, "ranges", ()):
+            yield from self._read_range(item)
+
+    def _read_range(self, partition):
         system, _ = _resolve(self.path)
         name = posixpath.basename(partition.path)
         with system.open_input_file(partition.path) as src:
@@ -353,5 +378,6 @@ def read(spark: SparkSession, path: str, layout: Layout, record: str = "packet",
     stored = layout.send_n * (1 if direct else layout.batches_per_block)
     reader = (spark.read.format("recording").option("path", path).option("record", record)
               .option("block_bytes", layout.block_bytes).option("pkt_size", layout.pkt_size)
-              .option("pkts_per_block", stored).option("split_bytes", split_bytes))
+              .option("pkts_per_block", stored).option("split_bytes", split_bytes)
+              .option("parallelism", spark.sparkContext.defaultParallelism))
     return (reader.option("blocks", blocks) if blocks else reader).load()
