@@ -295,15 +295,8 @@ def record_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
         "file", "block_id", "ordinal", "payload")
     started = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
                + F.make_dt_interval(hours=F.col("file_id").cast("int")))
-    fixed = {"nant": 2, "pkt_header": TINY.pkt_header, "pkt_data": TINY.pkt_data, "pkt_nsamp": 8,
-             "pkt_npol": 2, "pkt_nbit": 2}
-    typed = placed.select("file", "file_id").distinct().select(
-        "file", *[F.lit(v).alias(k) for k, v in fixed.items()],
-        F.lit(0.001).alias("pkt_tsamp"), F.lit(80000).cast("bigint").alias("bytes_per_second"),
-        F.lit(TINY.file_bytes).cast("bigint").alias("file_size"),
-        timestamps.mjd(started).alias("mjd_start"),
-        timestamps.utc_stamp(started).alias("utc_start"))
-    heads = typed.select("file", header.pad(header.render()).alias("header"))
+    files = placed.select("file", started.alias("first_ts")).distinct()
+    heads = recording.headers_for(files, views.HEADER_FIELDS, TINY)
     recording.write(body, heads, path, TINY)
 
 

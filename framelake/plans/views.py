@@ -18,6 +18,10 @@ TINY = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=16)
 SMALL_BATCH = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=4)
 ALIGNED = Layout(pkt_header=64, pkt_data=8192, pkts_per_block=16384, send_n=64)
 
+HEADER_FIELDS = {
+    "nant": 2, "pkt_header": 16, "pkt_data": 64, "pkt_nsamp": 8, "pkt_tsamp": 0.001,
+    "pkt_npol": 2, "pkt_nbit": 2, "bytes_per_second": 80000}
+
 SRC_MAC = "02:a2:02:00:02:fa"
 DST_MAC = "10:70:fd:11:e2:e3"
 DST_IP = "10.17.16.11"

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage)
 
+from framelake.functions import header, timestamps
 from framelake.functions.header import HEADER_BYTES
 from framelake.functions.layout import Layout
 
@@ -339,6 +340,18 @@ def file_name(stream_id, first_ts, file_id):
                        F.lpad(file_id.cast("string"), 8, "0"))
 
 
+def headers_for(files: DataFrame, fields: dict, layout: Layout) -> DataFrame:
+    """Header bytes per file, from (file, first_ts) and the fixed header fields by
+    lower-case name. Start stamps come from the first packet of the file."""
+    typed = files.select(
+        "file", *[F.lit(v).alias(k) for k, v in fields.items()],
+        F.lit(layout.file_bytes).cast("bigint").alias("file_size"),
+        timestamps.mjd(F.col("first_ts")).alias("mjd_start"),
+        timestamps.utc_stamp(F.col("first_ts")).alias("utc_start"))
+    text = typed.select("file", header.render(with_version=True).alias("text"))
+    return text.select("file", header.pad(F.col("text")).alias("header"))
+
+
 def slot_order(block_id, nbufs: int):
     """Sort key for dumping by buffer slot instead of by time."""
     return F.pmod(block_id, F.lit(nbufs))

@@ -1,0 +1,167 @@
+"""Keyed state: counting, buffer counters, throttling and packing, one stream per key.
+
+What a key receives in one micro-batch is bounded by the admission limit of the
+source. Only a few numbers per stream are kept between micro-batches.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+
+def _ordered(chunks, columns):
+    """All rows of the call in order; they come in several unordered pieces."""
+    frame = pd.concat(list(chunks), ignore_index=True)
+    return frame.sort_values(columns, kind="stable", ignore_index=True)
+
+
+class _Keyed(StatefulProcessor):
+    """Keeps one tuple per key, ``initial`` until set."""
+
+    schema: str
+    initial: tuple
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("state", self.schema)
+
+    def load(self):
+        return self._state.get() if self._state.exists() else self.initial
+
+    def save(self, *values) -> None:
+        self._state.update(values)
+
+    def close(self) -> None:
+        pass
+
+
+class GroupPackets(_Keyed):
+    """A row for every ``size`` packets. A row flagged ``eod`` releases the rest of the
+    stream as an incomplete group."""
+
+    schema = "count bigint, first_seq bigint, last_seq bigint, last_us bigint"
+    initial = (0, None, None, None)
+    output = ("stream_id string, group_id bigint, n_packets bigint, first_seq bigint, "
+              "last_seq bigint, last_ts timestamp, is_complete boolean")
+
+    def __init__(self, size: int):
+        self.size = size
+
+    def _rows(self, key, groups, complete):
+        return pd.DataFrame({
+            "stream_id": key[0], "group_id": groups.index, "n_packets": groups["n"],
+            "first_seq": groups["first"], "last_seq": groups["last"],
+            "last_ts": pd.to_datetime(groups["us"], unit="us"), "is_complete": complete})
+
+    def handleInputRows(self, key, rows, timerValues):
+        count, first, last, last_us = self.load()
+        frame = _ordered(rows, ["eod", "arrival_ts", "seq"])
+        ended = bool(frame["eod"].any())
+        frame = frame[~frame["eod"]]
+        if len(frame):
+            pos = np.arange(count, count + len(frame))
+            us = frame["arrival_ts"].to_numpy().astype("datetime64[us]").astype("int64")
+            groups = frame.assign(g=pos // self.size, us=us).groupby("g", sort=True).agg(
+                n=("seq", "size"), first=("seq", "first"), last=("seq", "last"), us=("us", "max"))
+            if count % self.size:
+                # The first group was begun in an earlier micro-batch.
+                g = count // self.size
+                groups.loc[g, "n"] += count % self.size
+                groups.loc[g, "first"] = first
+                groups.loc[g, "us"] = max(last_us, int(groups.loc[g, "us"]))
+            count += len(frame)
+            tail = groups.iloc[-1]
+            first, last, last_us = int(tail["first"]), int(tail["last"]), int(tail["us"])
+            full = groups[groups["n"] == self.size]
+            if len(full):
+                yield self._rows(key, full, True)
+        if ended and count % self.size:
+            rest = pd.DataFrame(
+                {"n": [count % self.size], "first": [first], "last": [last], "us": [last_us]},
+                index=[count // self.size])
+            yield self._rows(key, rest, False)
+        self.save(int(count), first, last, last_us)
+
+
+class BufferCounters(_Keyed):
+    """Blocks filled and cleared so far, after every event."""
+
+    schema = "writes bigint, reads bigint"
+    initial = (0, 0)
+    output = ("stream_id string, ts timestamp, kind string, block_id bigint, "
+              "writes bigint, reads bigint")
+
+    def handleInputRows(self, key, rows, timerValues):
+        writes, reads = self.load()
+        frame = pd.concat(list(rows), ignore_index=True)
+        fill = (frame["kind"] == "filled").astype("int64")
+        frame = frame.assign(fill=fill, after=1 - fill).sort_values(
+            ["ts", "after", "block_id"], ignore_index=True)
+        frame["writes"] = writes + frame["fill"].cumsum()
+        frame["reads"] = reads + frame["after"].cumsum()
+        self.save(int(frame["writes"].iloc[-1]), int(frame["reads"].iloc[-1]))
+        yield frame[["stream_id", "ts", "kind", "block_id", "writes", "reads"]]
+
+
+class Throttle(_Keyed):
+    """Rows at least ``seconds`` after the last one let through; whole seconds count."""
+
+    schema = "last bigint"
+    initial = (None,)
+
+    def __init__(self, seconds: int, columns: list[str], order: list[str]):
+        self.seconds = seconds
+        self.columns = columns
+        self.order = order
+
+    def handleInputRows(self, key, rows, timerValues):
+        (last,) = self.load()
+        frame = _ordered(rows, self.order)
+        times = frame["ts"].to_numpy().astype("datetime64[s]").astype("int64")
+        keep, at = [], 0
+        while at < len(times):
+            if last is not None:
+                at = at + int(np.searchsorted(times[at:], last + self.seconds))
+                if at >= len(times):
+                    break
+            keep.append(at)
+            last = int(times[at])
+            at += 1
+        self.save(last)
+        if keep:
+            yield frame.iloc[keep][self.columns]
+
+
+class PackRecords(_Keyed):
+    """Blocks of records of varying length, each sent on when the next one opens. A row
+    flagged ``eod`` sends on the open block too."""
+
+    schema = "block_id bigint, used bigint, n bigint"
+    initial = (0, 0, 0)
+    output = "stream_id string, block_id bigint, n_records bigint, used_bytes bigint"
+
+    def __init__(self, capacity: int, order: list[str]):
+        self.capacity = capacity
+        self.order = order
+
+    def handleInputRows(self, key, rows, timerValues):
+        block, used, n = self.load()
+        frame = _ordered(rows, ["eod", *self.order])
+        ended = bool(frame["eod"].any())
+        ends = np.concatenate([[0], np.cumsum(frame.loc[~frame["eod"], "size"].to_numpy("int64"))])
+        at, total, out = 0, len(ends) - 1, []
+        while at < total:
+            # How far the open block reaches.
+            stop = int(np.searchsorted(ends, ends[at] + self.capacity - used, side="right")) - 1
+            used, n = used + int(ends[stop] - ends[at]), n + stop - at
+            at = stop
+            if at < total:
+                out.append((key[0], block, n, used))
+                block, used, n = block + 1, 0, 0
+        if ended and n:
+            out.append((key[0], block, n, used))
+            block, used, n = block + 1, 0, 0
+        self.save(block, used, n)
+        if out:
+            yield pd.DataFrame(out, columns=["stream_id", "block_id", "n_records", "used_bytes"])
