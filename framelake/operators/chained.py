@@ -247,10 +247,11 @@ def pack_variable(records: DataFrame, capacity: int, stream: str, order: list[st
 
     One row per block: its records, the bytes used and the bytes left over.
     Records longer than a block cannot be placed; get them from :func:`unpackable`.
+    ``order`` may name the length column.
     """
     usable = records.filter(F.col(length).between(0, capacity)).select(
         stream, *[c for c in order if c != stream], F.col(length).cast("bigint").alias("_size"))
-    rows = lay_out(usable, [stream], order)
+    rows = lay_out(usable, [stream], order).select(stream, PART, ROW, "_size")
     ddl = f"{_key_type(rows, [stream])}, block_id bigint, n bigint, used bigint"
 
     def finish(group, chosen, before):
@@ -262,8 +263,7 @@ def pack_variable(records: DataFrame, capacity: int, stream: str, order: list[st
         return out.groupby([stream, "block_id"], as_index=False, dropna=False).agg(
             n=("size", "size"), used=("size", "sum"))
 
-    slices = _scan(rows.select(stream, PART, ROW, "_size"), [stream], "_size",
-                   Packing(capacity), finish, ddl)
+    slices = _scan(rows, [stream], "_size", Packing(capacity), finish, ddl)
     # A block may straddle slices: add its parts up.
     return slices.groupBy(stream, "block_id").agg(
         F.sum("n").alias("n_records"), F.sum("used").alias("used_bytes")).withColumn(

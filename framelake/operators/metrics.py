@@ -144,15 +144,22 @@ def dwell(log: DataFrame) -> DataFrame:
 def offset_gaps(extents: DataFrame, key: str, first_only: bool = True) -> DataFrame:
     """Extents that do not start where the one before them ended.
 
-    Needs ``offset`` and ``length``; reports every break or the first per key.
+    Needs ``offset`` and ``length``; reports the first break per key, or every
+    distinct break with the number of times it occurs. Equal extents are counted
+    before the sort, so that a key with many copies shrinks map-side: each copy
+    after the first breaks against its twin.
     """
-    seen = ordered.previous(extents.select(key, "offset", "length"), [key],
-                            ["offset", "length"],
-                            {"expected": F.col("offset") + F.col("length")})
-    breaks = (seen.filter(F.col("expected") != F.col("offset"))
-              .select(key, "offset", "expected", F.col("offset").alias("actual")))
+    distinct = extents.groupBy(key, "offset", "length").agg(F.count(F.lit(1)).alias("_n"))
+    end = F.col("offset") + F.col("length")
+    seen = ordered.previous(distinct, [key], ["offset", "length"], {"_end": end})
+    candidates = F.array(
+        F.struct(F.col("_end").alias("expected"), F.lit(1).cast("bigint").alias("times")),
+        F.struct(end.alias("expected"), (F.col("_n") - 1).alias("times")))
+    breaks = (seen.select(key, "offset", F.explode(candidates).alias("_c"))
+              .select(key, "offset", "_c.expected", "_c.times")
+              .filter((F.col("times") > 0) & (F.col("expected") != F.col("offset"))))
     if not first_only:
-        return breaks
-    return (breaks.groupBy(key)
-            .agg(F.min(F.struct("offset", "expected", "actual")).alias("_b"))
-            .select(key, "_b.offset", "_b.expected", "_b.actual"))
+        return breaks.groupBy(key, "offset", "expected").agg(
+            F.sum("times").alias("times")).withColumn("actual", F.col("offset"))
+    return (breaks.groupBy(key).agg(F.min(F.struct("offset", "expected")).alias("_b"))
+            .select(key, "_b.offset", "_b.expected", F.col("_b.offset").alias("actual")))

@@ -6,7 +6,8 @@ partitions, each numbered in place and frozen on shared storage. What a partitio
 needs to know about the ones before it (how many rows, what running total, which
 last row) is one small record per partition and key.
 
-``order`` must be a total order within a key, or tie only on interchangeable rows.
+``order`` must be a total order within a key, or tie only on rows that are
+interchangeable and few: equal rows cannot be told apart and share one partition.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.operators.joins import attach_bounded
-from framelake.session import durable
+from framelake.session import durable, wide_enough
 
 PART = "_part"
 ROW = "_row"
@@ -31,8 +32,9 @@ def lay_out(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     columns = [*keys, *order]
     numbered = (df.repartitionByRange(*columns).sortWithinPartitions(*columns)
                 .withColumn(ROW, F.monotonically_increasing_id()))
-    # monotonically_increasing_id keeps the partition number in its upper bits.
-    return durable(numbered.withColumn(PART, F.shiftright(F.col(ROW), 33)))
+    with wide_enough(df):
+        # monotonically_increasing_id keeps the partition number in its upper bits.
+        return durable(numbered.withColumn(PART, F.shiftright(F.col(ROW), 33)))
 
 
 def _before(keys: list[str]):

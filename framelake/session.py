@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import os
 import tempfile
@@ -32,7 +33,7 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 128 <<
     AQE can merge partitions at run time but cannot add any, so a large job has
     to start wide.
     """
-    return max(2 * cores, math.ceil(input_bytes / target_bytes))
+    return max(2 * cores, math.ceil(input_bytes / target_bytes), 1)
 
 
 def build(app: str, master: str | None = None, cores: int = 8, input_bytes: int = 0,
@@ -50,6 +51,33 @@ def build(app: str, master: str | None = None, cores: int = 8, input_bytes: int
     return builder.getOrCreate()
 
 
+INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+@contextlib.contextmanager
+def wide_enough(df: DataFrame, limit: int = 10_000):
+    """Start the shuffles of an eager job wide enough for the optimizer's size estimate
+    of ``df``. AQE merges what turns out too small, so only a floor is set, and a
+    width already configured higher stays."""
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = spark.conf.get(INITIAL, None)
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    # Tables without statistics, such as local rows, report an absurd size.
+    wanted = min(limit, shuffle_partitions(estimate, 0)) if estimate < 1 << 60 else 0
+    if wanted <= max(configured, int(before or 0)):
+        yield
+        return
+    spark.conf.set(INITIAL, str(wanted))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL)
+        else:
+            spark.conf.set(INITIAL, before)
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Stamps and MJD are defined in UTC; make the session agree."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":

@@ -29,6 +29,8 @@ from framelake.functions.layout import Layout
 SUFFIX = ".rec"
 STAGING = "_staging"
 SPLIT_BYTES = 128 << 20
+# Recording bytes written by one task, at least one file.
+TASK_BYTES = 1 << 30
 # What opening a file counts for when small files are read together.
 OPEN_BYTES = 1 << 20
 # Rows per Arrow batch are chosen so that a batch stays around this size.
@@ -41,7 +43,7 @@ READ_SCHEMAS = {
 }
 
 
-def _resolve(path: str):
+def resolve(path: str):
     """File system and path. Local paths and URIs (hdfs, s3, gs) alike."""
     if "://" in path or path.startswith("file:"):
         return fs.FileSystem.from_uri(path)
@@ -51,7 +53,7 @@ def _resolve(path: str):
 def _list(path: str):
     """Recordings under a folder, or the one file given. Lists instead of globbing:
     file names may contain colons."""
-    system, root = _resolve(path)
+    system, root = resolve(path)
     info = system.get_file_info(root)
     if info.type == fs.FileType.File:
         return system, [info]
@@ -134,7 +136,7 @@ class RecordingReader(DataSourceReader):
             yield from self._read_range(item)
 
     def _read_range(self, partition):
-        system, _ = _resolve(self.path)
+        system, _ = resolve(self.path)
         name = posixpath.basename(partition.path)
         with system.open_input_file(partition.path) as src:
             if self.record == "header":
@@ -230,7 +232,7 @@ class RecordingWriter(DataSourceArrowWriter):
         self.block_bytes = int(options["block_bytes"])
         self.overwrite = overwrite
         self.job = uuid.uuid4().hex
-        system, root = _resolve(self.path)
+        system, root = resolve(self.path)
         if not overwrite and options.get("if_exists", "keep") == "error" and _list(self.path)[1]:
             raise FileExistsError(root)
 
@@ -238,7 +240,7 @@ class RecordingWriter(DataSourceArrowWriter):
         return posixpath.join(root, f"{STAGING}-{self.job}")
 
     def write(self, iterator):
-        system, root = _resolve(self.path)
+        system, root = resolve(self.path)
         folder = posixpath.join(self._staging(root), uuid.uuid4().hex)
         system.create_dir(folder, recursive=True)
         moves, state = [], {"file": None, "out": None, "block": None, "used": 0}
@@ -291,7 +293,7 @@ class RecordingWriter(DataSourceArrowWriter):
         return Written(moves)
 
     def commit(self, messages):
-        system, root = _resolve(self.path)
+        system, root = resolve(self.path)
         moves = [move for m in messages if m is not None for move in m.moves]
         targets = {target for _, target in moves}
         if len(targets) != len(moves):
@@ -307,7 +309,7 @@ class RecordingWriter(DataSourceArrowWriter):
         self._drop_staging(system, root)
 
     def abort(self, messages):
-        system, root = _resolve(self.path)
+        system, root = resolve(self.path)
         self._drop_staging(system, root)
 
     def _drop_staging(self, system, root):
@@ -378,7 +380,11 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
             .otherwise(slot_order(F.col("block_id"), layout.nbufs)))
     order = ["file", slot, "block_id", "ordinal"] if order_by == "slot" else [
         "file", "block_id", "ordinal"]
-    (rows.unionByName(heads).repartition("file").sortWithinPartitions(*order)
+    spread = packets.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    parts = -(-heads.count() * layout.file_bytes // TASK_BYTES)
+    both = rows.unionByName(heads)
+    moved = both.repartition(parts, "file") if parts > int(spread) else both.repartition("file")
+    (moved.sortWithinPartitions(*order)
      .write.format("recording").mode(mode)
      .option("path", path).option("block_bytes", layout.block_bytes).save())
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import posixpath
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,16 +38,28 @@ class RollOver:
         spark.createDataFrame([], "stream_id string, total bigint").write.mode(
             "overwrite").parquet(f"{self._ledger}/batch=-1")
 
-    def _totals(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        entries = (spark.read.schema("stream_id string, total bigint, batch bigint")
-                   .parquet(self._ledger))
-        if before is not None:
-            entries = entries.filter(F.col("batch") < before)
-        return entries.groupBy("stream_id").agg(F.max("total").alias("total"))
+    def _entry(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Packets per stream up to and including a micro-batch."""
+        return spark.read.parquet(f"{self._ledger}/batch={batch_id}")
+
+    def _last_batch(self) -> int:
+        system, root = recording.resolve(self._ledger)
+        names = (f.base_name for f in system.get_file_info(fs.FileSelector(root)))
+        return max(int(n.split("=")[1]) for n in names if n.startswith("batch="))
 
     def __call__(self, packets: DataFrame, batch_id: int) -> None:
+        # Several passes follow; a lost executor recomputes its share from the source.
+        packets = packets.persist()
+        try:
+            self._append(packets, batch_id)
+        finally:
+            packets.unpersist()
+
+    def _append(self, packets: DataFrame, batch_id: int) -> None:
         spark = packets.sparkSession
-        earlier = self._totals(spark, batch_id)
+        # Micro-batches are numbered without gaps, and one starts only after the one
+        # before it was committed.
+        earlier = self._entry(spark, batch_id - 1)
         numbered = assemble.position(packets.select("stream_id", "arrival_ts", "seq"))
         shifted = attach(numbered, earlier, ["stream_id"], "left", spread_by=["seq"],
                          null_safe=True).select(
@@ -56,12 +69,12 @@ class RollOver:
         (staged.withColumn("file_id", assemble.div(F.col("pos"), self.per_file))
          .write.mode("overwrite").partitionBy("file_id")
          .parquet(f"{self._staged}/batch={batch_id}"))
-        (shifted.groupBy("stream_id").agg((F.max("pos") + 1).alias("total"))
+        here = shifted.groupBy("stream_id").agg((F.max("pos") + 1).alias("total"))
+        (earlier.unionByName(here).groupBy("stream_id").agg(F.max("total").alias("total"))
          .write.mode("overwrite").parquet(f"{self._ledger}/batch={batch_id}"))
-        now = self._totals(spark, batch_id + 1)
         before = earlier.withColumnRenamed("total", "_before")
-        ready = now.join(before, "stream_id", "left").select(
-            "stream_id",
+        ready = self._entry(spark, batch_id).join(before, "stream_id", "left").select(
+            "stream_id", "total",
             assemble.div(F.coalesce("_before", F.lit(0)), self.per_file).alias("_from"),
             assemble.div(F.col("total"), self.per_file).alias("_to"))
         self._record(spark, ready.filter("_from < _to"))
@@ -69,10 +82,9 @@ class RollOver:
     def finish(self, spark: SparkSession) -> None:
         """End of data: record the last, partial file of every stream. Blocks that were
         not filled stay out."""
-        last = self._totals(spark).select(
-            "stream_id", assemble.div(F.col("total"), self.per_file).alias("_from"),
-            (assemble.div(F.col("total"), self.per_file) + 1).alias("_to"))
-        self._record(spark, last)
+        last = assemble.div(F.col("total"), self.per_file)
+        self._record(spark, self._entry(spark, self._last_batch()).select(
+            "stream_id", "total", last.alias("_from"), (last + 1).alias("_to")))
 
     def _record(self, spark: SparkSession, wanted: DataFrame) -> None:
         """Write the files numbered ``_from`` up to ``_to`` of each stream."""
@@ -84,10 +96,8 @@ class RollOver:
                 .filter((F.col("file_id") >= span["lo"]) & (F.col("file_id") < span["hi"])))
         chosen = attach(near, wanted, ["stream_id"], "inner", spread_by=["seq"]).filter(
             (F.col("file_id") >= F.col("_from")) & (F.col("file_id") < F.col("_to")))
-        totals = self._totals(spark)
-        full = attach(chosen, totals, ["stream_id"], "inner", spread_by=["seq"]).filter(
-            assemble.div(F.col("pos"), self.per_block)
-            < assemble.div(F.col("total"), self.per_block))
+        full = chosen.filter(assemble.div(F.col("pos"), self.per_block)
+                             < assemble.div(F.col("total"), self.per_block))
         named = full.groupBy("stream_id", "file_id").agg(F.min("arrival_ts").alias("first_ts"))
         named = named.withColumn("file", recording.file_name(
             F.col("stream_id"), F.col("first_ts"), F.col("file_id")))

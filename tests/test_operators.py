@@ -206,10 +206,18 @@ def test_every_offset_break(spread):
     extents = [("f", 0, 10), ("f", 10, 5), ("f", 20, 5), ("f", 25, 5), ("f", 31, 1), ("g", 7, 1)]
     df = spread.createDataFrame(extents, "key string, offset bigint, length bigint")
     every = metrics.offset_gaps(df, "key", first_only=False).orderBy("offset").collect()
-    assert [(r["offset"], r["expected"]) for r in every] == [(20, 15), (31, 30)]
+    assert [(r["offset"], r["expected"], r["times"]) for r in every] == [(20, 15, 1), (31, 30, 1)]
     assert metrics.offset_gaps(df, "key").count() == 1
 
 
+def test_offset_breaks_between_copies(spread):
+    extents = [("f", 0, 10)] * 500 + [("f", 10, 5), ("g", 0, 0), ("g", 0, 0), ("g", 0, 3)]
+    df = spread.createDataFrame(extents, "key string, offset bigint, length bigint")
+    every = metrics.offset_gaps(df, "key", first_only=False).collect()
+    assert [(r["key"], r["offset"], r["expected"], r["times"]) for r in every] == [("f", 0, 10, 499)]
+    assert metrics.offset_gaps(df, "key").collect()[0]["expected"] == 10
+
+
 def test_large_dimension_is_salted(spark):
     fact = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 > 0, 1).otherwise(
         F.col("id")).alias("k"))
