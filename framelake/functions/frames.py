@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelake.functions.address import ip_bytes, ip_to_be, mac_to_bytes, u16_bytes
+from framelake.functions.address import (
+    ip_to_be, mac_from_bytes, mac_to_bytes, packed_bytes, u16_bytes)
 
 # Fixed values of the frame format: byte offset and length of each header field.
 LAYOUT = {
@@ -72,10 +73,10 @@ def encode(dst_mac: Column, src_mac: Column, eth_type: Column, src_ip: Column, d
         raise ValueError(f"unknown checksum mode {checksum!r}")
     return F.concat(
         mac_to_bytes(dst_mac), mac_to_bytes(src_mac), u16_bytes(eth_type),
-        u16_bytes(F.lit(IP_VERSION_TOS)), u16_bytes(ip_len),
-        u16_bytes(F.lit(IP_ID)), u16_bytes(F.lit(IP_FLAGS)), u16_bytes(F.lit(IP_TTL_PROTO)),
-        u16_bytes(check), ip_bytes(src_ip), ip_bytes(dst_ip),
-        u16_bytes(src_port), u16_bytes(dst_port), u16_bytes(udp_len), u16_bytes(F.lit(0)),
+        packed_bytes((F.lit(IP_VERSION_TOS), 2), (ip_len, 2), (F.lit(IP_ID), 2), (F.lit(IP_FLAGS), 2)),
+        packed_bytes((F.lit(IP_TTL_PROTO), 2), (check, 2), (ip_to_be(src_ip), 4)),
+        packed_bytes((ip_to_be(dst_ip), 4)),
+        packed_bytes((src_port, 2), (dst_port, 2), (udp_len, 2), (F.lit(0), 2)),
         payload)
 
 
@@ -107,8 +108,7 @@ def decode(df: DataFrame, frame: str = "frame") -> DataFrame:
         return number(at, size).cast("int")
 
     def mac(at: int, size: int) -> Column:
-        return F.lower(F.concat_ws(
-            ":", *[F.hex(F.substring(f, i, 1)) for i in range(at, at + size)]))
+        return mac_from_bytes(f, at)
 
     def dotted(at: int, size: int) -> Column:
         return F.concat_ws(".", *[number(i, 1) for i in range(at, at + size)])

@@ -96,8 +96,9 @@ def validate(df: DataFrame, text: str = "header_text") -> DataFrame:
 
     Rows are reported, not dropped: split on ``ok`` to route rejects.
     """
-    missing = F.array_compact(F.array(*[
-        F.when(typed(F.col(text), k, kind).isNull(), F.lit(k)) for k, kind in REQUIRED.items()]))
+    missing = F.array_remove(F.array(*[
+        F.when(typed(F.col(text), k, kind).isNull(), F.lit(k)).otherwise("")
+        for k, kind in REQUIRED.items()]), "")
     staged = df.withColumn("_missing", missing).withColumn("_keys", keys_of(F.col(text)))
     return staged.select(
         *df.columns, F.col("_missing").alias("missing_keys"),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framelake.functions.layout import Layout
 from framelake.functions.timestamps import gbps, percent, whole_kb
 from framelake.operators import ordered
+from framelake.session import durable
 
 # Windows generated per row when empty intervals are filled in.
 FILL_CHUNK = 4096
@@ -47,10 +48,12 @@ def throughput(packets: DataFrame, layout: Layout, seconds: int, stream: str = "
                ts: str = "arrival_ts") -> DataFrame:
     """Packets, KB and Gbps per aligned window; idle windows appear with zeros.
 
-    The filler rows join the counts through one more aggregation instead of a
-    join: a window's count is the sum of its zero and its activity.
+    The counts, small next to the packets, are stored, so that the packets are read
+    once although the counts are used twice. The filler rows meet them in an
+    aggregation instead of a join: a window's count is the sum of its zero and its
+    activity.
     """
-    active = active_windows(packets, seconds, stream, ts)
+    active = durable(active_windows(packets, seconds, stream, ts))
     filler = all_windows(active, seconds, stream).withColumn("packets", F.lit(0).cast("bigint"))
     merged = (active.unionByName(filler).groupBy(stream, "win_start")
               .agg(F.sum("packets").alias("packets")))

@@ -55,7 +55,7 @@ def ip_codec(spark, sf_dir):
 
 def mac_codec(spark, sf_dir):
     number = F.col("event_id") * F.lit(2654435761) % F.lit(1 << 48)
-    text = address.mac_from_hex(F.lpad(F.hex(number), 12, "0"))
+    text = address.mac_from_bytes(address.packed_bytes((number, 6)))
     raw = address.mac_to_bytes(F.col("mac"))
     return (views.table(spark, sf_dir, "events")
             .select(F.col("event_id").alias("seq"), text.alias("mac"))
