@@ -55,27 +55,32 @@ INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 @contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the duration of one eager job."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def wide_enough(df: DataFrame, limit: int = 10_000):
     """Start the shuffles of an eager job wide enough for the optimizer's size estimate
     of ``df``. AQE merges what turns out too small, so only a floor is set, and a
     width already configured higher stays."""
     spark = df.sparkSession
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    before = spark.conf.get(INITIAL, None)
+    before = int(spark.conf.get(INITIAL, None) or 0)
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     # Tables without statistics, such as local rows, report an absurd size.
     wanted = min(limit, shuffle_partitions(estimate, 0)) if estimate < 1 << 60 else 0
-    if wanted <= max(configured, int(before or 0)):
-        yield
-        return
-    spark.conf.set(INITIAL, str(wanted))
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(INITIAL)
-        else:
-            spark.conf.set(INITIAL, before)
+    return settings(spark, {INITIAL: str(wanted)} if wanted > max(configured, before) else {})
 
 
 def pin_utc(spark: SparkSession) -> None:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions import frames
-from framelake.functions.address import ip_to_le
 
 PACKET_SCHEMA = T.StructType([
     T.StructField("stream_id", T.StringType()),
@@ -36,12 +35,22 @@ def follow(spark: SparkSession, path: str, schema: T.StructType = PACKET_SCHEMA,
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
 
 
-def land(raw: DataFrame, path: str, frame: str = "frame", mode: str = "append") -> None:
+def land(raw: DataFrame, path: str, frame: str = "frame", mode: str = "append",
+         by_day: bool = False) -> None:
     """Store raw frames with their decoded flow fields next to them, so that flow
-    filters are pushed to the scan. The day of arrival partitions the table."""
+    filters are pushed to the scan.
+
+    Captures come in time order, so row-group statistics already prune by time and
+    nothing is shuffled. ``by_day`` also splits the table by day of arrival; rows then
+    move once, rebalanced so that a busy day takes several files and a quiet one no
+    more than it needs.
+    """
     decoded = frames.decode(raw, frame).select(
         *raw.columns, "src_mac", "dst_mac", "eth_type", "src_ip", "dst_ip",
-        ip_to_le(F.col("src_ip")).alias("src_ip_le"), ip_to_le(F.col("dst_ip")).alias("dst_ip_le"),
-        "src_port", "dst_port", "payload", "frame_len", "malformed")
+        "src_ip_le", "dst_ip_le", "src_port", "dst_port", "payload", "frame_len", "malformed")
+    if not by_day:
+        decoded.write.mode(mode).parquet(path)
+        return
     (decoded.withColumn("arrival_day", F.to_date("arrival_ts"))
+     .hint("rebalance", "arrival_day")
      .write.mode(mode).partitionBy("arrival_day").parquet(path))

@@ -25,6 +25,7 @@ from pyspark.sql.datasource import (
 from framelake.functions import header, timestamps
 from framelake.functions.header import HEADER_BYTES
 from framelake.functions.layout import Layout
+from framelake.session import settings
 
 SUFFIX = ".rec"
 STAGING = "_staging"
@@ -384,9 +385,12 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
     parts = -(-heads.count() * layout.file_bytes // TASK_BYTES)
     both = rows.unionByName(heads)
     moved = both.repartition(parts, "file") if parts > int(spread) else both.repartition("file")
-    (moved.sortWithinPartitions(*order)
-     .write.format("recording").mode(mode)
-     .option("path", path).option("block_bytes", layout.block_bytes).save())
+    rows_per_batch = max(1, BATCH_BYTES // layout.pkt_size)
+    with settings(packets.sparkSession, {
+            "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_batch)}):
+        (moved.sortWithinPartitions(*order)
+         .write.format("recording").mode(mode)
+         .option("path", path).option("block_bytes", layout.block_bytes).save())
 
 
 def read(spark: SparkSession, path: str, layout: Layout, record: str = "packet",

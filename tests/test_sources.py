@@ -167,11 +167,12 @@ def test_snapshot_text(spark):
     assert list(row)[1:] == ["filled", 3, 10485760, 10485760, 8373657600]
 
 
-def test_landed_frames_prune(spark, sf, tmp_path):
+@pytest.mark.parametrize("by_day", [False, True])
+def test_landed_frames_prune(spark, sf, tmp_path, by_day):
     path = str(tmp_path / "land")
     framed = frames.encode_packets(views.packets(spark, sf)).select(
         "stream_id", "seq", "arrival_ts", "frame")
-    packets.land(framed, path)
+    packets.land(framed, path, by_day=by_day)
     landed = packets.read(spark, path)
     want = flows.match(views.packets(spark, sf), views.ONE_RULE).count()
     found = flows.match(landed, views.ONE_RULE)
