@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import posixpath
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,18 +21,20 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
-    DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage)
+    DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, GreaterThan,
+    GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, WriterCommitMessage)
 
 from framelake.functions import header, timestamps
 from framelake.functions.header import HEADER_BYTES
 from framelake.functions.layout import Layout
-from framelake.session import settings
+from framelake.session import durable, settings
 
 SUFFIX = ".rec"
 STAGING = "_staging"
 SPLIT_BYTES = 128 << 20
 # Recording bytes written by one task, at least one file.
 TASK_BYTES = 1 << 30
+COMMIT_THREADS = 16
 # What opening a file counts for when small files are read together.
 OPEN_BYTES = 1 << 20
 # Rows per Arrow batch are chosen so that a batch stays around this size.
@@ -199,6 +202,41 @@ class Written(WriterCommitMessage):
     moves: list
 
 
+class PushdownReader(RecordingReader):
+    """Drops files and blocks that filters on ``file`` and ``block_index`` exclude.
+
+    Every filter is handed back, so that Spark still checks each row; only the ranges
+    to read get narrower.
+    """
+
+    def __init__(self, options):
+        super().__init__(options)
+        self.names = None
+
+    def pushFilters(self, filters):
+        for f in filters:
+            column, value = getattr(f, "attribute", None), getattr(f, "value", None)
+            if column == ("file",) and isinstance(f, (EqualTo, In)):
+                names = {value} if isinstance(f, EqualTo) else set(value)
+                self.names = names if self.names is None else self.names & names
+            elif column == ("block_index",) and self.record != "header":
+                if isinstance(f, (EqualTo, GreaterThanOrEqual, GreaterThan)):
+                    self.lo = max(self.lo, value + isinstance(f, GreaterThan))
+                if isinstance(f, (EqualTo, LessThanOrEqual, LessThan)):
+                    stop = value + (not isinstance(f, LessThan))
+                    self.hi = stop if self.hi is None else min(self.hi, stop)
+            yield f
+
+    def partitions(self):
+        if self.names is None:
+            return super().partitions()
+        kept = []
+        for split in super().partitions():
+            ranges = [r for r in split.ranges if posixpath.basename(r.path) in self.names]
+            kept += [Split(ranges)] if ranges else []
+        return kept
+
+
 def _runs(files, blocks):
     """Ranges of consecutive rows with the same file and block."""
     if len(blocks) == 0:
@@ -303,10 +341,16 @@ class RecordingWriter(DataSourceArrowWriter):
             for f in _list(self.path)[1]:
                 if f.path not in targets:
                     system.delete_file(f.path)
-        for staged, target in moves:
+
+        def place(move):
+            staged, target = move
             if system.get_file_info(target).type == fs.FileType.File:
                 system.delete_file(target)
             system.move(staged, target)
+
+        # Renames wait on the storage, not on the driver.
+        with ThreadPoolExecutor(COMMIT_THREADS) as pool:
+            list(pool.map(place, moves))
         self._drop_staging(system, root)
 
     def abort(self, messages):
@@ -327,7 +371,9 @@ class RecordingSource(DataSource):
         return READ_SCHEMAS[self.options.get("record", "packet")]
 
     def reader(self, schema):
-        return RecordingReader(dict(self.options))
+        # Spark refuses a reader with pushFilters unless its setting is on.
+        pushing = self.options.get("push_filters") == "true"
+        return (PushdownReader if pushing else RecordingReader)(dict(self.options))
 
     def writer(self, schema, overwrite):
         return RecordingWriter(dict(self.options), overwrite)
@@ -381,6 +427,7 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
             .otherwise(slot_order(F.col("block_id"), layout.nbufs)))
     order = ["file", slot, "block_id", "ordinal"] if order_by == "slot" else [
         "file", "block_id", "ordinal"]
+    heads = durable(heads)
     spread = packets.sparkSession.conf.get("spark.sql.shuffle.partitions")
     parts = -(-heads.count() * layout.file_bytes // TASK_BYTES)
     both = rows.unionByName(heads)
@@ -396,11 +443,17 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
 def read(spark: SparkSession, path: str, layout: Layout, record: str = "packet",
          direct: bool = False, blocks: str | None = None,
          split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Packets, blocks or headers of all recordings under ``path``."""
+    """Packets, blocks or headers of all recordings under ``path``.
+
+    Filters on ``file`` and ``block_index`` limit what is read when the session has
+    ``spark.sql.python.filterPushdown.enabled`` on; ``blocks`` does so always.
+    """
     register(spark)
+    pushing = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     stored = layout.send_n * (1 if direct else layout.batches_per_block)
     reader = (spark.read.format("recording").option("path", path).option("record", record)
               .option("block_bytes", layout.block_bytes).option("pkt_size", layout.pkt_size)
               .option("pkts_per_block", stored).option("split_bytes", split_bytes)
-              .option("parallelism", spark.sparkContext.defaultParallelism))
+              .option("parallelism", spark.sparkContext.defaultParallelism)
+              .option("push_filters", pushing))
     return (reader.option("blocks", blocks) if blocks else reader).load()

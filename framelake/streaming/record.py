@@ -22,6 +22,12 @@ from framelake.operators.joins import attach
 from framelake.sources import recording
 
 
+def _folder(stream_id):
+    """Folder name for a stream, whatever characters its id has. The leading letter
+    keeps partition discovery from taking it for a number."""
+    return F.concat(F.lit("s"), F.md5(F.coalesce(stream_id, F.lit("")).cast("binary")))
+
+
 class RollOver:
     """``foreachBatch`` target. ``root`` is a shared folder: recordings under
     ``files``, staged packets and the ledger beside them."""
@@ -60,14 +66,16 @@ class RollOver:
         # Micro-batches are numbered without gaps, and one starts only after the one
         # before it was committed.
         earlier = self._entry(spark, batch_id - 1)
+        self._sweep(spark, earlier)
         numbered = assemble.position(packets.select("stream_id", "arrival_ts", "seq"))
         shifted = attach(numbered, earlier, ["stream_id"], "left", spread_by=["seq"],
                          null_safe=True).select(
             "stream_id", "seq", "arrival_ts",
             (F.col("pos") + F.coalesce("total", F.lit(0))).alias("pos"))
         staged = shifted.join(packets.select("stream_id", "seq", "payload"), ["stream_id", "seq"])
-        (staged.withColumn("file_id", assemble.div(F.col("pos"), self.per_file))
-         .write.mode("overwrite").partitionBy("file_id")
+        (staged.withColumn("stream_key", _folder(F.col("stream_id")))
+         .withColumn("file_id", assemble.div(F.col("pos"), self.per_file))
+         .write.mode("overwrite").partitionBy("stream_key", "file_id")
          .parquet(f"{self._staged}/batch={batch_id}"))
         here = shifted.groupBy("stream_id").agg((F.max("pos") + 1).alias("total"))
         (earlier.unionByName(here).groupBy("stream_id").agg(F.max("total").alias("total"))
@@ -79,6 +87,27 @@ class RollOver:
             assemble.div(F.col("total"), self.per_file).alias("_to"))
         self._record(spark, ready.filter("_from < _to"))
 
+    def _sweep(self, spark: SparkSession, committed: DataFrame) -> None:
+        """Drop staged packets whose file was recorded by a committed micro-batch. What a
+        repeated attempt of the current one needs is never among them."""
+        system, root = recording.resolve(self._staged)
+        found = system.get_file_info(
+            fs.FileSelector(root, recursive=True, allow_not_found=True))
+        folders = []
+        for f in found:
+            parts = f.path.rsplit("/", 2)
+            if f.type == fs.FileType.Directory and parts[2].startswith("file_id="):
+                folders.append((f.path, parts[1].split("=", 1)[1], int(parts[2].split("=")[1])))
+        if not folders:
+            return
+        listed = spark.createDataFrame(folders, "path string, stream_key string, file_id bigint")
+        done = committed.select(_folder(F.col("stream_id")).alias("stream_key"),
+                                assemble.div(F.col("total"), self.per_file).alias("_done"))
+        recorded = listed.join(done, "stream_key").filter("file_id < _done")
+        # At most the folders just listed.
+        for row in recorded.select("path").collect():
+            system.delete_dir(row["path"])
+
     def finish(self, spark: SparkSession) -> None:
         """End of data: record the last, partial file of every stream. Blocks that were
         not filled stay out."""

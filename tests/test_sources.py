@@ -9,6 +9,7 @@ from framelake.functions import frames, header
 from framelake.functions.layout import Layout
 from framelake.operators import flows
 from framelake.plans import views
+from framelake.session import settings
 from framelake.sources import headers, logs, packets, recording
 from test_functions import FULL, SHORT
 
@@ -70,6 +71,19 @@ def test_block_header_and_range_views(spark, tmp_path):
     assert {r["file"] for r in one.collect()} == {"f2.rec"}
 
 
+def test_filters_limit_what_is_read(spark, tmp_path):
+    path = str(tmp_path)
+    body, heads = placed(spark)
+    recording.write(body, heads, path, SMALL)
+    with settings(spark, {"spark.sql.python.filterPushdown.enabled": "true"}):
+        rows = recording.read(spark, path, SMALL, split_bytes=1)
+        assert rows.rdd.getNumPartitions() == 12
+        some = rows.filter("file in ('f0.rec', 'f2.rec') and block_index > 1 and block_index <= 2")
+        assert some.rdd.getNumPartitions() == 2 and some.count() == 20
+        assert rows.filter("block_index = 3").rdd.getNumPartitions() == 3
+        assert rows.filter("file = 'none'").count() == 0
+
+
 def test_overwrite_append_and_slot_order(spark, tmp_path):
     path = str(tmp_path)
     body, heads = placed(spark)

@@ -176,6 +176,9 @@ def test_recording_rolls_over(spark, arrivals, landed, tmp_path):
     wanted = assemble.published(positioned, RECORDED)
     whole = assemble.files(assemble.blocks(positioned, RECORDED), RECORDED).filter("complete").count()
     assert len(os.listdir(sink.files)) == whole > 5
+    # Staged packets of earlier files are gone once their micro-batch was committed.
+    staged = {tuple(r) for r in spark.read.parquet(sink._staged).select("stream_id", "file_id").distinct().collect()}
+    assert len(staged) < wanted.select("stream_id", "file_id").distinct().count()
     sink.finish(spark)
     sink.finish(spark)
     heads = recording.read(spark, sink.files, RECORDED, "header")
