@@ -7,9 +7,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelake.functions.frames import ETH_IPV4
+from framelake.functions.address import ip_to_be, mac_to_bytes, packed_bytes, u16_bytes
+from framelake.functions.frames import ETH_IPV4, LAYOUT
 from framelake.operators.joins import attach
 
+# MACs and type; addresses and ports.
+LINK_BYTES = 14
+END_BYTES = 12
 FLOW = ["src_mac", "dst_mac", "src_ip", "dst_ip", "src_port", "dst_port"]
 
 
@@ -32,6 +36,43 @@ def unmatched(packets: DataFrame, rule: dict) -> DataFrame:
     return packets.filter(~F.coalesce(rule_predicate(rule), F.lit(False)))
 
 
+def frame_key(frame: str = "frame") -> Column:
+    """The bytes of an undecoded frame that identify its flow: both MACs and the type,
+    then both addresses and ports. Two slices, against a dozen for decoding."""
+    f = F.col(frame)
+    (head, _), (ips, _) = LAYOUT["dst_mac"], LAYOUT["src_ip"]
+    return F.concat(F.substring(f, head + 1, LINK_BYTES), F.substring(f, ips + 1, END_BYTES))
+
+
+def rule_key(rule: dict | None = None) -> Column:
+    """The same bytes from a rule: literals, or the columns of a rule table."""
+    c = {f: F.lit(rule[f]) if rule else F.col(f) for f in FLOW}
+    return F.concat(
+        mac_to_bytes(c["dst_mac"]), mac_to_bytes(c["src_mac"]), u16_bytes(F.lit(ETH_IPV4)),
+        packed_bytes((ip_to_be(c["src_ip"]), 4)), packed_bytes((ip_to_be(c["dst_ip"]), 4)),
+        packed_bytes((c["src_port"], 2), (c["dst_port"], 2)))
+
+
+def match_frames(raw: DataFrame, rule: dict, frame: str = "frame") -> DataFrame:
+    """Undecoded frames of one flow; decode what is left."""
+    return raw.filter(frame_key(frame) == rule_key(rule))
+
+
+def unmatched_frames(raw: DataFrame, rule: dict, frame: str = "frame") -> DataFrame:
+    """The other frames, for diagnosis; short ones among them."""
+    return raw.filter(~F.coalesce(frame_key(frame) == rule_key(rule), F.lit(False)))
+
+
+def match_frame_rules(raw: DataFrame, rules: DataFrame, frame: str = "frame",
+                      spread_by: list[str] | None = None, how: str = "inner") -> DataFrame:
+    """Undecoded frames against a table of rules, by one binary key."""
+    if how not in ("inner", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
+    keyed = rules.select("rule_id", rule_key().alias("_key"))
+    return attach(raw.withColumn("_key", frame_key(frame)), keyed, ["_key"], how,
+                  spread_by).drop("_key")
+
+
 def masked_predicate(masks: dict[str, tuple[int, int]]) -> Column:
     """``value & mask = wanted & mask`` for integer columns, all at once."""
     return reduce(lambda a, b: a & b, [

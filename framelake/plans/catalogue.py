@@ -125,6 +125,12 @@ def flow_filter(spark, sf_dir):
         "seq", "stream_id", "src_ip")
 
 
+def flow_filter_raw(spark, sf_dir):
+    raw = frames.encode_packets(views.packets(spark, sf_dir)).select("seq", "stream_id", "frame")
+    return frames.decode(flows.match_frames(raw, views.ONE_RULE)).select(
+        "seq", "stream_id", "src_ip")
+
+
 def flow_unmatched(spark, sf_dir):
     return flows.unmatched(views.packets(spark, sf_dir), views.ONE_RULE).select(
         "seq", "stream_id", "src_ip")
@@ -314,7 +320,7 @@ def recording_roundtrip(spark, sf_dir):
 QUERIES = {fn.__name__: fn for fn in (
     pkt_decode, pkt_encode, pkt_split, ip_codec, mac_codec, utc_mjd,
     layout_plan, config_check, header_parse, header_validate, header_render,
-    header_consistency, flow_filter, flow_unmatched, flow_rules, flow_summary,
+    header_consistency, flow_filter, flow_filter_raw, flow_unmatched, flow_rules, flow_summary,
     arrival_position, batch_assemble, block_assemble, block_assemble_direct,
     block_countdown, ring_slots, file_rollover, blocks_with_header, lookup_fallback,
     pack_variable, throughput, idle_runs, block_dwell, ring_occupancy, ring_snapshot,

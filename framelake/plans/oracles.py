@@ -190,6 +190,8 @@ FROM heads""",
 
     "flow_filter": f"WITH {PACKETS} SELECT seq, stream_id, src_ip FROM packets WHERE {RULE}",
 
+    "flow_filter_raw": f"WITH {PACKETS} SELECT seq, stream_id, src_ip FROM packets WHERE {RULE}",
+
     "flow_unmatched": f"WITH {PACKETS} SELECT seq, stream_id, src_ip FROM packets WHERE NOT ({RULE})",
 
     "flow_rules": f"""WITH {PACKETS}, rules(rule_id, ip, port) AS (

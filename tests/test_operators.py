@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from framelake.functions import frames
 from framelake.functions.layout import Layout, TINY
 from framelake.operators import assemble, chained, flows, joins, metrics, ordered
 from framelake.plans import views
@@ -247,6 +248,23 @@ def test_flow_split_is_complete(spark, sf):
     assert sum(counted.values()) == semi and counted[3] == 0
 
 
+def test_undecoded_frames(spark, sf):
+    packets = flow_packets(spark, sf)
+    raw = frames.encode_packets(packets).select("seq", "frame")
+    raw = raw.unionByName(raw.limit(3).withColumns(
+        {"seq": -F.col("seq") - 1, "frame": F.substring("frame", 1, 20)}))
+    hit = flows.match_frames(raw, views.ONE_RULE)
+    want = flows.match(packets, views.ONE_RULE)
+    assert sorted(r["seq"] for r in hit.collect()) == sorted(r["seq"] for r in want.collect())
+    assert flows.unmatched_frames(raw, views.ONE_RULE).count() == raw.count() - want.count()
+    rules = views.flow_rules(spark)
+    by_rule = flows.match_frame_rules(raw, rules).select("seq", "rule_id")
+    assert sorted(by_rule.collect()) == sorted(
+        flows.match_rules(packets, rules).select("seq", "rule_id").collect())
+    anti = flows.match_frame_rules(raw, rules, how="left_anti")
+    assert anti.count() == raw.count() - by_rule.count()
+
+
 def test_masked_flow(spark, sf):
     packets = flow_packets(spark, sf)
     masked = packets.filter(flows.masked_predicate({"src_port": (60003, 0x3), "eth_type": (2048, 0xFFFF)}))
