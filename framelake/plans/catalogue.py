@@ -12,8 +12,11 @@ from framelake import session
 from framelake.functions import address, frames, header, layout, timestamps
 from framelake.operators import assemble, chained, flows, joins, metrics, ordered
 from framelake.plans import views
-from framelake.plans.views import ALIGNED, SMALL_BATCH, TINY
+from framelake.plans.views import ALIGNED, SHORT, SMALL_BATCH, TINY
 from framelake.sources import logs, recording
+from framelake.sources import packets as landing
+from framelake.streaming import jobs
+from framelake.streaming.record import RollOver, record
 
 HOUR = 3600
 PROGRESS_SECONDS = 2 * 24 * HOUR
@@ -317,6 +320,72 @@ def recording_roundtrip(spark, sf_dir):
         "file", "block_index", "packet_index", F.md5("payload").alias("payload_md5"))
 
 
+# --- streams -------------------------------------------------------------------------
+# The events, or what was derived from them, followed as a stream until drained.
+
+def _folder(spark, name):
+    return posixpath.join(session.shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def _drained(df):
+    out, state = _folder(df.sparkSession, "sink"), _folder(df.sparkSession, "state")
+    jobs.start(df, out, state).awaitTermination()
+    return df.sparkSession.read.parquet(out)
+
+
+def _followed(spark, sf_dir):
+    return views.packets_of(views.follow(spark, sf_dir, "events"))
+
+
+def _landed_ring(spark, sf_dir):
+    path = _folder(spark, "ring")
+    log = views.ring_log(spark, sf_dir)
+    log.write.parquet(path)
+    return landing.follow(spark, path, log.schema)
+
+
+def stream_batches(spark, sf_dir):
+    return _drained(jobs.batches(_followed(spark, sf_dir), TINY)).drop("is_complete")
+
+
+def stream_blocks(spark, sf_dir):
+    rows = _drained(jobs.blocks(_followed(spark, sf_dir), TINY))
+    return rows.withColumn("fill_ts", F.col("fill_ts").cast("timestamp_ntz"))
+
+
+def stream_throughput(spark, sf_dir):
+    rows = _drained(jobs.throughput(_followed(spark, sf_dir), ALIGNED, HOUR, "1 hour"))
+    return rows.select("stream_id", F.col("win_start").cast("timestamp_ntz").alias("win_start"),
+                       "packets", "kb", F.round("gbps", 12).alias("gbps"))
+
+
+def stream_occupancy(spark, sf_dir):
+    rows = _drained(jobs.occupancy(_landed_ring(spark, sf_dir), TINY))
+    return rows.withColumns({"ts": F.col("ts").cast("timestamp_ntz"),
+                             "fill_pct": F.round("fill_pct", 9)})
+
+
+def stream_progress(spark, sf_dir):
+    filled = _landed_ring(spark, sf_dir).filter(F.col("kind") == "filled")
+    rows = _drained(jobs.progress(filled, PROGRESS_SECONDS, ["ts", "block_id"]))
+    return rows.select("stream_id", "block_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+def stream_recording(spark, sf_dir):
+    """Packets of full length recorded live, end of data included, and read back."""
+    kept = _followed(spark, sf_dir).filter(F.octet_length("payload") == SHORT.pkt_size)
+    root = _folder(spark, "live")
+    sink = RollOver(spark, root, SHORT, {**views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header,
+                                         "pkt_data": SHORT.pkt_data})
+    record(kept, sink, _folder(spark, "state")).awaitTermination()
+    sink.finish(spark)
+    file_id = F.regexp_extract("file", r"_(\d+)\.rec$", 1).cast("bigint")
+    return recording.read(spark, sink.files, SHORT).select(
+        F.split("file", "_")[1].alias("stream_id"),
+        (file_id * SHORT.blocks_per_file + F.col("block_index")).alias("block_id"),
+        "packet_index", F.md5("payload").alias("payload_md5"))
+
+
 QUERIES = {fn.__name__: fn for fn in (
     pkt_decode, pkt_encode, pkt_split, ip_codec, mac_codec, utc_mjd,
     layout_plan, config_check, header_parse, header_validate, header_render,
@@ -324,7 +393,9 @@ QUERIES = {fn.__name__: fn for fn in (
     arrival_position, batch_assemble, block_assemble, block_assemble_direct,
     block_countdown, ring_slots, file_rollover, blocks_with_header, lookup_fallback,
     pack_variable, throughput, idle_runs, block_dwell, ring_occupancy, ring_snapshot,
-    progress_windowed, progress_exact, offset_gaps, log_metrics, recording_roundtrip)}
+    progress_windowed, progress_exact, offset_gaps, log_metrics, recording_roundtrip,
+    stream_batches, stream_blocks, stream_throughput, stream_occupancy, stream_progress,
+    stream_recording)}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -356,4 +356,27 @@ q AS (
 SELECT lang || '_' || lpad(CAST(pos // 480 AS VARCHAR), 8, '0') || '.rec' AS file,
        pos // 48 % 10 AS block_index, pos % 48 AS packet_index, md5(payload) AS payload_md5
 FROM q WHERE pos // 48 < total // 48""",
+
+    "stream_throughput": f"""WITH {PACKETS}, w AS (
+  SELECT stream_id, date_trunc('hour', arrival_ts) AS win_start, count(*) AS packets
+  FROM packets GROUP BY ALL)
+SELECT stream_id, win_start, packets, packets * 8256 // 1024 AS kb,
+       round(CAST(packets * 8256 AS DOUBLE) * 8 / 3600000000 / 1000, 12) AS gbps
+FROM w WHERE win_start <= (SELECT date_trunc('milliseconds', max(arrival_ts)) FROM packets)
+                          - INTERVAL 2 HOUR""",
+
+    "stream_recording": f"""WITH {PACKETS}, p AS (
+  SELECT stream_id, props, count(*) OVER (PARTITION BY stream_id) AS total,
+         row_number() OVER (PARTITION BY stream_id ORDER BY arrival_ts, seq) - 1 AS pos
+  FROM packets WHERE size = 9)
+SELECT stream_id, pos // 10 AS block_id, pos % 10 AS packet_index,
+       md5(encode(props)) AS payload_md5
+FROM p WHERE pos // 10 < total // 10""",
 }
+
+# A drained stream gives what the batch operator gives.
+ORACLES["stream_batches"] = ORACLES["batch_assemble"]
+ORACLES["stream_blocks"] = ORACLES["block_assemble"]
+ORACLES["stream_occupancy"] = ORACLES["ring_occupancy"]
+ORACLES["stream_progress"] = ORACLES["progress_exact"].replace(
+    "SELECT f.stream_id, f.ts, f.blocks_written, f.fill_pct", "SELECT f.stream_id, f.block_id, f.ts")

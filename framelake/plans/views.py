@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from framelake import session
 from framelake.functions.layout import Layout
 from framelake.operators import assemble
+from framelake.sources import packets as landing
 
 TINY = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=16)
 # Twelve batches per block, so that the countdown has something to count.
 SMALL_BATCH = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=4)
+# Nine-byte packets, ten to a block, as the event payloads are short.
+SHORT = Layout(pkt_header=4, pkt_data=5, pkts_per_block=11, send_n=5, blocks_per_file=100)
 ALIGNED = Layout(pkt_header=64, pkt_data=8192, pkts_per_block=16384, send_n=64)
 
 HEADER_FIELDS = {
@@ -35,9 +38,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def follow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a stream of files."""
+    rows = table(spark, sf_dir, name)
+    return landing.follow(spark, sf_dir, rows.schema, pattern=f"{name}.parquet")
+
+
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packets_of(table(spark, sf_dir, "events"))
+
+
+def packets_of(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_type").alias("stream_id"), F.col("event_id").alias("seq"),
         F.col("ts").alias("arrival_ts"),
         F.lit(SRC_MAC).alias("src_mac"), F.lit(DST_MAC).alias("dst_mac"),

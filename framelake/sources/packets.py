@@ -28,11 +28,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def follow(spark: SparkSession, path: str, schema: T.StructType = PACKET_SCHEMA,
-           max_files_per_trigger: int = 8) -> DataFrame:
+           max_files_per_trigger: int = 8, pattern: str | None = None) -> DataFrame:
     """Stream over a landing folder. ``max_files_per_trigger`` bounds what one
-    micro-batch may take in: the poll limit, and the back-pressure, of the stream."""
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
+    micro-batch may take in: the poll limit, and the back-pressure, of the stream.
+    ``pattern`` picks files by name."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
+    return (reader.option("pathGlobFilter", pattern) if pattern else reader).parquet(path)
 
 
 def land(raw: DataFrame, path: str, frame: str = "frame", mode: str = "append",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +12,13 @@ from framelake.functions.layout import Layout
 from framelake.functions.timestamps import gbps, percent, whole_kb
 from framelake.operators.metrics import all_windows
 from framelake.session import ROCKSDB_PROVIDER
+from framelake.streaming import processors
 from framelake.streaming.processors import BufferCounters, GroupPackets, PackRecords, Throttle
 
+# Spark starts a stateful processor once on the driver, in a worker that does not see
+# files added to the session; carry the code along instead of its name.
+cloudpickle.register_pickle_by_value(processors)
+
 
 def _keyed(df: DataFrame, processor, output: str | T.StructType, key: str = "stream_id"):
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
