@@ -6,6 +6,7 @@ import contextlib
 import math
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -107,6 +108,28 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """New folder on shared storage, removed when the driver ends.
+
+    For tables that the returned DataFrame still reads, so that they cannot be
+    deleted any earlier.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return system.makeQualified(path).toString()
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write to shared storage as compressed Parquet and read back: like ``durable``,
+    for tables of which later jobs read a few columns or which are large."""
+    folder = f"{scratch(df.sparkSession, label)}/table"
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Materialise on shared storage and cut the lineage.
 
