@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import archive, secrets, token_counts
+from framelake.llm import archive, decontaminate, secrets, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,10 +29,17 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "n_random")])
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *decontaminate.digest())
+
+
 QUERIES = {
     "op5_warc_packages": op5_warc_packages,
     "op6_secret_scan": op6_secret_scan,
     "op8_token_counts": op8_token_counts,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES: dict[str, str] = {
