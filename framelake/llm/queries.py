@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import archive, decontaminate, secrets, token_counts
+from framelake.llm import archive, decontaminate, packing, records, secrets, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archive.round_trip(spark, _table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -29,6 +33,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "n_random")])
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.scan(docs, _table(spark, sf_dir, "benchmark"))
@@ -36,9 +44,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_records": op1_token_records,
     "op5_warc_packages": op5_warc_packages,
     "op6_secret_scan": op6_secret_scan,
     "op8_token_counts": op8_token_counts,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
 }
 
