@@ -35,9 +35,9 @@ from framelake.session import stored
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 CAPACITY = 1024
-GROUPS = 48
+GROUPS = 96
 # Pieces up to this share of the capacity are small: they fill gaps.
-SMALL = 1 / 8
+SMALL = 1 / 3
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import archive, decontaminate, packing, records, secrets, token_counts
+from framelake.llm import archive, decontaminate, language, packing, records, secrets, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs)
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "language.lang_pred",
+                        "language.score", "language.rejected")
+
+
 def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archive.round_trip(spark, _table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -45,6 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_records": op1_token_records,
+    "op2_language_id": op2_language_id,
     "op5_warc_packages": op5_warc_packages,
     "op6_secret_scan": op6_secret_scan,
     "op8_token_counts": op8_token_counts,
