@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import archive, decontaminate, language, packing, records, secrets, token_counts
+from framelake.llm import archive, decontaminate, language, minhash, packing, records, secrets, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "language.score", "language.rejected")
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archive.round_trip(spark, _table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -53,6 +57,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_language_id": op2_language_id,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_warc_packages": op5_warc_packages,
     "op6_secret_scan": op6_secret_scan,
     "op8_token_counts": op8_token_counts,
