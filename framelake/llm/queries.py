@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import archive, decontaminate, language, minhash, packing, records, secrets, token_counts
+from framelake.llm import archive, decontaminate, language, minhash, packing, records, secrets, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substrings.remove_repeated(docs)
+    return found.select("doc_id", *[f"repeats.{c}" for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
@@ -60,6 +66,7 @@ QUERIES = {
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_warc_packages": op5_warc_packages,
     "op6_secret_scan": op6_secret_scan,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontamination": op10_decontamination,
