@@ -11,13 +11,15 @@ from __future__ import annotations
 import functools
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
 # Bytes of text encoded together, and entries a worker keeps.
 BLOCK_BYTES = 4 << 20
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 600_000
 # Longer pieces are not worth keeping.
 CACHE_CHARS = 48
 
@@ -58,8 +60,8 @@ def marked_pieces(text: str) -> list[str]:
 class Cached:
     """Values of pieces, computed by ``encode`` in batches of the missing ones."""
 
-    def __init__(self, encode, split, entries: int = CACHE_ENTRIES):
-        self.encode, self.split, self.entries, self.known = encode, split, entries, {}
+    def __init__(self, encode, split, entries: int = CACHE_ENTRIES, stem=None):
+        self.encode, self.split, self.entries, self.known, self.stem = encode, split, entries, {}, stem
 
     def each(self, texts: list[str]):
         """For each text the values of its pieces."""
@@ -67,9 +69,19 @@ class Cached:
         if len(known) > self.entries:
             known.clear()
         split = [self.split(t) for t in texts]
-        missing = list(set().union(*split).difference(known)) if split else []
-        if missing:
-            known.update(zip(missing, self.encode(missing)))
+        missing = set().union(*split).difference(known) if split else set()
+        whole, cut = list(missing), []
+        if self.stem:
+            # A piece with a tail that is always separate is looked up in two parts.
+            cut = [(p, *self.stem(p)) for p in missing]
+            whole = {part for _, *parts in cut for part in parts}.difference(known)
+            cut = [parts for parts in cut if len(parts) > 2 or parts[1] != parts[0]]
+            missing = whole.union(p for p, *_ in cut)
+            whole = list(whole)
+        if whole:
+            known.update(zip(whole, self.encode(whole)))
+        for piece, *parts in cut:
+            known[piece] = b"".join([known[x] for x in parts])
         for pieces in split:
             yield map(known.__getitem__, pieces)
         for piece in missing:
@@ -89,13 +101,27 @@ def ids_of(path: str, layout: str) -> Cached:
     """Id bytes of a ``tokenizers`` file; ``layout`` is how it treats spaces (``word`` or
     ``byte``). Ids are little-endian, of ``id_type`` width."""
     library = _library(path)
-    kind = id_type(library.get_vocab_size())
+    code = "H" if id_type(library.get_vocab_size()).itemsize == 2 else "I"
 
     def encode(pieces):
         found = library.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, kind).tobytes() for e in found]
-
-    return Cached(encode, {"word": word_pieces, "byte": byte_level_pieces}[layout])
+        values = [array(code, e.ids) for e in found]
+        if sys.byteorder == "big":
+            for v in values:
+                v.byteswap()
+        return [v.tobytes() for v in values]
+
+    split, lower = {"word": (word_pieces, True), "byte": (byte_level_pieces, False)}[layout]
+
+    def stem(piece):
+        # A full stop or comma between a letter and white space is a token of its own, and
+        # the vocabulary of words has no capitals.
+        head, tail = piece, ()
+        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
+            head, tail = piece[:-1], (piece[-1],)
+        return (head.lower() if lower and head.isascii() and "<" not in head else head, *tail)
+
+    return Cached(encode, split, stem=stem)
 
 
 def id_type(vocabulary: int) -> np.dtype:
