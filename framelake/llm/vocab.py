@@ -11,21 +11,22 @@ from __future__ import annotations
 import functools
 import os
 import re
-import sys
-from array import array
 
 import numpy as np
 import pyarrow as pa
 
 # Bytes of text encoded together, and entries a worker keeps.
 BLOCK_BYTES = 4 << 20
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_000_000
 # Longer pieces are not worth keeping.
 CACHE_CHARS = 48
 
 # In a byte-level vocabulary no token spans the change from other text to a space or
 # line feed, whatever follows.
 _BEFORE_SPACE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# Characters of which the library's lower case is not surely that of Python; a text with a
+# special string must not gain one either.
+_UNUSUAL = re.compile("[^\x00-\u012f\u0131-\u024f]")
 _MARKED = re.compile(r"\n[^ \n]*| *[^ \n]+| +")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _AFTER_TEXT = re.compile(r"(?<=\S)(?=[ \n])")
@@ -39,7 +40,9 @@ def byte_level_pieces(text: str) -> list[str]:
 
 
 def word_pieces(text: str) -> list[str]:
-    """Pieces between spaces, for vocabularies that drop white space."""
+    """Pieces between spaces, for vocabularies that drop white space and capitals."""
+    if "<" not in text and not _UNUSUAL.search(text):
+        text = text.lower()
     return text.replace("\n", " ").split(" ")
 
 
@@ -60,8 +63,8 @@ def marked_pieces(text: str) -> list[str]:
 class Cached:
     """Values of pieces, computed by ``encode`` in batches of the missing ones."""
 
-    def __init__(self, encode, split, entries: int = CACHE_ENTRIES, stem=None):
-        self.encode, self.split, self.entries, self.known, self.stem = encode, split, entries, {}, stem
+    def __init__(self, encode, split, entries: int = CACHE_ENTRIES, tails: str = ""):
+        self.encode, self.split, self.entries, self.known, self.tails = encode, split, entries, {}, tails
 
     def each(self, texts: list[str]):
         """For each text the values of its pieces."""
@@ -69,24 +72,24 @@ class Cached:
         if len(known) > self.entries:
             known.clear()
         split = [self.split(t) for t in texts]
-        missing = set().union(*split).difference(known) if split else set()
-        whole, cut = list(missing), []
-        if self.stem:
-            # A piece with a tail that is always separate is looked up in two parts.
-            cut = [(p, *self.stem(p)) for p in missing]
-            whole = {part for _, *parts in cut for part in parts}.difference(known)
-            cut = [parts for parts in cut if len(parts) > 2 or parts[1] != parts[0]]
-            missing = whole.union(p for p, *_ in cut)
+        missing = list(set().union(*split).difference(known)) if split else []
+        # A letter and a tail that is always a token of its own are looked up in two parts.
+        cut = [p for p in missing if p[-1:] in self.tails and p[-2:-1].isalpha()] if self.tails else []
+        whole = missing
+        if cut:
+            whole = set(missing).difference(cut)
+            whole.update({p[:-1] for p in cut}.difference(known), set(self.tails).difference(known))
             whole = list(whole)
         if whole:
             known.update(zip(whole, self.encode(whole)))
-        for piece, *parts in cut:
-            known[piece] = b"".join([known[x] for x in parts])
+        for p in cut:
+            known[p] = known[p[:-1]] + known[p[-1]]
         for pieces in split:
             yield map(known.__getitem__, pieces)
-        for piece in missing:
-            if len(piece) > CACHE_CHARS:
-                del known[piece]
+        for pieces in (missing, whole):
+            for piece in pieces:
+                if len(piece) > CACHE_CHARS:
+                    known.pop(piece, None)
 
 
 def _library(name: str):
@@ -96,32 +99,52 @@ def _library(name: str):
     return Tokenizer.from_file(name)
 
 
+# Words encoded in one text. In a vocabulary of words the last token of each carries the end
+# mark; at the byte level the first begins with the space, written as the sign below.
+TOGETHER = 500
+_EDGES = {
+    "word": (re.compile("[a-z]+"), " ", lambda token: token.endswith("</w>")),
+    "byte": (re.compile(" [A-Za-z]+"), "", lambda token: token.startswith("Ġ")),
+}
+
+
 @functools.lru_cache(maxsize=4)
 def ids_of(path: str, layout: str) -> Cached:
     """Id bytes of a ``tokenizers`` file; ``layout`` is how it treats spaces (``word`` or
     ``byte``). Ids are little-endian, of ``id_type`` width."""
     library = _library(path)
-    code = "H" if id_type(library.get_vocab_size()).itemsize == 2 else "I"
+    kind = id_type(library.get_vocab_size())
+    plain, edge, marks = _EDGES[layout]
+    is_edge = np.zeros(library.get_vocab_size(), bool)
+    is_edge[[i for token, i in library.get_vocab().items() if marks(token)]] = True
 
-    def encode(pieces):
+    def one_by_one(pieces):
         found = library.encode_batch_fast(pieces, add_special_tokens=False)
-        values = [array(code, e.ids) for e in found]
-        if sys.byteorder == "big":
-            for v in values:
-                v.byteswap()
-        return [v.tobytes() for v in values]
-
-    split, lower = {"word": (word_pieces, True), "byte": (byte_level_pieces, False)}[layout]
-
-    def stem(piece):
-        # A full stop or comma between a letter and white space is a token of its own, and
-        # the vocabulary of words has no capitals.
-        head, tail = piece, ()
-        if piece[-1:] in (".", ",") and piece[-2:-1].isalpha():
-            head, tail = piece[:-1], (piece[-1],)
-        return (head.lower() if lower and head.isascii() and "<" not in head else head, *tail)
-
-    return Cached(encode, split, stem=stem)
+        return [np.array(e.ids, kind).tobytes() for e in found]
+
+    def together(pieces):
+        # Plain words in one text, which the library takes much faster: each has exactly one
+        # token that ends it, or begins it.
+        ids = np.array(library.encode_batch_fast([edge.join(pieces)], add_special_tokens=False)[0].ids, kind)
+        at = np.flatnonzero(is_edge[ids])
+        if len(at) != len(pieces):
+            return one_by_one(pieces)
+        cuts = [0, *(at + 1)] if edge else [*at, len(ids)]
+        raw, size = ids.tobytes(), kind.itemsize
+        return [raw[a * size:b * size] for a, b in zip(cuts[:-1], cuts[1:])]
+
+    def encode(pieces):
+        simple = [p for p in pieces if plain.fullmatch(p)]
+        known = {}
+        for start in range(0, len(simple), TOGETHER):
+            part = simple[start:start + TOGETHER]
+            known.update(zip(part, together(part)))
+        rest = [p for p in pieces if p not in known]
+        known.update(zip(rest, one_by_one(rest)))
+        return [known[p] for p in pieces]
+
+    # A full stop or comma between a letter and white space is a token of its own.
+    return Cached(encode, {"word": word_pieces, "byte": byte_level_pieces}[layout], tails=".,")
 
 
 def id_type(vocabulary: int) -> np.dtype:
