@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import archive, decontaminate, language, minhash, packing, records, secrets, substrings, token_counts
+from framelake.llm import archive, decontaminate, embeddings, language, minhash, packing, records, secrets, substrings, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "language.score", "language.rejected")
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -63,6 +67,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_language_id": op2_language_id,
+    "op3_embedding_near_dedup": op3_embedding_near_dedup,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op5_warc_packages": op5_warc_packages,
     "op6_secret_scan": op6_secret_scan,
