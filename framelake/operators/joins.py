@@ -46,6 +46,8 @@ def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
     inside one key, and spreads a hot key over ``SALT_BUCKETS`` tasks with the
     matching dimension rows repeated per bucket.
     """
+    if how not in ("left", "inner", "leftsemi", "left_semi", "leftanti", "left_anti"):
+        raise ValueError(f"{how} join: the dimension may be repeated, so none of its rows can be kept alone")
     keys = list(on)
     if fits_broadcast(dim, limit):
         dim = F.broadcast(dim)

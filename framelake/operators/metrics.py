@@ -89,14 +89,19 @@ def _used_blocks(writes: Column, reads: Column, nbufs: int) -> Column:
     return F.greatest(F.lit(0), F.least(writes - reads, F.lit(nbufs)))
 
 
-def occupancy(log: DataFrame, layout: Layout) -> DataFrame:
-    """Buffer fill after every event. At equal times fills count before clears."""
+def counted_events(log: DataFrame) -> DataFrame:
+    """Events with the fills (``_writes``) and clears (``_reads``) up to each. At equal times
+    fills count before clears."""
     is_fill = F.col("kind") == "filled"
-    counted = ordered.running_sums(
+    return ordered.running_sums(
         log.withColumn("_after", F.when(is_fill, 0).otherwise(1)),
         ["stream_id"], ["ts", "_after", "block_id"],
         {"_writes": F.when(is_fill, 1).otherwise(0),
          "_reads": F.when(is_fill, 0).otherwise(1)})
+
+
+def filled(counted: DataFrame, layout: Layout) -> DataFrame:
+    """Buffer fill from the counts of fills and clears."""
     used = _used_blocks(F.col("_writes"), F.col("_reads"), layout.nbufs)
     size = F.lit(layout.block_bytes)
     return counted.select(
@@ -107,6 +112,11 @@ def occupancy(log: DataFrame, layout: Layout) -> DataFrame:
         F.col("_writes").alias("blocks_written"))
 
 
+def occupancy(log: DataFrame, layout: Layout) -> DataFrame:
+    """Buffer fill after every event."""
+    return filled(counted_events(log), layout)
+
+
 def snapshot(log: DataFrame, layout: Layout, at: Column | None = None) -> DataFrame:
     """Counters per stream at a time (default: the end). Sums suffice, no ordering."""
     rows = log if at is None else log.filter(F.col("ts") <= at)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +14,8 @@ from framelake.plans.views import ALIGNED, SHORT, SMALL_BATCH, TINY
 from framelake.sources import logs, recording
 from framelake.sources import packets as landing
 from framelake.streaming import jobs
-from framelake.streaming.record import RollOver, record
+from framelake.streaming.inorder import InOrder, run
+from framelake.streaming.record import recorder
 
 HOUR = 3600
 PROGRESS_SECONDS = 2 * 24 * HOUR
@@ -314,7 +313,7 @@ def record_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
 
 
 def recording_roundtrip(spark, sf_dir):
-    path = posixpath.join(session.shared_dir(spark), f"recordings-{uuid.uuid4().hex}")
+    path = f"{session.scratch(spark, 'recordings')}/files"
     record_documents(spark, sf_dir, path)
     return recording.read(spark, path, TINY).select(
         "file", "block_index", "packet_index", F.md5("payload").alias("payload_md5"))
@@ -323,69 +322,96 @@ def recording_roundtrip(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------
 # The events, or what was derived from them, followed as a stream until drained.
 
-def _folder(spark, name):
-    return posixpath.join(session.shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+# A backlog is released in this many spans of time, so that what is carried from one to the
+# next counts.
+SLICES = 3
 
 
-def _drained(df):
-    out, state = _folder(df.sparkSession, "sink"), _folder(df.sparkSession, "state")
-    jobs.start(df, out, state).awaitTermination()
-    return df.sparkSession.read.parquet(out)
+def _drained(rows, step, ts="arrival_ts"):
+    spark = rows.sparkSession
+    sink = InOrder(spark, session.scratch(spark, "stream"), step, ts)
+    run(rows, sink, session.scratch(spark, "state")).awaitTermination()
+    sink.finish(spark, SLICES)
+    return sink.result(spark)
 
 
 def _followed(spark, sf_dir):
     return views.packets_of(views.follow(spark, sf_dir, "events"))
 
 
-def _landed_ring(spark, sf_dir):
-    path = _folder(spark, "ring")
-    log = views.ring_log(spark, sf_dir)
-    log.write.parquet(path)
-    return landing.follow(spark, path, log.schema)
+def _landed(rows, label):
+    """Rows written as a folder of files and followed as a stream."""
+    path = f"{session.scratch(rows.sparkSession, label)}/landed"
+    rows.write.parquet(path)
+    return landing.follow(rows.sparkSession, path, rows.schema)
 
 
 def stream_batches(spark, sf_dir):
-    return _drained(jobs.batches(_followed(spark, sf_dir), TINY)).drop("is_complete")
+    """Batches, with the incomplete last one of every stream that ends: an end-of-data row
+    follows the last packet of every stream but the purchases."""
+    followed = _followed(spark, sf_dir).select("stream_id", "seq", "arrival_ts")
+    ends = views.packets(spark, sf_dir).groupBy("stream_id").agg(F.max("arrival_ts").alias("arrival_ts")).filter(
+        "stream_id <> 'purchase'").select(
+        "stream_id", F.lit(None).cast("bigint").alias("seq"), "arrival_ts", F.lit(True).alias("eod"))
+    both = followed.withColumn("eod", F.lit(False)).unionByName(_landed(ends, "ends"))
+    rows = jobs.as_batches(_drained(both, jobs.batches(TINY)), TINY)
+    return rows
 
 
 def stream_blocks(spark, sf_dir):
-    rows = _drained(jobs.blocks(_followed(spark, sf_dir), TINY))
+    rows = jobs.as_blocks(_drained(_followed(spark, sf_dir), jobs.blocks(TINY)), TINY)
     return rows.withColumn("fill_ts", F.col("fill_ts").cast("timestamp_ntz"))
 
 
 def stream_throughput(spark, sf_dir):
-    rows = _drained(jobs.throughput(_followed(spark, sf_dir), ALIGNED, HOUR, "1 hour"))
+    sink = jobs.WindowCounts(spark, session.scratch(spark, "stream"), ALIGNED, HOUR)
+    run(_followed(spark, sf_dir), sink, session.scratch(spark, "state")).awaitTermination()
+    rows = sink.result(spark)
     return rows.select("stream_id", F.col("win_start").cast("timestamp_ntz").alias("win_start"),
                        "packets", "kb", F.round("gbps", 12).alias("gbps"))
 
 
 def stream_occupancy(spark, sf_dir):
-    rows = _drained(jobs.occupancy(_landed_ring(spark, sf_dir), TINY))
+    log = _landed(views.ring_log(spark, sf_dir), "ring")
+    rows = _drained(log, jobs.Occupancy(TINY), "ts")
     return rows.withColumns({"ts": F.col("ts").cast("timestamp_ntz"),
                              "fill_pct": F.round("fill_pct", 9)})
 
 
 def stream_progress(spark, sf_dir):
-    filled = _landed_ring(spark, sf_dir).filter(F.col("kind") == "filled")
-    rows = _drained(jobs.progress(filled, PROGRESS_SECONDS, ["ts", "block_id"]))
+    filled = _landed(views.ring_log(spark, sf_dir).filter(F.col("kind") == "filled"), "ring")
+    rows = _drained(filled, jobs.Progress(PROGRESS_SECONDS, {"block_id": "bigint"}, ["ts", "block_id"]), "ts")
     return rows.select("stream_id", "block_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
 def stream_recording(spark, sf_dir):
-    """Packets of full length recorded live, end of data included, and read back."""
-    kept = _followed(spark, sf_dir).filter(F.octet_length("payload") == SHORT.pkt_size)
-    root = _folder(spark, "live")
-    sink = RollOver(spark, root, SHORT, {**views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header,
-                                         "pkt_data": SHORT.pkt_data})
-    record(kept, sink, _folder(spark, "state")).awaitTermination()
-    sink.finish(spark)
-    file_id = F.regexp_extract("file", r"_(\d+)\.rec$", 1).cast("bigint")
-    return recording.read(spark, sink.files, SHORT).select(
-        F.split("file", "_")[1].alias("stream_id"),
-        (file_id * SHORT.blocks_per_file + F.col("block_index")).alias("block_id"),
+    """All packets recorded live, short payloads padded, end of data included, and read back.
+    One stream has no id, and ids of others hold a slash and an underscore."""
+    stream = (F.when(F.col("stream_id") == "view", None).when(F.col("stream_id") == "click", "a/b_c")
+              .otherwise(F.col("stream_id")))
+    padded = F.expr(f"substring(concat(payload, unhex(repeat('00', {SHORT.pkt_size}))), 1, {SHORT.pkt_size})")
+    rows = _followed(spark, sf_dir).select(
+        stream.alias("stream_id"), "seq", "arrival_ts", padded.alias("payload"))
+    sink = recorder(spark, session.scratch(spark, "live"), SHORT, {
+        **views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header, "pkt_data": SHORT.pkt_data})
+    run(rows, sink, session.scratch(spark, "state")).awaitTermination()
+    sink.finish(spark, SLICES)
+    return recording.read(spark, sink.step.files, SHORT).select(
+        recording.stream_of(F.col("file")).alias("stream_id"),
+        (recording.file_number(F.col("file")) * SHORT.blocks_per_file + F.col("block_index")).alias("block_id"),
         "packet_index", F.md5("payload").alias("payload_md5"))
 
 
+def stream_packing(spark, sf_dir):
+    """Live form of pack_variable: blocks completed before the end of the data."""
+    rows = views.table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("stream_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
+        "l_orderkey", "l_linenumber", (F.lit(16) + F.col("l_quantity").cast("bigint") * 8).alias("size"))
+    packed = _drained(_landed(rows, "records"),
+                      jobs.Packing(4000, ["ts", "l_orderkey", "l_linenumber", "size"]), "ts")
+    return packed
+
+
 QUERIES = {fn.__name__: fn for fn in (
     pkt_decode, pkt_encode, pkt_split, ip_codec, mac_codec, utc_mjd,
     layout_plan, config_check, header_parse, header_validate, header_render,
@@ -395,7 +421,7 @@ QUERIES = {fn.__name__: fn for fn in (
     pack_variable, throughput, idle_runs, block_dwell, ring_occupancy, ring_snapshot,
     progress_windowed, progress_exact, offset_gaps, log_metrics, recording_roundtrip,
     stream_batches, stream_blocks, stream_throughput, stream_occupancy, stream_progress,
-    stream_recording)}
+    stream_recording, stream_packing)}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

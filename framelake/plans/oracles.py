@@ -357,25 +357,43 @@ SELECT lang || '_' || lpad(CAST(pos // 480 AS VARCHAR), 8, '0') || '.rec' AS fil
        pos // 48 % 10 AS block_index, pos % 48 AS packet_index, md5(payload) AS payload_md5
 FROM q WHERE pos // 48 < total // 48""",
 
-    "stream_throughput": f"""WITH {PACKETS}, w AS (
-  SELECT stream_id, date_trunc('hour', arrival_ts) AS win_start, count(*) AS packets
-  FROM packets GROUP BY ALL)
-SELECT stream_id, win_start, packets, packets * 8256 // 1024 AS kb,
-       round(CAST(packets * 8256 AS DOUBLE) * 8 / 3600000000 / 1000, 12) AS gbps
-FROM w WHERE win_start <= (SELECT date_trunc('milliseconds', max(arrival_ts)) FROM packets)
-                          - INTERVAL 2 HOUR""",
+    "stream_batches": f"""WITH {PACKETS}, p AS (
+  SELECT stream_id, seq, row_number() OVER (PARTITION BY stream_id ORDER BY arrival_ts, seq) - 1 AS pos
+  FROM packets)
+SELECT stream_id, pos // 16 AS batch_id, count(*) AS n_packets, arg_min(seq, pos) AS first_seq,
+       arg_max(seq, pos) AS last_seq, count(*) * 80 AS bytes, count(*) = 16 AS is_complete
+FROM p GROUP BY stream_id, pos // 16 HAVING count(*) = 16 OR stream_id <> 'purchase'""",
 
     "stream_recording": f"""WITH {PACKETS}, p AS (
-  SELECT stream_id, props, count(*) OVER (PARTITION BY stream_id) AS total,
+  SELECT CASE stream_id WHEN 'view' THEN NULL WHEN 'click' THEN 'a/b_c' ELSE stream_id END AS stream_id,
+         unhex(rpad(left(hex(encode(props)), 18), 18, '0')) AS payload,
+         count(*) OVER (PARTITION BY stream_id) AS total,
          row_number() OVER (PARTITION BY stream_id ORDER BY arrival_ts, seq) - 1 AS pos
-  FROM packets WHERE size = 9)
-SELECT stream_id, pos // 10 AS block_id, pos % 10 AS packet_index,
-       md5(encode(props)) AS payload_md5
+  FROM packets)
+SELECT stream_id, pos // 10 AS block_id, pos % 10 AS packet_index, md5(payload) AS payload_md5
 FROM p WHERE pos // 10 < total // 10""",
+
+    "stream_packing": """WITH RECURSIVE r AS (
+  SELECT stream_id, sum(size) OVER (PARTITION BY stream_id ORDER BY ts, o, n, size
+                                    ROWS UNBOUNDED PRECEDING) AS cum
+  FROM (SELECT l_returnflag AS stream_id, l_shipdate AS ts, l_orderkey AS o, l_linenumber AS n,
+               16 + CAST(l_quantity AS BIGINT) * 8 AS size FROM lineitem)),
+b AS (
+  SELECT stream_id, CAST(-1 AS BIGINT) AS block_id, CAST(0 AS HUGEINT) AS start_at,
+         CAST(0 AS HUGEINT) AS end_at, CAST(0 AS BIGINT) AS n
+  FROM (SELECT DISTINCT stream_id FROM r)
+  UNION ALL
+  SELECT b.stream_id, b.block_id + 1, b.end_at, max(r.cum), count(*)
+  FROM b JOIN r ON r.stream_id = b.stream_id AND r.cum > b.end_at AND r.cum <= b.end_at + 4000
+  GROUP BY b.stream_id, b.block_id, b.end_at)
+SELECT stream_id, block_id, n AS n_records, CAST(end_at - start_at AS BIGINT) AS used_bytes,
+       CAST(4000 - (end_at - start_at) AS BIGINT) AS pad_bytes
+FROM b WHERE block_id >= 0
+QUALIFY block_id < max(block_id) OVER (PARTITION BY stream_id)""",
 }
 
 # A drained stream gives what the batch operator gives.
-ORACLES["stream_batches"] = ORACLES["batch_assemble"]
+ORACLES["stream_throughput"] = ORACLES["throughput"]
 ORACLES["stream_blocks"] = ORACLES["block_assemble"]
 ORACLES["stream_occupancy"] = ORACLES["ring_occupancy"]
 ORACLES["stream_progress"] = ORACLES["progress_exact"].replace(

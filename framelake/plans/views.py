@@ -41,7 +41,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def follow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table as a stream of files."""
     rows = table(spark, sf_dir, name)
-    return landing.follow(spark, sf_dir, rows.schema, pattern=f"{name}.parquet")
+    # As a pattern, the path may name one file or a folder of part files.
+    return landing.follow(spark, f"{sf_dir}/{name}.parque[t]", rows.schema)
 
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:

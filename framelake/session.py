@@ -25,6 +25,7 @@ DEFAULTS = {
     # Numbering passes leave checkpoint files behind; let Spark drop them once
     # the DataFrame that owns them is gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
@@ -71,7 +72,7 @@ def settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(key, value)
 
 
-def wide_enough(df: DataFrame, limit: int = 10_000):
+def wide_enough(df: DataFrame):
     """Start the shuffles of an eager job wide enough for the optimizer's size estimate
     of ``df``. AQE merges what turns out too small, so only a floor is set, and a
     width already configured higher stays."""
@@ -80,7 +81,7 @@ def wide_enough(df: DataFrame, limit: int = 10_000):
     before = int(spark.conf.get(INITIAL, None) or 0)
     estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     # Tables without statistics, such as local rows, report an absurd size.
-    wanted = min(limit, shuffle_partitions(estimate, 0)) if estimate < 1 << 60 else 0
+    wanted = shuffle_partitions(estimate, 0) if estimate < 1 << 60 else 0
     return settings(spark, {INITIAL: str(wanted)} if wanted > max(configured, before) else {})
 
 

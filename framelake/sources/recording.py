@@ -271,9 +271,7 @@ class RecordingWriter(DataSourceArrowWriter):
         self.block_bytes = int(options["block_bytes"])
         self.overwrite = overwrite
         self.job = uuid.uuid4().hex
-        system, root = resolve(self.path)
-        if not overwrite and options.get("if_exists", "keep") == "error" and _list(self.path)[1]:
-            raise FileExistsError(root)
+        self.replace = options.get("replace") == "true"
 
     def _staging(self, root):
         return posixpath.join(root, f"{STAGING}-{self.job}")
@@ -337,20 +335,26 @@ class RecordingWriter(DataSourceArrowWriter):
         targets = {target for _, target in moves}
         if len(targets) != len(moves):
             raise ValueError("one recording was written by two tasks; use recording.write")
-        if self.overwrite:
-            for f in _list(self.path)[1]:
-                if f.path not in targets:
-                    system.delete_file(f.path)
+        if not self.overwrite and not self.replace:
+            found = {f.path for f in _list(self.path)[1]} & targets
+            if found:
+                raise FileExistsError(f"{len(found)} recordings exist already, {min(found)} among them")
 
         def place(move):
             staged, target = move
             if system.get_file_info(target).type == fs.FileType.File:
-                system.delete_file(target)
+                # The earlier file stays under another name until the new one is in place.
+                earlier = posixpath.join(posixpath.dirname(staged), uuid.uuid4().hex)
+                system.move(target, earlier)
             system.move(staged, target)
 
         # Renames wait on the storage, not on the driver.
         with ThreadPoolExecutor(COMMIT_THREADS) as pool:
             list(pool.map(place, moves))
+        if self.overwrite:
+            for f in _list(self.path)[1]:
+                if f.path not in targets:
+                    system.delete_file(f.path)
         self._drop_staging(system, root)
 
     def abort(self, messages):
@@ -383,12 +387,28 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(RecordingSource)
 
 
+# Stands for a null stream id in file names; no encoded id looks like it.
+NULL_STREAM = "~"
+
+
 def file_name(stream_id, first_ts, file_id):
-    """``yyyy-MM-dd-HHmmss_<stream>_<file>``: no colons, unique per stream and file."""
-    return F.concat_ws("_", F.date_format(first_ts, "yyyy-MM-dd-HHmmss"), stream_id,
+    """``yyyy-MM-dd-HHmmss_<stream>_<file>``: no colons or slashes, unique per stream and file.
+    The stream id is URL-encoded."""
+    return F.concat_ws("_", F.date_format(first_ts, "yyyy-MM-dd-HHmmss"),
+                       F.coalesce(F.url_encode(stream_id), F.lit(NULL_STREAM)),
                        F.lpad(file_id.cast("string"), 8, "0"))
 
 
+def stream_of(file):
+    """The stream id in a file name made by :func:`file_name`."""
+    encoded = F.regexp_extract(file, r"^[^_]*_(.*)_[0-9]+(?:\.rec)?$", 1)
+    return F.when(encoded != NULL_STREAM, F.url_decode(encoded))
+
+
+def file_number(file):
+    return F.regexp_extract(file, r"_([0-9]+)(?:\.rec)?$", 1).cast("bigint")
+
+
 def headers_for(files: DataFrame, fields: dict, layout: Layout) -> DataFrame:
     """Header bytes per file, from (file, first_ts) and the fixed header fields by
     lower-case name. Start stamps come from the first packet of the file."""
@@ -407,8 +427,9 @@ def slot_order(block_id, nbufs: int):
 
 
 def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
-          mode: str = "append", order_by: str = "block") -> None:
-    """Write recordings.
+          mode: str = "append", order_by: str = "block", replace: bool = False) -> None:
+    """Write recordings. Appending to a folder that has one of the same name is an error,
+    unless ``replace`` allows it.
 
     ``packets``: file, block_id, ordinal (position in the block), payload.
     ``headers``: file, header (binary, at most 4096 bytes); one row per file.
@@ -437,7 +458,8 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
             "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_batch)}):
         (moved.sortWithinPartitions(*order)
          .write.format("recording").mode(mode)
-         .option("path", path).option("block_bytes", layout.block_bytes).save())
+         .option("path", path).option("block_bytes", layout.block_bytes)
+         .option("replace", str(replace).lower()).save())
 
 
 def read(spark: SparkSession, path: str, layout: Layout, record: str = "packet",

@@ -1,143 +1,79 @@
-"""Live recording: packets to roll-over files, exactly once.
+"""Live recording: packets to roll-over files, exactly once and in order.
 
-Each micro-batch is numbered with the distributed sort of the batch path, so that a
-single busy stream does not end up in one task, and continues from a ledger of packet
-counts. Packets are staged by file; a file becomes a recording in the micro-batch that
-completes it. Every write replaces what an interrupted attempt of the same micro-batch
-may have left.
+A step for ``InOrder``: each release is numbered with the distributed sort of the batch path
+and continues the files of earlier ones. A file becomes a recording in the release that
+completes it; the packets of open files, at most one file for each stream, are carried.
 """
 
 from __future__ import annotations
 
-import posixpath
+import dataclasses
 
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from framelake.functions.layout import Layout
 from framelake.operators import assemble
 from framelake.operators.joins import attach
+from framelake.session import durable
 from framelake.sources import recording
+from framelake.streaming.inorder import InOrder
+from framelake.streaming.jobs import STREAM, merged, with_eod
 
 
-def _folder(stream_id):
-    """Folder name for a stream, whatever characters its id has. The leading letter
-    keeps partition discovery from taking it for a number."""
-    return F.concat(F.lit("s"), F.md5(F.coalesce(stream_id, F.lit("")).cast("binary")))
-
-
+@dataclasses.dataclass
 class RollOver:
-    """``foreachBatch`` target. ``root`` is a shared folder: recordings under
-    ``files``, staged packets and the ledger beside them."""
-
-    def __init__(self, spark: SparkSession, root: str, layout: Layout, header_fields: dict):
-        self.layout = layout
-        self.header_fields = header_fields
-        self.files = posixpath.join(root, "files")
-        self._staged = posixpath.join(root, "staged")
-        self._ledger = posixpath.join(root, "ledger")
-        self.per_block = layout.send_n * layout.batches_per_block
-        self.per_file = self.per_block * layout.blocks_per_file
-        # An empty entry, so that the ledger can be read before the first batch.
-        spark.createDataFrame([], "stream_id string, total bigint").write.mode(
-            "overwrite").parquet(f"{self._ledger}/batch=-1")
-
-    def _entry(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """Packets per stream up to and including a micro-batch."""
-        return spark.read.parquet(f"{self._ledger}/batch={batch_id}")
-
-    def _last_batch(self) -> int:
-        system, root = recording.resolve(self._ledger)
-        names = (f.base_name for f in system.get_file_info(fs.FileSelector(root)))
-        return max(int(n.split("=")[1]) for n in names if n.startswith("batch="))
-
-    def __call__(self, packets: DataFrame, batch_id: int) -> None:
-        # Several passes follow; a lost executor recomputes its share from the source.
-        packets = packets.persist()
-        try:
-            self._append(packets, batch_id)
-        finally:
-            packets.unpersist()
-
-    def _append(self, packets: DataFrame, batch_id: int) -> None:
-        spark = packets.sparkSession
-        # Micro-batches are numbered without gaps, and one starts only after the one
-        # before it was committed.
-        earlier = self._entry(spark, batch_id - 1)
-        self._sweep(spark, earlier)
-        numbered = assemble.position(packets.select("stream_id", "arrival_ts", "seq"))
-        shifted = attach(numbered, earlier, ["stream_id"], "left", spread_by=["seq"],
-                         null_safe=True).select(
-            "stream_id", "seq", "arrival_ts",
-            (F.col("pos") + F.coalesce("total", F.lit(0))).alias("pos"))
-        staged = shifted.join(packets.select("stream_id", "seq", "payload"), ["stream_id", "seq"])
-        (staged.withColumn("stream_key", _folder(F.col("stream_id")))
-         .withColumn("file_id", assemble.div(F.col("pos"), self.per_file))
-         .write.mode("overwrite").partitionBy("stream_key", "file_id")
-         .parquet(f"{self._staged}/batch={batch_id}"))
-        here = shifted.groupBy("stream_id").agg((F.max("pos") + 1).alias("total"))
-        (earlier.unionByName(here).groupBy("stream_id").agg(F.max("total").alias("total"))
-         .write.mode("overwrite").parquet(f"{self._ledger}/batch={batch_id}"))
-        before = earlier.withColumnRenamed("total", "_before")
-        ready = self._entry(spark, batch_id).join(before, "stream_id", "left").select(
-            "stream_id", "total",
-            assemble.div(F.coalesce("_before", F.lit(0)), self.per_file).alias("_from"),
-            assemble.div(F.col("total"), self.per_file).alias("_to"))
-        self._record(spark, ready.filter("_from < _to"))
-
-    def _sweep(self, spark: SparkSession, committed: DataFrame) -> None:
-        """Drop staged packets whose file was recorded by a committed micro-batch. What a
-        repeated attempt of the current one needs is never among them."""
-        system, root = recording.resolve(self._staged)
-        found = system.get_file_info(
-            fs.FileSelector(root, recursive=True, allow_not_found=True))
-        folders = []
-        for f in found:
-            parts = f.path.rsplit("/", 2)
-            if f.type == fs.FileType.Directory and parts[2].startswith("file_id="):
-                folders.append((f.path, parts[1].split("=", 1)[1], int(parts[2].split("=")[1])))
-        if not folders:
-            return
-        listed = spark.createDataFrame(folders, "path string, stream_key string, file_id bigint")
-        done = committed.select(_folder(F.col("stream_id")).alias("stream_key"),
-                                assemble.div(F.col("total"), self.per_file).alias("_done"))
-        recorded = listed.join(done, "stream_key").filter("file_id < _done")
-        # At most the folders just listed.
-        for row in recorded.select("path").collect():
-            system.delete_dir(row["path"])
-
-    def finish(self, spark: SparkSession) -> None:
-        """End of data: record the last, partial file of every stream. Blocks that were
-        not filled stay out."""
-        last = assemble.div(F.col("total"), self.per_file)
-        self._record(spark, self._entry(spark, self._last_batch()).select(
-            "stream_id", "total", last.alias("_from"), (last + 1).alias("_to")))
-
-    def _record(self, spark: SparkSession, wanted: DataFrame) -> None:
-        """Write the files numbered ``_from`` up to ``_to`` of each stream."""
-        span = wanted.agg(F.min("_from").alias("lo"), F.max("_to").alias("hi")).first()
-        if span["lo"] is None:
-            return
-        # Plain bounds prune the staged partitions; the join then picks per stream.
-        near = (spark.read.parquet(self._staged)
-                .filter((F.col("file_id") >= span["lo"]) & (F.col("file_id") < span["hi"])))
-        chosen = attach(near, wanted, ["stream_id"], "inner", spread_by=["seq"]).filter(
-            (F.col("file_id") >= F.col("_from")) & (F.col("file_id") < F.col("_to")))
-        full = chosen.filter(assemble.div(F.col("pos"), self.per_block)
-                             < assemble.div(F.col("total"), self.per_block))
-        named = full.groupBy("stream_id", "file_id").agg(F.min("arrival_ts").alias("first_ts"))
-        named = named.withColumn("file", recording.file_name(
-            F.col("stream_id"), F.col("first_ts"), F.col("file_id")))
-        body = full.join(named.drop("first_ts"), ["stream_id", "file_id"]).select(
-            "file", assemble.div(F.col("pos"), self.per_block).alias("block_id"),
-            F.pmod("pos", F.lit(self.per_block)).alias("ordinal"), "payload")
+    """Recordings of ``layout.blocks_per_file`` blocks below ``files``.
+
+    Packets need not have distinct sequence numbers: they are numbered together with their
+    payloads. A row flagged ``eod``, and the end of all data, closes the open file of a stream;
+    blocks that were not filled stay out. A null stream id is a stream of its own.
+    """
+
+    files: str
+    layout: Layout
+    header_fields: dict
+    carried = "stream_id string, seq bigint, arrival_ts timestamp, payload binary, done bigint"
+    output = "stream_id string, file string, n_packets bigint"
+
+    def __call__(self, rows: DataFrame, carry: DataFrame, last: bool):
+        per_block = self.layout.send_n * self.layout.batches_per_block
+        per_file = per_block * self.layout.blocks_per_file
+        rows = with_eod(rows)
+        data = rows.filter("NOT eod").select("stream_id", "seq", "arrival_ts", "payload")
+        placed = assemble.position(carry.filter("done IS NULL").drop("done").unionByName(data))
+        per_stream = merged(
+            [placed.groupBy("stream_id").agg((F.max("pos") + 1).alias("total")),
+             carry.filter("done IS NOT NULL").select("stream_id", "done"),
+             rows.filter("eod").select("stream_id", F.lit(True).alias("ended")).distinct()],
+            total=F.coalesce(F.max("total"), F.lit(0)), done=F.coalesce(F.max("done"), F.lit(0)),
+            ended=F.coalesce(F.bool_or("ended"), F.lit(False)))
+        ended = F.col("ended") | F.lit(last)
+        unit = F.when(ended, F.lit(per_block)).otherwise(F.lit(per_file)).cast("bigint")
+        upto = F.call_function("div", F.col("total"), unit) * unit
+        per_stream = durable(per_stream.withColumn("_upto", upto).withColumn("_ended", ended))
+        known = attach(placed, per_stream, STREAM, spread_by=["pos"], null_safe=True)
+        full = known.filter("pos < _upto").withColumn(
+            "file_id", F.col("done") + assemble.div(F.col("pos"), per_file))
+        named = durable(full.groupBy("stream_id", "file_id").agg(
+            F.min("arrival_ts").alias("first_ts"), F.count(F.lit(1)).alias("n_packets")).withColumn(
+            "file", recording.file_name(F.col("stream_id"), F.col("first_ts"), F.col("file_id"))))
+        # One name for each open or completed file, far fewer than packets.
+        body = attach(full, named.select("stream_id", "file_id", "file"), ["stream_id", "file_id"],
+                      "inner", spread_by=["pos"], null_safe=True).select(
+            "file", assemble.div(F.col("pos"), per_block).alias("block_id"),
+            F.pmod("pos", F.lit(per_block)).alias("ordinal"), "payload")
         heads = recording.headers_for(named, self.header_fields, self.layout)
-        recording.write(body, heads, self.files, self.layout)
-
-
-def record(packets: DataFrame, sink: RollOver, checkpoint: str, finite: bool = True) -> StreamingQuery:
-    """Run the sink over a packet stream (stream_id, seq, arrival_ts, payload)."""
-    writer = packets.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if finite else writer).start()
+        # A release that is repeated writes the same files again.
+        recording.write(body, heads, self.files, self.layout, replace=True)
+        files = F.col("done") + assemble.div(F.col("_upto") + (per_file - 1), per_file)
+        rest = known.filter("pos >= _upto AND NOT _ended").select("stream_id", "seq", "arrival_ts", "payload")
+        counts = per_stream.select("stream_id", files.alias("done"))
+        return named.select("stream_id", "file", "n_packets"), rest.unionByName(counts, allowMissingColumns=True)
+
+
+def recorder(spark: SparkSession, root: str, layout: Layout, header_fields: dict,
+             lateness: int | None = None) -> InOrder:
+    """Sink for a packet stream (stream_id, seq, arrival_ts, payload, and eod if there is one);
+    recordings go to ``root``/files."""
+    return InOrder(spark, root, RollOver(f"{root}/files", layout, header_fields), lateness=lateness)
