@@ -23,13 +23,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     for _ in range(MOST_ROUNDS):
         both = pairs.select(F.col("lo").alias("n"), F.col("hi").alias("m")).union(
             pairs.select(F.col("hi").alias("n"), F.col("lo").alias("m")))
-        least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"))
+        # Stored before the join, so that Spark can split a node with very many neighbours.
+        least = durable(both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least")))
         # Larger neighbours of n now hang on the smallest of its neighbourhood.
         large = (both.filter("m > n").join(least, "n")
                  .select(F.col("least").alias("lo"), F.col("m").alias("hi"))).distinct()
         # And the smaller neighbours of n, n itself included.
         large = durable(large)
-        least = large.groupBy("hi").agg(F.min("lo").alias("least"))
+        least = durable(large.groupBy("hi").agg(F.min("lo").alias("least")))
         small = (large.join(least, "hi")
                  .select(F.col("least").alias("lo"), F.explode(F.array("lo", "hi")).alias("hi"))
                  .filter("lo <> hi").distinct())

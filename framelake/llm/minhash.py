@@ -33,7 +33,7 @@ from framelake.session import stored
 
 WORDS = 5
 SIMILARITY = (75, 100)
-SIDE, ROWS = 16, 3
+SIDE, ROWS = 20, 3
 # Documents of a group compared in one task with those of another block.
 BLOCK = 1500
 
@@ -129,7 +129,8 @@ def tables(classes: DataFrame) -> DataFrame:
     have such hashes in both collections; ``weight`` sums how often they occur.
     """
     hashes = classes.select("rep", F.posexplode("small").alias("slot", "h"))
-    repeated = hashes.groupBy("slot", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored before the join, so that Spark can split a hash that very many documents have.
+    repeated = stored(hashes.groupBy("slot", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
     kept = hashes.join(repeated, ["slot", "h"])
     # At most 2 * SIDE entries for a document.
     each = kept.groupBy("rep").agg(F.collect_list(F.struct("slot", "h")).alias("all"), F.sum("n").alias("weight"))
@@ -145,7 +146,7 @@ def stars(entries: DataFrame) -> DataFrame:
     pivots = (entries.groupBy("key").agg(F.max(F.struct("weight", F.col("rep"))).alias("top"),
                                          F.count(F.lit(1)).alias("n"))
               .filter("n > 1").select("key", F.col("top.rep").alias("pivot")))
-    met = entries.join(pivots, "key").filter("rep <> pivot")
+    met = entries.join(stored(pivots, "pivots"), "key").filter("rep <> pivot")
     return met.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
 
 
@@ -168,7 +169,7 @@ def mixed_groups(entries: DataFrame, labels: DataFrame) -> DataFrame:
     mixed = (known.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                       F.min("rep").alias("anchor"))
              .filter("lo <> hi").select("key", "anchor"))
-    members = stored(known.join(mixed, "key").select("rep", "label", "anchor").distinct(), "members")
+    members = stored(known.join(stored(mixed, "mixed"), "key").select("rep", "label", "anchor").distinct(), "members")
     found = components(members.select(F.col("rep").alias("a"), F.col("anchor").alias("b")))
     return (members.select("rep", "label").distinct()
             .join(found.select(F.col("node").alias("rep"), F.col("component").alias("grp")), "rep"))
@@ -215,7 +216,7 @@ def link_blocks(ids, labels, sets, side, similarity) -> list[tuple[int, int]]:
 
 def group_links(groups: DataFrame, sets: DataFrame, similarity: tuple[int, int], block: int = BLOCK) -> DataFrame:
     """Edges within the groups, by pairs of blocks of about ``block`` documents."""
-    sized = groups.join(groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "grp")
+    sized = groups.join(stored(groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "sizes"), "grp")
     blocks = F.ceil(F.col("n") / block).cast("int")
     placed = sized.select("rep", "label", "grp", blocks.alias("blocks"),
                           F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"))

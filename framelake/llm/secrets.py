@@ -37,6 +37,7 @@ MAX_CHARS_PER_TOKEN = 1.9
 # Known digests (32, 40, 64, 96 or 128 hexadecimal digits), identifiers and plain numbers.
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})",
                     re.IGNORECASE)
+INTEGRITY = re.compile(r"sha(?:1|224|256|384|512)[-_=][A-Za-z0-9+/_-]+=*", re.IGNORECASE)
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 NUMBER = re.compile(r"[0-9_+/=-]+")
 DIGEST_HINT = re.compile(r"(?:sha-?(?:1|224|256|384|512)|md5|commit|integrity)[-:= ]*$", re.IGNORECASE)
@@ -81,7 +82,7 @@ def random_spans(text: str, ranks: str, ratio: float) -> list[tuple[int, int, in
     out = []
     for m in CANDIDATE.finditer(text):
         part = m.group()
-        if not _mixed(part) or DIGEST.fullmatch(part) or UUID.fullmatch(part) or NUMBER.fullmatch(part):
+        if not _mixed(part) or any(known.fullmatch(part) for known in (DIGEST, INTEGRITY, UUID, NUMBER)):
             continue
         if DIGEST_HINT.search(text, max(0, m.start() - 12), m.start()):
             continue

@@ -220,26 +220,27 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _context_bytes(keyed: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the wanted contexts (``k``, ``lo``, ``hi``, and what is kept with them)."""
-    per_text = wanted.groupBy("k").agg(F.collect_list(F.struct("lo", "hi", "shard", "spread", "n")).alias("w"))
+    narrow = F.struct(*[F.col(c).cast("int").alias(c) for c in ("lo", "hi", "shard")], "spread", "once")
+    per_text = wanted.groupBy("k").agg(F.collect_list(narrow).alias("w"))
 
     def cut(batches):
         for batch in batches:
-            rows = {c: [] for c in ("k", "lo", "shard", "spread", "n", "body")}
+            rows = {c: [] for c in ("k", "lo", "shard", "spread", "once", "body")}
             for k, text, places in zip(*(batch.column(c) for c in ("k", "text", "w"))):
                 raw = text.as_py().encode()
                 for p in places.as_py():
-                    for c in ("lo", "shard", "spread", "n"):
+                    for c in ("lo", "shard", "spread", "once"):
                         rows[c].append(p[c])
                     rows["k"].append(k.as_py())
                     rows["body"].append(raw[p["lo"]:p["hi"] + length])
             yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-                ("k", pa.int64()), ("lo", pa.int64()), ("shard", pa.int64()), ("spread", pa.bool_()),
-                ("n", pa.int64()), ("body", pa.binary())]))
+                ("k", pa.int64()), ("lo", pa.int64()), ("shard", pa.int32()), ("spread", pa.bool_()),
+                ("once", pa.bool_()), ("body", pa.binary())]))
 
     # Rows that are equal throughout have one key; any of them has the bytes.
     found = attach(keyed, stored(per_text, "wanted"), ["k"], "inner")
     return found.select("k", "text", "w").mapInArrow(
-        cut, "k long, lo long, shard long, spread boolean, n long, body binary").dropDuplicates(["k", "lo"])
+        cut, "k long, lo long, shard int, spread boolean, once boolean, body binary").dropDuplicates(["k", "lo"])
 
 
 SHARD_OUT = ("k long, starts array<long>, ends array<long>, "
@@ -262,11 +263,11 @@ def _search_shard(length: int):
 def _search(table: pa.Table, length: int) -> list[dict]:
     bodies = [np.frombuffer(b, np.uint8) for b in table["body"].to_pylist()]
     keys, lows = table["k"].to_numpy(), table["lo"].to_numpy()
-    spread, n = table["spread"].to_numpy(), table["n"].to_numpy()
+    spread, once = table["spread"].to_pylist(), table["once"].to_pylist()
     rows, left = [], {"key": [], "owner": [], "place": [], "done": []}
     for i, (many, classes) in enumerate(repeated_windows(bodies, length)):
         # Contexts that occur several times are covered already and only serve as partners.
-        if n[i] == 1 and many.any():
+        if once[i] and many.any():
             first, last = runs(many)
             rows.append({"k": int(keys[i]), "starts": first + lows[i], "ends": last + lows[i] + length})
         if spread[i]:
@@ -274,7 +275,7 @@ def _search(table: pa.Table, length: int) -> list[dict]:
             left["key"].append(window)
             left["owner"].append(np.full(len(window), keys[i]))
             left["place"].append(np.arange(len(window)) + lows[i])
-            left["done"].append(many | (n[i] > 1))
+            left["done"].append(many | (not once[i]))
     if left["key"]:
         joined = {c: np.concatenate(v) for c, v in left.items()}
         order = np.argsort(joined["key"], kind="stable")
@@ -326,10 +327,11 @@ def _merge_range(length: int):
 
 def covered(keyed: DataFrame, length: int = LENGTH, spread: int = SPREAD,
             shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``k``, ``starts``, ``ends``: byte ranges of each text (``k``, ``text``) that repeat,
-    unmerged, one row for each text that has any."""
+    """``k``, ``starts``, ``ends``: maximal byte ranges of each text (``k``, ``text``) that
+    repeated windows cover, one row for each text that has any."""
     found = stored(_occurrences(keyed, length), "occurrences")
-    twice = found.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("h")
+    # Aggregates are stored before they are joined, so that Spark can split a hot anchor.
+    twice = stored(found.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("h"), "anchors")
     again = stored(found.join(twice, "h"), "repeated")
     groups = stored(again.groupBy("h", "c").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "lo", "hi")).alias("at")), "contexts")
@@ -339,6 +341,7 @@ def covered(keyed: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     # Anchors with differing contexts, of which some occur once.
     differing = (groups.groupBy("h").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least"))
                  .filter("contexts > 1 AND least = 1"))
+    differing = stored(differing, "differing")
     open_ = groups.join(differing, "h").select(
         "h", "c", "n", "contexts", "at.*", (F.col("at.hi") - F.col("at.lo") + length).alias("size"))
     open_ = stored(open_, "open")
@@ -347,15 +350,24 @@ def covered(keyed: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     # An anchor's shard, and for one with very many contexts a number of shards of its own.
     ways = F.ceil(F.col("contexts") / spread).cast("long")
     sub = F.when(ways > 1, F.pmod(F.xxhash64("c", "k", "lo"), ways)).otherwise(F.lit(0))
-    wanted = open_.select("k", "lo", "hi", "n", F.pmod(F.xxhash64("h", sub), F.lit(shards)).alias("shard"),
+    wanted = open_.select("k", "lo", "hi", (F.col("n") == 1).alias("once"), F.pmod(F.xxhash64("h", sub), F.lit(shards)).alias("shard"),
                           (ways > 1).alias("spread"))
     bodies = _context_bytes(keyed, wanted, length)
     searched = stored(bodies.groupBy("shard").applyInArrow(_search_shard(length), SHARD_OUT), "searched")
     merged = (searched.filter("part IS NOT NULL").groupBy("part")
               .applyInArrow(_merge_range(length), "k long, starts array<long>, ends array<long>"))
     every = pieces.union(searched.filter("k IS NOT NULL").select("k", "starts", "ends")).union(merged)
-    return every.groupBy("k").agg(F.flatten(F.collect_list("starts")).alias("starts"),
-                                  F.flatten(F.collect_list("ends")).alias("ends"))
+    ranges = every.groupBy("k").agg(F.flatten(F.collect_list("starts")).alias("starts"),
+                                    F.flatten(F.collect_list("ends")).alias("ends"))
+    union = F.arrow_udf(_unions, "struct<starts:array<int>,ends:array<int>>")
+    return ranges.select("k", union("starts", "ends").alias("u")).select("k", "u.*")
+
+
+def _unions(starts: pa.Array, ends: pa.Array) -> pa.Array:
+    found = [_merged(a.values.to_numpy(), b.values.to_numpy()) for a, b in zip(starts, ends)]
+    kind = pa.list_(pa.int32())
+    return pa.StructArray.from_arrays([pa.array([f[i].astype(np.int32) for f in found], kind) for i in (0, 1)],
+                                      names=["starts", "ends"])
 
 
 # -- removal ---------------------------------------------------------------------------
@@ -393,7 +405,7 @@ def remove_repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", int
             raw, gone, spans = data[bounds[i]:bounds[i + 1]].tobytes(), 0, 0
             kept = raw
             if starts[i].is_valid:
-                a, b = _merged(starts[i].values.to_numpy(), ends[i].values.to_numpy())
+                a, b = starts[i].values.to_numpy(), ends[i].values.to_numpy()
                 gone, spans = int((b - a).sum()), len(a)
                 edges = np.concatenate([[0], np.ravel(np.column_stack([a, b])), [len(raw)]])
                 kept = b"".join(raw[s:e] for s, e in zip(edges[::2], edges[1::2]))
