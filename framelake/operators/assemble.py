@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from framelake.functions.layout import Layout
 from framelake.operators import ordered
 from framelake.operators.joins import attach
+from framelake.session import durable
 
 
 def div(value: Column, by: int) -> Column:
@@ -31,10 +32,26 @@ def position(packets: DataFrame, stream: str = "stream_id", ts: str = "arrival_t
     return ordered.positions(packets, [stream], [ts, seq])
 
 
-def position_dense(packets: DataFrame, first_seq: int = 0, seq: str = "seq") -> DataFrame:
-    """Position where ``seq`` already counts the packets of each stream without
-    gaps: arithmetic alone, no shuffle."""
-    return packets.withColumn("pos", F.col(seq) - F.lit(first_seq))
+def position_dense(packets: DataFrame, stream: str = "stream_id", seq: str = "seq",
+                   check: bool = True) -> DataFrame:
+    """Position where ``seq`` already counts the packets of each stream without gaps, from
+    whatever number it begins at: arithmetic alone, no sort.
+
+    Density is verified by one aggregation (least, greatest and number of ``seq``); a stream
+    with gaps or repetitions stops the job instead of shifting all later batches. A table
+    known to be dense can skip that.
+    """
+    spans = packets.groupBy(stream).agg(
+        F.min(seq).alias("_lo"), F.max(seq).alias("_hi"), F.count(F.lit(1)).alias("_n"),
+        F.count(seq).alias("_known"))
+    if check:
+        spans = durable(spans)
+        # A repetition needs a gap to keep the number right, and then ids are not distinct.
+        broken = spans.filter("_n <> _known OR _hi - _lo + 1 <> _n").first()
+        if broken is not None:
+            raise ValueError(f"{seq} of stream {broken[stream]!r} has gaps or repetitions")
+    placed = attach(packets, spans.select(stream, "_lo"), [stream], "left", spread_by=[seq], null_safe=True)
+    return placed.withColumn("pos", F.col(seq) - F.col("_lo")).drop("_lo")
 
 
 def batches(positioned: DataFrame, layout: Layout, keep_tail: bool = False) -> DataFrame:

@@ -93,12 +93,14 @@ def match_rules(packets: DataFrame, rules: DataFrame, spread_by: list[str] | Non
 def count_by_rule(packets: DataFrame, rules: DataFrame, length: Column) -> DataFrame:
     """Packets and bytes per rule; rules without traffic show zero.
 
-    Packets are summed per flow before meeting the rules, so the join sees one
-    row per flow and a hot flow is reduced map-side.
+    Packets meet the rules first, where these are small without moving, and what matches is
+    summed per rule map-side.
     """
-    per_flow = (packets.filter(F.col("eth_type") == ETH_IPV4).groupBy(*FLOW)
-                .agg(F.count(F.lit(1)).alias("packets"), F.sum(length).alias("bytes")))
-    return rules.join(per_flow, FLOW, "left").select(
+    keyed = rules.select("rule_id", *FLOW)
+    ipv4 = packets.filter(F.col("eth_type") == ETH_IPV4).select(*FLOW, length.alias("_length"))
+    per_rule = (attach(ipv4, keyed, FLOW, "inner").groupBy("rule_id")
+                .agg(F.count(F.lit(1)).alias("packets"), F.sum("_length").alias("bytes")))
+    return rules.select("rule_id").join(per_rule, "rule_id", "left").select(
         "rule_id", F.coalesce("packets", F.lit(0)).alias("packets"),
         F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"))
 

@@ -11,7 +11,7 @@ from framelake.functions import address, frames, header, layout, timestamps
 from framelake.operators import assemble, chained, flows, joins, metrics, ordered
 from framelake.plans import views
 from framelake.plans.views import ALIGNED, SHORT, SMALL_BATCH, TINY
-from framelake.sources import logs, recording
+from framelake.sources import headers, logs, recording
 from framelake.sources import packets as landing
 from framelake.streaming import jobs
 from framelake.streaming.inorder import InOrder, run
@@ -39,6 +39,15 @@ def pkt_encode(spark, sf_dir):
     return framed.select("seq", F.hex("frame").alias("frame_hex"))
 
 
+def pkt_generate(spark, sf_dir):
+    """Packets whose payload comes from a generator, encoded into frames."""
+    def fill(df):
+        return F.concat(F.encode(F.col("stream_id"), "UTF-8"), F.unhex(F.lpad(F.hex("seq"), 16, "0")))
+
+    made = frames.fill_payload(views.packets(spark, sf_dir), fill)
+    return frames.encode_packets(made).select("seq", F.hex("frame").alias("frame_hex"))
+
+
 def pkt_split(spark, sf_dir):
     split = frames.split_payload(views.packets(spark, sf_dir).select("seq", "payload"), 4, 5)
     return split.select("seq", F.hex("head").alias("head_hex"), F.hex("data").alias("data_hex"),
@@ -111,6 +120,19 @@ def header_render(spark, sf_dir):
                            F.octet_length(header.pad(F.col("header_text"))).alias("header_len"))
 
 
+def header_files(spark, sf_dir):
+    """Headers written as text files and read back: parsed ones, and the rejects."""
+    folder = f"{session.scratch(spark, 'headers')}/text"
+    headers.write_files(views.headers(spark, sf_dir), folder, "file_id")
+    good, bad = headers.read(spark, folder)
+    columns = ["file_id", "nant", "bytes_per_second", "n_missing"]
+    number = headers.file_key(F.col("path")).cast("bigint").alias("file_id")
+    read = good.select(number, "nant", "bytes_per_second", F.lit(0).alias("n_missing"))
+    return read.unionByName(bad.select(
+        number, F.lit(None).cast("int").alias("nant"), F.lit(None).cast("bigint").alias("bytes_per_second"),
+        F.size("missing_keys").alias("n_missing"))).select(*columns)
+
+
 def header_consistency(spark, sf_dir):
     checked = header.consistency(
         header.parse(views.headers(spark, sf_dir)), TINY.pkts_per_block)
@@ -147,6 +169,28 @@ def flow_rules(spark, sf_dir):
         views.packets(spark, sf_dir), views.flow_rules(spark), _frame_length())
 
 
+def flow_match_rows(spark, sf_dir):
+    """Every packet with the rule it satisfies, and those that satisfy none."""
+    packets, rules = views.packets(spark, sf_dir), views.flow_rules(spark)
+    matched = flows.match_rules(packets, rules).select("stream_id", "seq", "rule_id")
+    none = flows.match_rules(packets, rules, how="left_anti").select(
+        "stream_id", "seq", F.lit(None).cast("int").alias("rule_id"))
+    return matched.unionByName(none)
+
+
+def flow_match_frames(spark, sf_dir):
+    """Stored, undecoded frames that satisfy a rule, decoded afterwards."""
+    raw = session.stored(frames.encode_packets(views.packets(spark, sf_dir)).select("seq", "frame"), "frames")
+    found = flows.match_frame_rules(raw, views.flow_rules(spark))
+    return frames.decode(found, "frame").select("seq", "rule_id", "src_ip", "src_port")
+
+
+def flow_masked(spark, sf_dir):
+    """Packets from either port of a pair: the lowest bit is not compared."""
+    wanted = flows.masked_predicate({"dst_port": (17202, 0xFFFF), "src_port": (60000, 0xFFFE)})
+    return views.packets(spark, sf_dir).filter(wanted).select("stream_id", "seq", "src_port", "dst_port")
+
+
 def flow_summary(spark, sf_dir):
     return flows.summary(views.packets(spark, sf_dir), ["src_ip", "dst_port"], _frame_length())
 
@@ -157,6 +201,12 @@ def arrival_position(spark, sf_dir):
     return views.positioned(spark, sf_dir).select("stream_id", "seq", "pos")
 
 
+def position_dense(spark, sf_dir):
+    """Sequence numbers of the table count all its packets: one dense stream."""
+    packets = views.packets(spark, sf_dir).select(F.lit("all").alias("stream_id"), "seq")
+    return assemble.position_dense(packets)
+
+
 def batch_assemble(spark, sf_dir):
     return assemble.batches(views.positioned(spark, sf_dir), TINY).select(
         "stream_id", "batch_id", "n_packets", "first_seq", "last_seq", "bytes")
@@ -267,8 +317,9 @@ def offset_gaps(spark, sf_dir):
 
 
 def log_metrics(spark, sf_dir):
-    """Hourly log lines per stream, rendered and parsed back. A run starts each week;
-    every event counts as one aligned block."""
+    """Hourly log lines per stream, written as text files and read back. A run starts each
+    week, with two damaged lines and a counter of the buffer; every event counts as one
+    aligned block."""
     per_hour = metrics.throughput(
         views.packets(spark, sf_dir).select("stream_id", "arrival_ts"), ALIGNED, HOUR)
     size = F.lit(ALIGNED.block_bytes)
@@ -277,22 +328,24 @@ def log_metrics(spark, sf_dir):
         "HOUR", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), F.col("win_start")) % 168 == 0
     used = F.pmod("packets", F.lit(ALIGNED.nbufs + 1))
     report = F.when(F.col("packets") > 0, F.format_string(
-        "NowTime:%s,gpu_id:0,total_recv:%-8dKB,Process Bandwidth:%6.3f Gbps,cost time:3600000ms",
-        F.date_format("win_start", "'year:'yyyy',month:'MM',day:'dd',hours:'HH"),
-        timestamps.whole_kb(n_bytes), timestamps.gbps(n_bytes, F.lit(HOUR * 1_000_000)))
-    ).otherwise("total_recv: 0          Bandwidth: 0 Gbps, cost time us_elapsed: 3600000000 ")
+        logs.BANDWIDTH_LINE, F.date_format("win_start", "'year:'yyyy',month:'MM',day:'dd',hours:'HH"),
+        timestamps.whole_kb(n_bytes), timestamps.gbps(n_bytes, F.lit(HOUR * 1_000_000)),
+        F.lit(HOUR * 1000))).otherwise(F.format_string(logs.IDLE_LINE, F.lit(HOUR * 1_000_000).cast("bigint")))
     progress = F.format_string(
-        "[Progress] Blocks written: %d | Ring buffer: %.1f%% full (%d/%d MB)",
-        F.col("packets"), timestamps.percent(used, F.lit(ALIGNED.nbufs)),
+        logs.PROGRESS_LINE, F.col("packets"), timestamps.percent(used, F.lit(ALIGNED.nbufs)),
         F.shiftright(used * size, 20), F.lit(ALIGNED.ring_bytes >> 20))
-    started = F.concat(F.lit("Run started at: "),
-                       F.date_format("win_start", "yyyy-MM-dd HH:mm:ss"))
+    marks = (F.format_string(logs.STARTED_LINE, F.date_format("win_start", "yyyy-MM-dd HH:mm:ss")),
+             F.lit("[Progress] Blocks written: 7 | Ring buffer: 1.2.3% full (5/8 MB)"),
+             F.lit("Run started at: 2024-13-01 00:00:00"),
+             F.format_string(logs.COUNTER_LINE, F.lit("blocks_in_use"), used))
     lines = per_hour.select(
         F.col("stream_id").alias("file"), F.col("win_start"),
-        F.posexplode(F.array(F.when(week, started), progress, report)).alias("part", "value")
+        F.posexplode(F.array(*[F.when(week, m) for m in marks], progress, report)).alias("part", "value")
     ).filter("value is not null")
-    parsed = logs.with_run(logs.classify(lines), "file", ["win_start", "part"])
-    return parsed.select("file", "run_id", "win_start", "kind", "blocks", "fill_pct", "kb", "gbps")
+    path = f"{session.scratch(spark, 'logs')}/text"
+    logs.write(lines, path, "file", ["win_start", "part"])
+    return logs.read_folders(spark, path).select(
+        "file", "run_id", "line_no", "kind", "blocks", "fill_pct", "kb", "gbps", "counter", "amount")
 
 
 # --- recordings ----------------------------------------------------------------------
@@ -402,6 +455,18 @@ def stream_recording(spark, sf_dir):
         "packet_index", F.md5("payload").alias("payload_md5"))
 
 
+def stream_hook(spark, sf_dir):
+    """Blocks handed to a user's function as they are published: it writes what it got."""
+    folder, calls = f"{session.scratch(spark, 'hook')}/blocks", []
+
+    def publish(blocks):
+        calls.append(None)
+        jobs.as_blocks(blocks, TINY).write.parquet(f"{folder}/call={len(calls)}")
+
+    _drained(_followed(spark, sf_dir), jobs.Hooked(jobs.blocks(TINY), publish))
+    return spark.read.parquet(folder).select("stream_id", "block_id", "n_packets")
+
+
 def stream_packing(spark, sf_dir):
     """Live form of pack_variable: blocks completed before the end of the data."""
     rows = views.table(spark, sf_dir, "lineitem").select(
@@ -421,7 +486,8 @@ QUERIES = {fn.__name__: fn for fn in (
     pack_variable, throughput, idle_runs, block_dwell, ring_occupancy, ring_snapshot,
     progress_windowed, progress_exact, offset_gaps, log_metrics, recording_roundtrip,
     stream_batches, stream_blocks, stream_throughput, stream_occupancy, stream_progress,
-    stream_recording, stream_packing)}
+    stream_recording, stream_packing, flow_match_rows, flow_match_frames, flow_masked,
+    position_dense, header_files, pkt_generate, stream_hook)}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

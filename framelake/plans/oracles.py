@@ -326,23 +326,45 @@ SELECT l_orderkey, "offset", expected, "offset" AS actual FROM z WHERE i = 1""",
   SELECT stream_id AS file, win_start, packets,
          date_diff('hour', TIMESTAMP '2024-01-01', win_start) % 168 = 0 AS starts
   FROM hours),
+l AS (SELECT *, unnest(range(0, 6)) AS part FROM h),
 r AS (
-  SELECT *, CAST(sum(CAST(starts AS INTEGER)) OVER (PARTITION BY file ORDER BY win_start)
-                 AS BIGINT) AS run_id
-  FROM h)
-SELECT file, run_id, win_start, 'started' AS kind,
-       CAST(NULL AS BIGINT) AS blocks, CAST(NULL AS DOUBLE) AS fill_pct,
-       CAST(NULL AS BIGINT) AS kb, CAST(NULL AS DOUBLE) AS gbps
-FROM r WHERE starts
-UNION ALL
-SELECT file, run_id, win_start, 'progress', packets, CAST((packets % 9) * 12.5 AS DOUBLE), NULL, NULL
-FROM r
-UNION ALL
-SELECT file, run_id, win_start, CASE WHEN packets > 0 THEN 'bandwidth' ELSE 'idle' END, NULL, NULL,
-       packets * 135266304 // 1024,
-       round(CAST(packets * 135266304 AS DOUBLE) * 8 / 3600000000 / 1000, 3)
+  SELECT *, CAST(sum(CAST(part = 0 AS INTEGER)) OVER w AS BIGINT) AS run_id, row_number() OVER w AS line_no
+  FROM l WHERE starts OR part > 3 WINDOW w AS (PARTITION BY file ORDER BY win_start, part))
+SELECT file, run_id, line_no,
+       CASE part WHEN 0 THEN 'started' WHEN 1 THEN 'other' WHEN 2 THEN 'other' WHEN 3 THEN 'snapshot'
+                 WHEN 4 THEN 'progress' ELSE CASE WHEN packets > 0 THEN 'bandwidth' ELSE 'idle' END END AS kind,
+       CASE WHEN part = 4 THEN packets END AS blocks,
+       CASE WHEN part = 4 THEN CAST((packets % 9) * 12.5 AS DOUBLE) END AS fill_pct,
+       CASE WHEN part = 5 THEN packets * 135266304 // 1024 END AS kb,
+       CASE WHEN part = 5 THEN round(CAST(packets * 135266304 AS DOUBLE) * 8 / 3600000000 / 1000, 3) END AS gbps,
+       CASE WHEN part = 3 THEN 'blocks_in_use' END AS counter,
+       CASE WHEN part = 3 THEN packets % 9 END AS amount
 FROM r""",
 
+    "flow_match_rows": f"""WITH {PACKETS}, rules(rule_id, ip, port) AS (
+  VALUES (1, '10.17.0.12', 60000), (2, '10.17.0.13', 60001), (3, '10.17.0.12', 60002))
+SELECT stream_id, seq, rule_id FROM packets LEFT JOIN rules
+  ON src_ip = ip AND src_port = port AND dst_port = 17202 AND eth_type = 2048""",
+
+    "flow_match_frames": f"""WITH {PACKETS}, rules(rule_id, ip, port) AS (
+  VALUES (1, '10.17.0.12', 60000), (2, '10.17.0.13', 60001), (3, '10.17.0.12', 60002))
+SELECT seq, rule_id, src_ip, src_port FROM packets JOIN rules
+  ON src_ip = ip AND src_port = port AND dst_port = 17202 AND eth_type = 2048""",
+
+    "flow_masked": f"""WITH {PACKETS}
+SELECT stream_id, seq, src_port, dst_port FROM packets
+WHERE dst_port = 17202 AND src_port & 65534 = 60000""",
+
+    "position_dense": f"""WITH {PACKETS}
+SELECT 'all' AS stream_id, seq, seq - (SELECT min(seq) FROM packets) AS pos FROM packets""",
+
+    "header_files": f"""WITH {HEADERS}
+SELECT file_id, CASE WHEN pkt_nbit IS NOT NULL THEN nant END AS nant,
+       CASE WHEN pkt_nbit IS NOT NULL THEN bytes_per_second END AS bytes_per_second,
+       CASE WHEN pkt_nbit IS NULL THEN 1 ELSE 0 END AS n_missing FROM heads""",
+
+    "stream_hook": f"""WITH {BLOCKS} SELECT stream_id, block_id, n_packets FROM blocks""",
+
     "recording_roundtrip": """WITH d AS (
   SELECT doc_id, lang, encode(text) AS raw FROM documents WHERE octet_length(encode(text)) > 0),
 c AS (SELECT doc_id, lang, raw, unnest(range(0, (octet_length(raw) + 63) // 64)) AS chunk FROM d),
@@ -392,6 +414,10 @@ FROM b WHERE block_id >= 0
 QUALIFY block_id < max(block_id) OVER (PARTITION BY stream_id)""",
 }
 
+ORACLES["pkt_generate"] = ORACLES["pkt_encode"].replace(
+    "FROM packets)", "FROM (SELECT * REPLACE (octet_length(encode(stream_id)) + 8 AS size) FROM packets))", 1
+).replace("hex(encode(props)) AS", "hex(encode(stream_id)) || printf('%016X', seq) AS")
+
 # A drained stream gives what the batch operator gives.
 ORACLES["stream_throughput"] = ORACLES["throughput"]
 ORACLES["stream_blocks"] = ORACLES["block_assemble"]

@@ -26,3 +26,14 @@ def read(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFr
 def write_text(headers: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write typed headers as text, one header after another, with version lines."""
     headers.select(header.render(with_version=True).alias("value")).write.mode(mode).text(path)
+
+
+def write_files(texts: DataFrame, path: str, key: str) -> None:
+    """Write header texts (``key``, ``header_text``) as text files, a folder of ``path`` each."""
+    rows = texts.select(F.col(key).alias("key"), F.col("header_text").alias("value"))
+    rows.repartition("key").sortWithinPartitions("key").write.partitionBy("key").text(path)
+
+
+def file_key(path):
+    """The key of a file that :func:`write_files` wrote."""
+    return F.regexp_extract(path, "/key=([^/]*)/", 1)

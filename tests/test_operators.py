@@ -102,12 +102,26 @@ def test_assembly_edges(spark, n, n_batches, n_blocks):
     assert assemble.published(positioned, TINY).count() == n_blocks * 48
 
 
-def test_dense_sequence_needs_no_shuffle(spark):
-    rows = [("s", START, i + 10) for i in range(40)]
-    dense = assemble.position_dense(frame(spark, rows), 10)
-    assert dense.agg(F.min("pos"), F.max("pos")).first() == (0, 39)
+def test_dense_sequence_needs_no_sort(spark):
+    rows = [("s", START, i + 10) for i in range(40)] + [(None, START, i) for i in range(5)]
+    dense = assemble.position_dense(frame(spark, rows))
+    assert [tuple(r) for r in dense.groupBy("stream_id").agg(F.min("pos"), F.max("pos")).orderBy("stream_id").collect()
+            ] == [(None, 0, 4), ("s", 0, 39)]
     plan = dense._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert "Sort" not in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("seqs", [[1, 2, 4], [1, 1, 2], [1, None, 2]])
+def test_dense_sequence_is_checked(spark, seqs):
+    with pytest.raises(ValueError, match="gaps or repetitions"):
+        assemble.position_dense(frame(spark, [("s", START, q) for q in seqs]))
+
+
+def test_dimension_join_refuses_kept_rows(spark):
+    one = spark.createDataFrame([(1, 2)], "k int, v int")
+    for how in ("right", "full", "outer"):
+        with pytest.raises(ValueError, match="join"):
+            joins.attach(one, one.withColumnRenamed("v", "w"), ["k"], how)
 
 
 def pack_by_hand(sizes, capacity):

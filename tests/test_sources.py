@@ -88,7 +88,10 @@ def test_overwrite_append_and_slot_order(spark, tmp_path):
     path = str(tmp_path)
     body, heads = placed(spark)
     recording.write(body, heads, path, SMALL)
-    recording.write(body.filter("file = 'f0'"), heads.filter("file = 'f0'"), path, SMALL)
+    again = body.filter("file = 'f0'"), heads.filter("file = 'f0'")
+    with pytest.raises(Exception, match="exist already"):
+        recording.write(*again, path, SMALL)
+    recording.write(*again, path, SMALL, replace=True)
     assert len(os.listdir(path)) == 3
     recording.write(body.filter("file = 'f1'"), heads.filter("file = 'f1'"), path, SMALL,
                     mode="overwrite", order_by="slot")
@@ -132,13 +135,17 @@ def test_header_files(spark, tmp_path):
 
 LOG = """
 Run started at: 2026-02-10 12:00:00
-[WARN] Block size not exact multiple, 160 bytes wasted per block
+[WARN] sample warning
 [Progress] Blocks written: 10 | Ring buffer: 25.3% full (256/1024 MB)
 NowTime:year:2026,gpu_id:0,total_recv:1234    KB,Process Bandwidth: 16.512 Gbps,cost time:1000ms
 total_recv: 0          Bandwidth: 0 Gbps, cost time us_elapsed: 1000123
 Run ended at: 2026-02-10 12:01:00
 Run started at: 2026-02-10 13:00:00
-[ERROR] Failed to get next block!
+[ERROR] sample error
+[Progress] Blocks written: 20 | Ring buffer: 5.0.1% full (512/1024 MB)
+Run started at: 2026-13-10 13:00:00
+[Progress] Blocks written: 99999999999999999999 | Ring buffer: 1% full (1/2 MB)
+bytes_read : 77
 [Progress] Blocks written: 20 | Ring buffer: 50.1% full (512/1024 MB)
 """
 
@@ -150,7 +157,8 @@ def test_log_files(spark, tmp_path):
     first = [r for r in rows if r["file"].endswith("a.log")]
     assert [(r["kind"], r["run_id"]) for r in first] == [
         ("started", 1), ("warn", 1), ("progress", 1), ("bandwidth", 1), ("idle", 1), ("ended", 1),
-        ("started", 2), ("error", 2), ("progress", 2)]
+        ("started", 2), ("error", 2), ("snapshot", 2), ("progress", 2)]
+    assert (first[8]["counter"], first[8]["amount"]) == ("bytes_read", 77)
     assert (first[2]["blocks"], first[2]["fill_pct"], first[2]["used_mb"], first[2]["total_mb"]) == (
         10, 25.3, 256, 1024)
     assert (first[3]["kb"], first[3]["gbps"], first[3]["elapsed_ms"]) == (1234, 16.512, 1000)
@@ -174,11 +182,10 @@ def test_large_log_is_split(spark, tmp_path):
 
 
 def test_snapshot_text(spark):
-    text = ("header_state          : filled\nblocks_in_use         : 3\n"
-            "bytes_written         : 10485760 (10 MB)\nbytes_read            : 10485760\n"
-            "bytes_available       : 8373657600\n")
+    text = ("header_state   : full\nblocks_in_use  : 5\nbytes_written  : 4000 (4 kB)\n"
+            "bytes_read\t: 1200\nbytes_available : 0\n")
     row = logs.parse_snapshot(spark.createDataFrame([(text,)], "value string")).first()
-    assert list(row)[1:] == ["filled", 3, 10485760, 10485760, 8373657600]
+    assert list(row)[1:] == ["full", 5, 4000, 1200, 0]
 
 
 @pytest.mark.parametrize("by_day", [False, True])
