@@ -27,7 +27,7 @@ def mjd_text(value: Column) -> Column:
     A double between 2^15 and 2^17 (years 1948 to 2217) is a whole number of
     2^-37 steps, so the fraction is an exact integer and its decimal digits
     follow from integer arithmetic. ``format_string`` would pad the shortest
-    representation with zeros instead.
+    representation with zeros instead. Other dates would be rounded, so they give null.
     """
     whole = F.floor(value)
     steps = ((value - whole) * F.lit(float(1 << 37))).cast("decimal(12,0)")
@@ -35,8 +35,9 @@ def mjd_text(value: Column) -> Column:
         steps * F.lit(5 ** 15).cast("decimal(11,0)") / F.lit(1 << 22).cast("decimal(7,0)"), 0
     ).cast("bigint")
     unit = F.lit(10 ** 15)
-    return F.concat((whole + F.when(digits >= unit, 1).otherwise(0)).cast("string"), F.lit("."),
+    text = F.concat((whole + F.when(digits >= unit, 1).otherwise(0)).cast("string"), F.lit("."),
                     F.lpad((digits % unit).cast("string"), 15, "0"))
+    return F.when((value >= 1 << 15) & (value < 1 << 17), text)
 
 
 def whole_kb(n_bytes: Column) -> Column:

@@ -12,6 +12,7 @@ from framelake.session import durable
 
 
 BROADCAST_BYTES = 64 << 20
+# Fewest buckets a hot key is spread over; a session with wider shuffles gets more.
 SALT_BUCKETS = 16
 # Most records of a per-partition summary that may pass through the driver.
 LOCAL_ROWS = 50_000
@@ -43,7 +44,7 @@ def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
 
     A dimension measured below ``limit`` is broadcast and the fact side does not
     move. Above it both sides shuffle; ``spread_by`` names fact columns that vary
-    inside one key, and spreads a hot key over ``SALT_BUCKETS`` tasks with the
+    inside one key, and spreads a hot key over ``SALT_BUCKETS`` tasks or more with the
     matching dimension rows repeated per bucket.
     """
     if how not in ("left", "inner", "leftsemi", "left_semi", "leftanti", "left_anti"):
@@ -52,10 +53,9 @@ def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
     if fits_broadcast(dim, limit):
         dim = F.broadcast(dim)
     elif spread_by:
-        buckets = F.array(*[F.lit(i) for i in range(SALT_BUCKETS)])
-        fact = fact.withColumn(
-            "_salt", F.pmod(F.xxhash64(*spread_by), F.lit(SALT_BUCKETS)).cast("int"))
-        dim = dim.withColumn("_salt", F.explode(buckets))
+        ways = max(SALT_BUCKETS, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+        fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int"))
+        dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
         keys = keys + ["_salt"]
     if null_safe:
         return _null_safe(fact, dim, keys, how).drop("_salt")
@@ -70,7 +70,7 @@ def attach_bounded(fact: DataFrame, side: DataFrame, on: list[str],
     the side is stored and both sides shuffle.
     """
     found = side.limit(max_rows + 1).toArrow()
-    if found.num_rows <= max_rows:
+    if found.num_rows <= max_rows and found.nbytes <= BROADCAST_BYTES:
         local = side.sparkSession.createDataFrame(found, side.schema)
         return _null_safe(fact, F.broadcast(local), on, "left")
     return _null_safe(fact, durable(side), on, "left")

@@ -29,7 +29,8 @@ def active_windows(packets: DataFrame, seconds: int, stream: str = "stream_id",
 
 
 def all_windows(active: DataFrame, seconds: int, stream: str = "stream_id") -> DataFrame:
-    """Every window between the first and last active one, per stream.
+    """Every window between the first and last active one, per stream. A stray timestamp
+    stretches that span and with it the result, so filter such rows before.
 
     Generated in two steps with a shuffle between, so that a long stream does
     not unroll inside one task.

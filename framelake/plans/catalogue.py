@@ -351,17 +351,35 @@ def log_metrics(spark, sf_dir):
 # --- recordings ----------------------------------------------------------------------
 
 def record_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """Write the document packets as recordings: only published blocks, padded."""
-    packets = views.document_packets(spark, sf_dir)
-    order = ordered.positions(views.document_keys(spark, sf_dir), ["stream_id"], ["seq"])
-    name = F.concat_ws("_", "stream_id", F.lpad(F.col("file_id").cast("string"), 8, "0"))
-    placed = assemble.published(order, TINY).withColumn("file", name)
-    body = placed.join(packets, ["stream_id", "seq"]).select(
-        "file", "block_id", "ordinal", "payload")
+    """Write the document packets as recordings: only published blocks, padded.
+
+    Documents are numbered, by a running sum of their packets; the packets follow by adding
+    up, so payloads move once, to their file.
+    """
+    sizes = views.document_sizes(spark, sf_dir)
+    upto = ordered.running_sums(sizes, ["stream_id"], ["doc_id"], {"_upto": F.col("n_chunks")})
+    starts = session.durable(upto.select(
+        "stream_id", "doc_id", (F.col("_upto") - F.col("n_chunks")).alias("start")))
+    totals = sizes.groupBy("stream_id").agg(F.sum("n_chunks").alias("_total"))
+    placed = joins.attach(views.document_packets(spark, sf_dir, starts), totals, ["stream_id"], "left",
+                          spread_by=["pos"], null_safe=True)
+    per_block = TINY.send_n * TINY.batches_per_block
+    block = assemble.div(F.col("pos"), per_block)
+
+    def name(file_id):
+        return F.concat_ws("_", "stream_id", F.lpad(file_id.cast("string"), 8, "0"))
+
+    body = placed.filter(block < assemble.div(F.col("_total"), per_block)).select(
+        name(assemble.div(block, TINY.blocks_per_file)).alias("file"), block.alias("block_id"),
+        F.pmod("pos", F.lit(per_block)).alias("ordinal"), "payload")
+    last = assemble.div(assemble.div(F.col("_total"), per_block) - 1, TINY.blocks_per_file)
+    files = totals.filter(F.col("_total") >= per_block).select(
+        "stream_id", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("file_id"))
     started = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
                + F.make_dt_interval(hours=F.col("file_id").cast("int")))
-    files = placed.select("file", started.alias("first_ts")).distinct()
-    heads = recording.headers_for(files, views.HEADER_FIELDS, TINY)
+    heads = recording.headers_for(
+        files.select(name(F.col("file_id")).alias("file"), started.alias("first_ts")),
+        views.HEADER_FIELDS, TINY)
     recording.write(body, heads, path, TINY)
 
 

@@ -10,16 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake import session
-from framelake.functions.layout import Layout
+from framelake.functions.layout import ALIGNED, TINY, Layout  # noqa: F401
 from framelake.operators import assemble
+from framelake.operators.joins import attach
 from framelake.sources import packets as landing
 
-TINY = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=16)
 # Twelve batches per block, so that the countdown has something to count.
 SMALL_BATCH = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=4)
 # Nine-byte packets, ten to a block, as the event payloads are short.
 SHORT = Layout(pkt_header=4, pkt_data=5, pkts_per_block=11, send_n=5, blocks_per_file=100)
-ALIGNED = Layout(pkt_header=64, pkt_data=8192, pkts_per_block=16384, send_n=64)
 
 HEADER_FIELDS = {
     "nant": 2, "pkt_header": 16, "pkt_data": 64, "pkt_nsamp": 8, "pkt_tsamp": 0.001,
@@ -169,16 +168,30 @@ def document_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _seq(F.col("doc_id"), F.col("chunk")).alias("seq")))
 
 
-def document_packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def document_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of packets of every document, without the bytes."""
+    return _documents(spark, sf_dir).select(
+        F.col("lang").alias("stream_id"), "doc_id",
+        (assemble.div(F.octet_length("text").cast("bigint") - 1, DATA) + 1).alias("n_chunks"))
+
+
+def document_packets(spark: SparkSession, sf_dir: str, starts: DataFrame | None = None) -> DataFrame:
     """Documents cut into packets: a 16-byte header (document, chunk) and 64 data bytes,
-    the last chunk filled with zero bytes. The language is the stream."""
+    the last chunk filled with zero bytes. The language is the stream.
+
+    ``starts`` gives the position of the first packet of each document (``stream_id``,
+    ``doc_id``, ``start``); the packets then have a column ``pos``.
+    """
     raw = F.col("text").cast("binary")
-    starts = F.sequence(F.lit(1), F.octet_length("text"), F.lit(DATA))
-    pieces = F.transform(starts, lambda at: F.substring(raw, at, F.lit(DATA)))
-    docs = _documents(spark, sf_dir).select(
-        "doc_id", "lang", F.posexplode(pieces).alias("chunk", "data"))
+    at = F.sequence(F.lit(1), F.octet_length("text"), F.lit(DATA))
+    pieces = F.transform(at, lambda i: F.substring(raw, i, F.lit(DATA)))
+    docs = _documents(spark, sf_dir).select(F.col("lang").alias("stream_id"), "doc_id", "text")
+    if starts is not None:
+        docs = attach(docs, starts, ["stream_id", "doc_id"], "inner", null_safe=True)
+    docs = docs.select(*[c for c in docs.columns if c != "text"], F.posexplode(pieces).alias("chunk", "data"))
     head = F.unhex(F.concat(F.lpad(F.hex("doc_id"), 16, "0"),
                             F.lpad(F.hex(F.col("chunk").cast("bigint")), 16, "0")))
+    placed = [] if starts is None else [(F.col("start") + F.col("chunk")).alias("pos")]
     return docs.select(
-        F.col("lang").alias("stream_id"), _seq(F.col("doc_id"), F.col("chunk")).alias("seq"),
+        "stream_id", _seq(F.col("doc_id"), F.col("chunk")).alias("seq"), *placed,
         F.concat(head, F.rpad(F.col("data"), F.lit(DATA), F.lit(b"\x00"))).alias("payload"))
