@@ -77,7 +77,60 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
+_FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Reachability over links l(a, b), given in both directions.
+_REACHED = """r AS (SELECT id, id AS c FROM nodes UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.c),
+        m AS (SELECT id, min(c) AS component_id FROM r GROUP BY id)"""
+
 ORACLES: dict[str, str] = {
+    "op3_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE len(embedding) > 0 AND list_count(embedding) = len(embedding)
+              AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))
+              AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+        l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y
+              ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.9),
+        nodes AS (SELECT vec_id AS id FROM embeddings),
+        {_REACHED},
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+        SELECT m.id AS vec_id, coalesce(n.n, 0) AS n_links, component_id, component_id = m.id AS kept
+        FROM m LEFT JOIN n ON n.a = m.id""",
+    "op4_minhash_near_dedup": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                END AS s FROM w),
+        e AS (SELECT doc_id, unnest(s) AS g FROM s),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM e x JOIN e y
+              ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b
+              WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)),
+        nodes AS (SELECT doc_id AS id FROM documents),
+        {_REACHED}
+        SELECT doc_id, len(s) AS n_shingles, component_id, component_id = doc_id AS kept
+        FROM s JOIN m ON m.id = doc_id""",
+    "op10_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        i AS (SELECT item_id, regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+              FROM benchmark),
+        k AS (SELECT *, least(10, len(w)) AS size FROM i WHERE len(w) > 0),
+        g AS (SELECT DISTINCT item_id, size, unnest(list_transform(range(1, len(w) - size + 2),
+                lambda j: array_to_string(w[j:j + size - 1], ' '))) AS gram FROM k),
+        c AS (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS pos
+              FROM d JOIN (SELECT DISTINCT size FROM k) ON len(w) >= size),
+        h AS (SELECT doc_id, pos, c.size, item_id FROM c JOIN g
+              ON g.size = c.size AND g.gram = array_to_string(w[pos:pos + c.size - 1], ' ')),
+        p AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+              FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM h) GROUP BY doc_id),
+        t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+                     array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS names FROM h GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)""",
     "op5_warc_packages": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
