@@ -57,9 +57,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences."""
+    """Pieces of all documents with their places in sequences. Workers that served the other
+    stages too have less memory to spare for words already encoded."""
     session.ship_package(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, cache_entries=200_000)
 
 
 STAGES = [

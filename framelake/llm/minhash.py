@@ -34,6 +34,8 @@ from framelake.session import stored
 WORDS = 5
 SIMILARITY = (75, 100)
 SIDE, ROWS = 20, 3
+# Text turned into shingles at once.
+BLOCK_BYTES = 2 << 20
 # Documents of a group compared in one task with those of another block.
 BLOCK = 1500
 
@@ -93,7 +95,7 @@ def _sign(docs: DataFrame, n: int) -> DataFrame:
                            ("f2", pa.int64()), ("small", pa.list_(pa.int64()))])
         for batch in batches:
             texts = batch.column("text")
-            for start, stop in vocab.byte_blocks(texts):
+            for start, stop in vocab.byte_blocks(texts, BLOCK_BYTES):
                 hashes, first = shingle_sets(texts[start:stop], n)
                 marks, small = signatures(hashes, first)
                 ends = np.arange(0, small.size + 1, small.shape[1], dtype=np.int32)
@@ -110,7 +112,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         shape = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
         for batch in batches:
             texts = batch.column("text")
-            for start, stop in vocab.byte_blocks(texts):
+            for start, stop in vocab.byte_blocks(texts, BLOCK_BYTES):
                 hashes, first = shingle_sets(texts[start:stop], n)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id")[start:stop],

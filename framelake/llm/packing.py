@@ -45,7 +45,8 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # -- pieces ----------------------------------------------------------------------------
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, text: str = "text", id: str = "doc_id",
-           tokenizer: str = TOKENIZER, layout: str = "byte", end_id: int | None = END_ID) -> DataFrame:
+           tokenizer: str = TOKENIZER, layout: str = "byte", end_id: int | None = END_ID,
+           cache_entries: int = vocab.CACHE_ENTRIES) -> DataFrame:
     """Tokenise, and cut what is longer than ``capacity``; the first piece may be shorter.
 
     A null text counts as empty and is the end id alone. Nothing is shuffled.
@@ -58,7 +59,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, text: str = "text", id: st
         for batch in batches:
             rows = {c: [] for c in shape.names}
             for doc, raw in zip(batch.column("doc_id").to_pylist(),
-                                records.encode(batch.column("text"), tokenizer, layout, end_id)):
+                                records.encode(batch.column("text"), tokenizer, layout, end_id,
+                                                    cache_entries)):
                 ids = np.frombuffer(raw, kind).astype("<u4")
                 if not len(ids):
                     continue

@@ -72,10 +72,11 @@ def unframe(record: bytes) -> np.ndarray:
     return ids.astype("<u4")
 
 
-def encode(texts: pa.Array, tokenizer: str, layout: str, end_id: int | None):
+def encode(texts: pa.Array, tokenizer: str, layout: str, end_id: int | None,
+           entries: int = vocab.CACHE_ENTRIES):
     """Id bytes of each text (null as empty), with the end id appended."""
-    cache = vocab.ids_of(tokenizer, layout)
-    kind = vocab.id_type(max(vocab.vocabulary_size(tokenizer), (end_id or 0) + 1))
+    cache = vocab.ids_of(tokenizer, layout, entries)
+    kind = vocab.id_type(max(cache.vocabulary, (end_id or 0) + 1))
     tail = b"" if end_id is None else np.array([end_id], kind).tobytes()
     for start, stop in vocab.byte_blocks(texts):
         block = [t or "" for t in texts[start:stop].to_pylist()]

@@ -63,8 +63,9 @@ def marked_pieces(text: str) -> list[str]:
 class Cached:
     """Values of pieces, computed by ``encode`` in batches of the missing ones."""
 
-    def __init__(self, encode, split, entries: int = CACHE_ENTRIES, tails: str = ""):
+    def __init__(self, encode, split, entries: int = CACHE_ENTRIES, tails: str = "", vocabulary: int = 0):
         self.encode, self.split, self.entries, self.known, self.tails = encode, split, entries, {}, tails
+        self.vocabulary = vocabulary
 
     def each(self, texts: list[str]):
         """For each text the values of its pieces."""
@@ -109,9 +110,10 @@ _EDGES = {
 
 
 @functools.lru_cache(maxsize=4)
-def ids_of(path: str, layout: str) -> Cached:
+def ids_of(path: str, layout: str, entries: int = CACHE_ENTRIES) -> Cached:
     """Id bytes of a ``tokenizers`` file; ``layout`` is how it treats spaces (``word`` or
-    ``byte``). Ids are little-endian, of ``id_type`` width."""
+    ``byte``). Ids are little-endian, of ``id_type`` width. A worker keeps ``entries`` pieces,
+    about 150 bytes each."""
     library = _library(path)
     kind = id_type(library.get_vocab_size())
     plain, edge, marks = _EDGES[layout]
@@ -144,7 +146,8 @@ def ids_of(path: str, layout: str) -> Cached:
         return [known[p] for p in pieces]
 
     # A full stop or comma between a letter and white space is a token of its own.
-    return Cached(encode, {"word": word_pieces, "byte": byte_level_pieces}[layout], tails=".,")
+    return Cached(encode, {"word": word_pieces, "byte": byte_level_pieces}[layout], entries, ".,",
+                  library.get_vocab_size())
 
 
 def id_type(vocabulary: int) -> np.dtype:
