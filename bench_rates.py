@@ -26,6 +26,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 COPIES = int(os.environ.get("BENCH_COPIES", "100"))
 RECORD_PACKETS = int(os.environ.get("BENCH_RECORD_PACKETS", "200000"))
+# Where to leave the line for comparison with other runs.
+RATES_FILE = os.environ.get("BENCH_RATES_FILE")
 WIDE = Layout(pkt_header=64, pkt_data=8192, pkts_per_block=1024, send_n=64)
 
 
@@ -99,7 +101,11 @@ def main() -> None:
          timed(lambda: recording.write(body, heads, out, WIDE)))
     rate("recording_read", k, k * WIDE.pkt_size,
          timed(lambda: noop(recording.read(spark, out, WIDE))))
-    print(json.dumps({"metric": "rates", "cpus": CPUS, "packets": n, "rates": rates}))
+    line = json.dumps({"metric": "rates", "cpus": CPUS, "packets": n, "rates": rates})
+    print(line)
+    if RATES_FILE:
+        with open(RATES_FILE, "w") as out:
+            out.write(line + "\n")
     spark.stop()
 
 
