@@ -35,7 +35,7 @@ WORDS = 5
 SIMILARITY = (75, 100)
 SIDE, ROWS = 20, 3
 # Text turned into shingles at once.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Documents of a group compared in one task with those of another block.
 BLOCK = 1500
 

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text encoded together, and entries a worker keeps.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 CACHE_ENTRIES = 1_000_000
 # Longer pieces are not worth keeping.
 CACHE_CHARS = 48
