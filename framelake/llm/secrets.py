@@ -2,12 +2,14 @@
 
 A string made up at random has no words in it, so a byte-pair vocabulary needs a token for
 every character or two; names, words and numbers in running text take more characters per
-token. Strings that are random for a known and harmless reason are left out first.
+token. A key glued to plain words by ``/``, ``=``, ``-`` or ``_`` is found by the parts between
+them. Strings that are random for a known and harmless reason are left out.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import functools
 import hashlib
 import re
@@ -32,15 +34,25 @@ ASSIGN_LENGTH = 6
 
 # Random strings: length of the strings looked at, and the characters per token below
 # which one is reported.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile(r"[A-Za-z0-9+]+")
 MAX_CHARS_PER_TOKEN = 1.9
 # Known digests (32, 40, 64, 96 or 128 hexadecimal digits), identifiers and plain numbers.
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})",
                     re.IGNORECASE)
-INTEGRITY = re.compile(r"sha(?:1|224|256|384|512)[-_=][A-Za-z0-9+/_-]+=*", re.IGNORECASE)
+INTEGRITY = re.compile(r"sha(?:1|224|256|384|512)[-_=]([A-Za-z0-9+/_-]+)=*", re.IGNORECASE)
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.IGNORECASE)
 NUMBER = re.compile(r"[0-9_+/=-]+")
-DIGEST_HINT = re.compile(r"(?:sha-?(?:1|224|256|384|512)|md5|commit|integrity)[-:= ]*$", re.IGNORECASE)
+DIGEST_HINT = re.compile(r"(sha-?(?:1|224|256|384|512)|md5|commit|integrity)[-:= ]*$", re.IGNORECASE)
+HEX_DIGEST = re.compile(r"[0-9a-f]{20,128}", re.IGNORECASE)
+BASE64_DIGEST = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
+# Characters of a digest in base64, without padding.
+BASE64_SIZES = {"md5": 22, "sha1": 27, "sha224": 38, "sha256": 43, "sha384": 64, "sha512": 86}
+# Known values that a longer string holds as whole parts.
+KNOWN = re.compile(rf"(?<![A-Za-z0-9+])(?:{UUID.pattern}|{DIGEST.pattern}|"
+                   + "|".join(f"{name}[-_=][A-Za-z0-9+/_-]{{{size}}}={{0,2}}" for name, size in BASE64_SIZES.items())
+                   + r")(?![A-Za-z0-9+])", re.IGNORECASE)
 
 SPANS = T.StructType([
     T.StructField("n_assign", T.LongType(), False), T.StructField("n_access", T.LongType(), False),
@@ -72,31 +84,105 @@ def _encoding(ranks: str):
                              special_tokens={})
 
 
-def _mixed(part: str) -> bool:
-    """Digits among letters, which words and names of words do not have."""
-    return any(c.isdigit() for c in part) and any(c.isalpha() for c in part)
+def _stated_digest(text: str, start: int, part: str) -> bool:
+    """Whether a digest is announced right before a string that has the shape of one."""
+    hint = DIGEST_HINT.search(text, max(0, start - 12), start)
+    if not hint or HEX_DIGEST.fullmatch(part):
+        return hint is not None
+    name = hint[1].lower().replace("-", "")
+    sizes = BASE64_SIZES.values() if name == "integrity" else (BASE64_SIZES.get(name),)
+    return len(part.rstrip("=")) in sizes and BASE64_DIGEST.fullmatch(part) is not None
+
+
+def _stretches(scores: list[float]) -> list[tuple[int, int]]:
+    """First and end places of the maximal stretches by sum, in one pass (Ruzzo and Tompa). Every
+    positive score is in one of them."""
+    # First, end, sum before and after, and the last earlier stretch with a smaller sum before.
+    found, total = [], 0.0
+    for i, score in enumerate(scores):
+        first, left, total = i, total, total + score
+        while score > 0:
+            j = len(found) - 1
+            while j >= 0 and found[j][2] >= left:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= total:
+                found.append((first, i + 1, left, total, j))
+                break
+            first, _, left, _, _ = found[j]
+            del found[j:]
+    return [(first, end) for first, end, *_ in found]
+
+
+def _parts(run: str, ranks: str, ratio: float) -> list[tuple[int, int, float]]:
+    """Start, end and score of the parts of a string. The score is positive where a part takes a
+    token for fewer than ``ratio`` characters; numbers never do, and known values keep stretches apart."""
+    known, out = [m.span() for m in KNOWN.finditer(run)], []
+    for m in PART.finditer(run):
+        part = m.group()
+        if _inside(known, *m.span()):
+            score = -(ratio + 1) * len(run)
+        else:
+            score = ratio * len(_encoding(ranks).encode_ordinary(part)) - len(part)
+        out.append((*m.span(), min(score, 0) if NUMBER.fullmatch(part) else score))
+    return out
+
+
+def _inside(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether one of the ascending, separate spans holds all from start to end."""
+    at = bisect.bisect_right(spans, start, key=lambda s: s[0]) - 1
+    return at >= 0 and end <= spans[at][1]
+
+
+def _touches(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    at = bisect.bisect_left(spans, end, key=lambda s: s[0]) - 1
+    return at >= 0 and start < spans[at][1]
 
 
-def random_spans(text: str, ranks: str, ratio: float) -> list[tuple[int, int, int]]:
-    """Strings of mixed characters that take a token for fewer than ``ratio`` characters."""
+def random_spans(text: str, ranks: str, ratio: float,
+                 base: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """Strings that take a token for fewer than ``ratio`` characters: a run as a whole, or else the
+    stretches of its parts that do. One of which ``base`` holds all that is random is left out."""
     out = []
     for m in CANDIDATE.finditer(text):
-        part = m.group()
-        if not _mixed(part) or any(known.fullmatch(part) for known in (DIGEST, INTEGRITY, UUID, NUMBER)):
-            continue
-        if DIGEST_HINT.search(text, max(0, m.start() - 12), m.start()):
+        run, at = m.group(), m.start()
+        if _inside(base, at, m.end()) or any(known.fullmatch(run) for known in (DIGEST, UUID, NUMBER)):
             continue
-        if len(part) < ratio * len(_encoding(ranks).encode_ordinary(part)):
-            out.append((m.start(), 3, m.end()))
+        parts = _parts(run, ranks, ratio)
+        whole = len(run) < ratio * len(_encoding(ranks).encode_ordinary(run))
+        # Separators are tokens too; letters alone must be random without them.
+        if whole and (any(c.isdigit() for c in run) or sum(p[2] for p in parts) > 0):
+            # Words and a key can follow the name of a digest too, so a value in parts has its size.
+            named = INTEGRITY.fullmatch(run)
+            known = named and (PART.fullmatch(named[1]) or KNOWN.fullmatch(run))
+            spans = [] if known else [(0, len(run))]
+        else:
+            spans = [(parts[i][0], parts[j - 1][1]) for i, j in _stretches([p[2] for p in parts])]
+        for s, e in spans:
+            if e - s < LEAST or NUMBER.fullmatch(run[s:e]) or _stated_digest(text, at + s, run[s:e]):
+                continue
+            if _touches(base, at + s, at + e) and all(
+                    _inside(base, at + a, at + b) for a, b, score in parts if score > 0 and s <= a and b <= e):
+                continue
+            out.append((at + s, 3, at + e))
+    return out
+
+
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Maximal ranges of overlapping or touching spans, ascending."""
+    out = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
     return out
 
 
 def scan_text(text: str, ranks: str = RANKS, ratio: float = MAX_CHARS_PER_TOKEN) -> dict:
-    """Spans of one text, in code points with the end exclusive. A random string that
-    overlaps a base span adds nothing and is left out."""
+    """Spans of one text, in code points with the end exclusive. A random string adds nothing
+    where base spans hold all of its random parts, and is left out; one that reaches beyond stays."""
     base = sorted(base_spans(text))
-    more = [s for s in random_spans(text, ranks, ratio)
-            if not any(s[0] < b[2] and b[0] < s[2] for b in base)]
+    more = random_spans(text, ranks, ratio, _joined([(s, e) for s, _, e in base]))
 
     def stated(spans):
         return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)

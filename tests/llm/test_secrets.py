@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from framelake.llm import secrets
 
@@ -46,3 +48,67 @@ def test_redact(spark):
     got = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert got[0] is None and got[1] == "" and got[7] == "é🙂 use [SECRET] here"
     assert got[2] == "password=abc [SECRET]" and got[9] == TEXTS[9]
+
+
+KEY = "q7Zx0Lr2Vw9Kd4Tn8Bs6Hy3J"
+
+
+def random_strings(text):
+    found = secrets.scan_text(text)
+    return [text[int(s):int(e)] for k, s, e in (p.split(":") for p in found["spans"].split(",") if p) if k == "random"]
+
+
+def test_keys_without_digits():
+    letters = "qZxLrVwKdTnBsHyJfMgPcRtW"
+    assert random_strings(f"use {letters} here") == [letters]
+    assert random_strings("see internationalization_of_words and the-quick-brown-fox/jumps") == []
+
+
+def test_keys_glued_to_words():
+    rng = random.Random(5)
+    for before in ("/home/user/project/config/", "services/hooks/incoming/", "Authorization-Bearer-"):
+        for _ in range(200):
+            key = "".join(rng.choices(string.ascii_letters + string.digits, k=24))
+            found = random_strings(f"a {before}{key}/settings/production/database b")
+            assert len(found) == 1 and key in found[0]
+    # A key that holds a separator itself.
+    secret = "wJalrXUtnFzMI/K7MDxNG/bPxRfiCYqXkMPq"
+    assert random_strings("/home/user/project/configuration/settings/database/" + secret) == [secret]
+
+
+def test_digests_and_numbers_in_longer_strings():
+    for text in ("/objects/database/123e4567-e89b-12d3-a456-426614174000/settings",
+                 "photograph_12345678901234567890_large_landscape", "sha256 47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=",
+                 "commit 3F786850E387550FDAB836ED7E6DC881DE23001"):
+        assert random_strings(text) == []
+    # What an announcement of a digest stands before must look like one.
+    assert random_strings(f"commit {KEY} and md5: {KEY}x") == [KEY, KEY + "x"]
+    assert KEY in random_strings(f"sha1-services/hooks/incoming/messages/{KEY}")[0]
+    assert random_strings("sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU=") == []
+
+
+def test_beyond_base_spans():
+    assert random_strings(f"{KEY}/token=abcdef") == [f"{KEY}/token=abcdef"]
+    assert random_strings(f"{KEY}AKIA" + "A" * 16) == [f"{KEY}AKIA" + "A" * 16]
+    assert random_strings(f"token={KEY} access_token={KEY}") == []
+    text = f"x {KEY}/token=abcdef y"
+    found = secrets.scan_text(text)
+    assert secrets._cut(text, found["starts"], found["ends"], "[SECRET]") == "x [SECRET] y"
+
+
+def test_stretches():
+    rng = random.Random(3)
+    for _ in range(300):
+        scores = [rng.randrange(-6, 7) for _ in range(rng.randrange(12))]
+
+        def plain(a, b):
+            # The definition: the greatest sum first, then what is left on both sides.
+            best = max(((sum(scores[i:j]), i - j, -i) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0,))
+            if best[0] <= 0:
+                return []
+            first, end = -best[2], -best[2] - best[1]
+            return plain(a, first) + [(first, end)] + plain(end, b)
+
+        got = secrets._stretches(scores)
+        assert [sum(scores[i:j]) for i, j in got] == [sum(scores[i:j]) for i, j in plain(0, len(scores))]
+        assert all(any(i <= k < j for i, j in got) for k, s in enumerate(scores) if s > 0)
