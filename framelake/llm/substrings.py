@@ -13,7 +13,8 @@ The differing contexts of an anchor go to one shard, and a shard builds the suff
 its contexts by Larsson-Sadakane refinement, and common prefixes by Kasai's rule; neighbours
 that share ``LENGTH`` bytes repeat. An anchor with very many contexts is spread over several
 shards. Each of those writes out its distinct windows as sorted keys, cut into key ranges by
-binary search, and each range is merged across shards by binary search in the keys of all.
+binary search, and each range is merged across shards by binary search in the keys of all. The
+number of ranges follows from the number of windows, so a range does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -37,7 +38,8 @@ ANCHOR = 32
 SPREAD = 2000
 SHARD_BYTES = 2 << 20
 BLOCK_BYTES = 2 << 20
-MERGE_RANGES = 16
+# Windows of spread anchors in a key range of the merge.
+RANGE_KEYS = 1 << 20
 
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, 260, np.uint64) | np.uint64(1)
 _BYTE, _STEP, _MIX = _SEEDS[:256], _SEEDS[256:257], _SEEDS[257]
@@ -250,17 +252,17 @@ _OUT = pa.schema([("k", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends",
                   ("places", pa.binary()), ("done", pa.binary())])
 
 
-def _search_shard(length: int):
+def _search_shard(length: int, ranges: int):
     def search(table: pa.Table) -> pa.Table:
         rows = []
         for at in range(0, table.num_rows, MOST_PARTS):
-            rows += _search(table.slice(at, MOST_PARTS), length)
+            rows += _search(table.slice(at, MOST_PARTS), length, ranges)
         return pa.Table.from_pylist(rows, schema=_OUT)
 
     return search
 
 
-def _search(table: pa.Table, length: int) -> list[dict]:
+def _search(table: pa.Table, length: int, ranges: int) -> list[dict]:
     bodies = [np.frombuffer(b, np.uint8) for b in table["body"].to_pylist()]
     keys, lows = table["k"].to_numpy(), table["lo"].to_numpy()
     spread, once = table["spread"].to_pylist(), table["once"].to_pylist()
@@ -284,9 +286,9 @@ def _search(table: pa.Table, length: int) -> list[dict]:
         head = np.ones(len(order), bool)
         head[1:] = joined["key"][1:] != joined["key"][:-1]
         joined = {c: v[head] for c, v in joined.items()}
-        limits = np.arange(1, MERGE_RANGES, dtype=np.uint64) * np.uint64((1 << 64) // MERGE_RANGES)
+        limits = np.array([(part << 64) // ranges for part in range(1, ranges)], np.uint64)
         cuts = [0, *np.searchsorted(joined["key"], limits), len(joined["key"])]
-        for part in range(MERGE_RANGES):
+        for part in range(ranges):
             a, b = cuts[part], cuts[part + 1]
             if a < b:
                 rows.append({"part": part, "keys": joined["key"][a:b].tobytes(),
@@ -317,16 +319,19 @@ def _merge_range(length: int):
             found &= ~np.frombuffer(table["done"][i].as_py(), bool)
             owners = np.frombuffer(table["owners"][i].as_py(), np.int64)[found]
             places = np.frombuffer(table["places"][i].as_py(), np.int64)[found]
-            for k in np.unique(owners):
-                mine = places[owners == k]
-                rows.append({"k": int(k), "starts": mine, "ends": mine + length})
+            order = np.argsort(owners, kind="stable")
+            owners, places = owners[order], places[order]
+            for mine in np.split(np.arange(len(owners)), np.flatnonzero(np.diff(owners)) + 1):
+                if len(mine):
+                    at = places[mine]
+                    rows.append({"k": int(owners[mine[0]]), "starts": at, "ends": at + length})
         return pa.Table.from_pylist(rows, schema=pa.schema(list(_OUT)[:3]))
 
     return merge
 
 
 def covered(keyed: DataFrame, length: int = LENGTH, spread: int = SPREAD,
-            shard_bytes: int = SHARD_BYTES) -> DataFrame:
+            shard_bytes: int = SHARD_BYTES, range_keys: int = RANGE_KEYS) -> DataFrame:
     """``k``, ``starts``, ``ends``: maximal byte ranges of each text (``k``, ``text``) that
     repeated windows cover, one row for each text that has any."""
     found = stored(_occurrences(keyed, length), "occurrences")
@@ -345,17 +350,23 @@ def covered(keyed: DataFrame, length: int = LENGTH, spread: int = SPREAD,
     open_ = groups.join(differing, "h").select(
         "h", "c", "n", "contexts", "at.*", (F.col("at.hi") - F.col("at.lo") + length).alias("size"))
     open_ = stored(open_, "open")
-    total = open_.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s")).first()["s"]
-    shards = max(1, -(-total // shard_bytes))
     # An anchor's shard, and for one with very many contexts a number of shards of its own.
     ways = F.ceil(F.col("contexts") / spread).cast("long")
+    windows = F.when(ways > 1, F.col("size") - (length - 1))
+    total = open_.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("s"), F.coalesce(F.sum(windows), F.lit(0)).alias("w")).first()
+    shards = max(1, -(-total["s"] // shard_bytes))
+    ranges = max(1, -(-total["w"] // range_keys))
     sub = F.when(ways > 1, F.pmod(F.xxhash64("c", "k", "lo"), ways)).otherwise(F.lit(0))
     wanted = open_.select("k", "lo", "hi", (F.col("n") == 1).alias("once"), F.pmod(F.xxhash64("h", sub), F.lit(shards)).alias("shard"),
                           (ways > 1).alias("spread"))
     bodies = _context_bytes(keyed, wanted, length)
-    searched = stored(bodies.groupBy("shard").applyInArrow(_search_shard(length), SHARD_OUT), "searched")
-    merged = (searched.filter("part IS NOT NULL").groupBy("part")
-              .applyInArrow(_merge_range(length), "k long, starts array<long>, ends array<long>"))
+    searched = stored(bodies.groupBy("shard").applyInArrow(_search_shard(length, ranges), SHARD_OUT), "searched")
+    left = searched.filter("part IS NOT NULL")
+    # As many tasks as ranges; a shuffle that is wider anyway stays as it is.
+    if ranges > int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        left = left.repartition(ranges, "part")
+    merged = left.groupBy("part").applyInArrow(
+        _merge_range(length), "k long, starts array<long>, ends array<long>")
     every = pieces.union(searched.filter("k IS NOT NULL").select("k", "starts", "ends")).union(merged)
     ranges = every.groupBy("k").agg(F.flatten(F.collect_list("starts")).alias("starts"),
                                     F.flatten(F.collect_list("ends")).alias("ends"))

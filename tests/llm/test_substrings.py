@@ -49,6 +49,33 @@ def test_against_brute_force(spark, options):
     assert got == brute(rows)
 
 
+def test_merge_ranges_follow_windows(spark, monkeypatch):
+    ranges, sizes = [], spark.sparkContext.accumulator(0)
+    search, merge = sub._search_shard, sub._merge_range
+    monkeypatch.setattr(sub, "_search_shard", lambda length, n: ranges.append(n) or search(length, n))
+
+    def counted(length):
+        inner = merge(length)
+
+        def run(key, table):
+            if sum(len(b) for b in table["keys"].to_pylist()) > 8 * 200:
+                sizes.add(1)
+            return inner(key, table)
+
+        return run
+
+    monkeypatch.setattr(sub, "_merge_range", counted)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for keys in (1 << 20, 100):
+        found = sub.remove_repeated(docs, spread=2, shard_bytes=4000, range_keys=keys).collect()
+        got.append(sorted((r.doc_id, *r.repeats[:3], r.repeats.kept_sha256) for r in found))
+    assert got[0] == got[1] == brute(rows)
+    # 100 keys expected in a range of the second run, and never twice as many; one range holds all in the first.
+    assert ranges[0] == 1 and ranges[1] > 16 and sizes.value == 1
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(None, "q" * 50 + "".join(map(str, range(90)))), (1, None),
                                   (None, "q" * 50 + "".join(map(str, range(90))))], "doc_id long, text string")
