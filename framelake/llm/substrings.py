@@ -188,16 +188,20 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
     return np.maximum(shared[base] - (here - base), 0)[order]
 
 
+# A symbol above the bytes.
+SEPARATOR = 256
+
+
 def repeated_windows(parts: list[np.ndarray], length: int = LENGTH):
     """For each part which of its windows occurs elsewhere in the parts, and the class of each
     window over all parts (equal windows, equal class)."""
     sizes = np.array([len(p) for p in parts])
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     symbols = np.zeros(int(sizes.sum()) + len(parts), np.uint16)
-    for i, (s, part) in enumerate(zip(starts, parts)):
+    for s, part in zip(starts, parts):
         symbols[s:s + len(part)] = part
-        # A separator of its own ends each part, so no common prefix crosses it.
-        symbols[s + len(part)] = 256 + i
+        # A window has no separator in it, so what shares ``length`` symbols with it is a window too.
+        symbols[s + len(part)] = SEPARATOR
     order = suffix_array(symbols)
     shared = common_prefixes(symbols, order)
     new = shared < length
@@ -208,10 +212,6 @@ def repeated_windows(parts: list[np.ndarray], length: int = LENGTH):
             for s, k in zip(starts, sizes)]
 
 
-# Separators are 16-bit symbols above the bytes.
-MOST_PARTS = 65000
-
-
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last places of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
@@ -254,10 +254,7 @@ _OUT = pa.schema([("k", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends",
 
 def _search_shard(length: int, ranges: int):
     def search(table: pa.Table) -> pa.Table:
-        rows = []
-        for at in range(0, table.num_rows, MOST_PARTS):
-            rows += _search(table.slice(at, MOST_PARTS), length, ranges)
-        return pa.Table.from_pylist(rows, schema=_OUT)
+        return pa.Table.from_pylist(_search(table, length, ranges), schema=_OUT)
 
     return search
 

@@ -108,3 +108,23 @@ def test_long_text_in_parts(monkeypatch):
         _, first, last, _, _ = sub.contexts(data, bounds)
         windows += [w + at for a, b in zip(first, last) for w in range(a, b + 1)]
     assert sorted(windows) == list(range(5500 - 199))
+
+
+def test_shard_of_very_many_contexts():
+    rng = random.Random(6)
+    bodies = list({bytes(rng.choices(range(256), k=6)) for _ in range(66_000)})
+    bodies[-1] = bodies[0][:5] + bytes([bodies[0][5] ^ 1])
+    n = len(bodies)
+    table = pa.table({"k": pa.array(range(n), pa.int64()), "lo": pa.array([0] * n, pa.int64()),
+                      "spread": [False] * n, "once": [True] * n, "body": pa.array(bodies, pa.binary())})
+    found = sub._search_shard(5, 1)(table).to_pylist()
+    count = collections.Counter(b[s:s + 5] for b in bodies for s in (0, 1))
+    assert {r["k"] for r in found} == {i for i, b in enumerate(bodies) if count[b[:5]] > 1 or count[b[1:]] > 1}
+    assert {0, n - 1} <= {r["k"] for r in found}
+
+
+def test_parts_end_windows():
+    parts = [np.frombuffer(b, np.uint8) for b in (b"abcabc", b"abcab", b"cab", b"ab", b"", b"\0\0\0\0", b"abcabcx")]
+    count = collections.Counter(p.tobytes()[s:s + 3] for p in parts for s in range(len(p) - 2))
+    for p, (many, _) in zip(parts, sub.repeated_windows(parts, 3)):
+        assert many.tolist() == [count[p.tobytes()[s:s + 3]] > 1 for s in range(len(p) - 2)]
