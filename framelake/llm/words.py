@@ -22,6 +22,7 @@ _BYTE_HASH = _SEEDS[:256][_FOLD]
 _STEP, _LINK, _M1, _M2 = _SEEDS[256:260]
 
 # Classes of word bytes. Bytes from 0x80 on belong to characters beyond ASCII.
+LETTERS = (((_BYTES >= 0x41) & (_BYTES <= 0x5A)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80))
 NOT_SPACE = ~((_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D)))
 LETTERS_DIGITS = (((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x41) & (_BYTES <= 0x5A))
                   | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80))
@@ -97,6 +98,42 @@ def _hash(data, start, end) -> np.ndarray:
     return mix(out + length.astype(np.uint64))
 
 
+def strings(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Strings of the given lengths that follow each other in ``data``."""
+    offsets = np.zeros(len(lengths) + 1, np.int64)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.Array.from_buffers(pa.large_string(), len(lengths), [
+        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def codes(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Dense codes of strings, equal for equal strings and no others, and what they stand for."""
+    coded = pc.dictionary_encode(values)
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
+
+
+def spans(texts: pa.Array, in_word: np.ndarray):
+    """Bytes of the texts, where each text begins, which bytes are in words, and where each
+    word begins and ends."""
+    data, bounds = text_bytes(texts)
+    inside = in_word[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[bounds] = True
+    before = np.empty_like(inside)
+    before[:1], before[1:] = False, inside[:-1]
+    after = np.empty_like(inside)
+    after[-1:], after[:-1] = False, inside[1:]
+    start = np.flatnonzero(inside & (~before | edge[:-1]))
+    return data, bounds, inside, start, np.flatnonzero(inside & (~after | edge[1:])) + 1
+
+
+def folded_terms(texts: pa.Array, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Of each word its text and its code, with the distinct words, A-Z lower-cased."""
+    data, bounds, inside, start, end = spans(texts, in_word)
+    code, distinct = codes(strings(_FOLD[data[inside]], end - start))
+    return np.searchsorted(bounds, start, "right") - 1, code, distinct
+
+
 def sequences(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of the ``n`` words from each word on, and whether they are of one text."""
     count = max(0, len(words.hash) - n + 1)
