@@ -110,7 +110,7 @@ def _typical(source: Column, whole: Column, terms: list[str], top: int) -> list[
     return sorted(found, key=lambda f: (-f[1], f[0].encode()))[:top]
 
 
-def _compare(table: pa.Table, top: int) -> pa.Table:
+def _compare(table: pa.Table, top: int, tile: int = TILE) -> pa.Table:
     """Sums over one block for the pairs of two tiles of sources; in a pair of a tile with itself
     the leading terms of its sources as well."""
     ta, tb = table["ta"][0].as_py(), table["tb"][0].as_py()
@@ -126,7 +126,7 @@ def _compare(table: pa.Table, top: int) -> pa.Table:
     rows = []
     for a, left in columns.items():
         for b, right in columns.items():
-            if a < b and (ta == tb or a // TILE != b // TILE):
+            if a < b and (ta == tb or a // tile != b // tile):
                 rows.append((a, b, None, left.distance(right)))
     if whole is not None:
         terms = table["term"].take(pa.array(order[1:whole.size + 1])).to_pylist()
@@ -140,7 +140,7 @@ def _compare(table: pa.Table, top: int) -> pa.Table:
 
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-          least_docs: int = LEAST_DOCS, top: int = TOP) -> DataFrame:
+          least_docs: int = LEAST_DOCS, top: int = TOP, block_terms: int = BLOCK_TERMS, tile: int = TILE) -> DataFrame:
     """One row (lang, source, part, item, value, rank) for each pair of sources of a language
     (``pair``, all ranks) and for the terms a source uses more than its language (``term``, to
     rank ``top``), ranked by value, then by the UTF-8 order of the item.
@@ -160,7 +160,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     groups = durable(body.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_docs")).select(
         "lang", "source", (F.row_number().over(by_lang.orderBy(F.desc("_docs"), "source")) - 1).alias("idx"),
         F.count(F.lit(1)).over(by_lang).alias("_n")).withColumn(
-        "tiles", F.expr(f"int(div(_n + {TILE - 1}, {TILE}))")).drop("_n"))
+        "tiles", F.expr(f"int(div(_n + {tile - 1}, {tile}))")).drop("_n"))
     counts = stored(attach(
         body.mapInArrow(_count, COUNTED).groupBy("lang", "source", "term").agg(
             F.sum("tf").alias("tf"), F.sum("df").alias("df")),
@@ -174,7 +174,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     rows = ordered.lay_out(kept, ["lang"], ["leading", "rest", "term"])
     in_part = F.col(ordered.ROW).bitwiseAND((1 << 33) - 1)
     rows = rows.select("lang", "term", "n", F.col(ordered.PART).cast("bigint").alias("part"),
-                       F.expr(f"div({ordered.ROW} & {(1 << 33) - 1}, {BLOCK_TERMS})").alias("block"),
+                       F.expr(f"div({ordered.ROW} & {(1 << 33) - 1}, {block_terms})").alias("block"),
                        in_part.alias("_at"))
     sizes = durable(rows.groupBy("lang", "part", "block").agg(
         F.min("_at").alias("_lo"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("_sum")))
@@ -205,7 +205,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         "lang", "part", "block", "idx", "pos", "n", *filler, "tiles", F.lit(None).cast("string").alias("term"))
     columns = heads.unionByName(of_lang).unionByName(of_source)
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    mine = F.expr(f"int(div(idx, {TILE}))")
+    mine = F.expr(f"int(div(idx, {tile}))")
     dealt = columns.withColumn("_o", other).select(
         "lang", "part", "block",
         F.when(F.col("idx") < 0, F.col("_o")).otherwise(F.least(mine, "_o")).alias("ta"),
@@ -213,7 +213,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         "idx", "pos", "n", "size", "term")
 
     found = stored(dealt.groupBy("lang", "part", "block", "ta", "tb").applyInArrow(
-        lambda table: _compare(table, top), FOUND), "compared")
+        lambda table: _compare(table, top, tile), FOUND), "compared")
     half = found.filter("term IS NULL").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
     # Without a kept term no block compares the sources of a language.
     bare = attach(groups, langs.filter("v IS NULL").select("lang"), ["lang"], "leftsemi").select("lang", "idx")
