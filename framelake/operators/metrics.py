@@ -132,6 +132,27 @@ def snapshot(log: DataFrame, layout: Layout, at: Column | None = None) -> DataFr
         ((F.lit(layout.nbufs) - used) * size).alias("bytes_available"))
 
 
+def snapshot_at(log: DataFrame, probes: DataFrame, layout: Layout, at: str = "at") -> DataFrame:
+    """Counters of the stream of every probe (``stream_id``, ``at``, and what else it has) at its
+    time, events of that time included; zeros where nothing had happened yet.
+
+    An as-of join: events of one time are added up, counts run over the times, and a probe takes
+    those of the last time before it.
+    """
+    is_fill = (F.col("kind") == "filled").cast("bigint")
+    steps = log.groupBy("stream_id", F.col("ts").alias(at)).agg(
+        F.sum(is_fill).alias("_w"), F.sum(1 - is_fill).alias("_r"))
+    counted = ordered.running_sums(steps, ["stream_id"], [at], {"_writes": F.col("_w"), "_reads": F.col("_r")})
+    found = ordered.as_of(probes, counted.select("stream_id", at, "_writes", "_reads"), ["stream_id"], at,
+                          ["_writes", "_reads"])
+    writes, reads = (F.coalesce(c, F.lit(0).cast("bigint")) for c in ("_writes", "_reads"))
+    used = _used_blocks(writes, reads, layout.nbufs)
+    size = F.lit(layout.block_bytes)
+    return found.select(
+        *probes.columns, used.alias("blocks_in_use"), (writes * size).alias("bytes_written"),
+        (reads * size).alias("bytes_read"), ((F.lit(layout.nbufs) - used) * size).alias("bytes_available"))
+
+
 def progress_windowed(rows: DataFrame, values: list[str], order: list[str], seconds: int,
                       stream: str = "stream_id", ts: str = "ts") -> DataFrame:
     """Last row of every window: the scalable form of throttled sampling."""

@@ -93,3 +93,44 @@ def previous(df: DataFrame, keys: list[str], order: list[str],
     joined = attach_bounded(local, carried, [PART, *keys])
     return joined.select(*df.columns, *[
         F.coalesce(F.col("_p"), F.col("_c")).getField(name).alias(name) for name in values])
+
+
+def as_of(probes: DataFrame, events: DataFrame, keys: list[str], ts: str, values: list[str],
+          order: list[str] | None = None) -> DataFrame:
+    """Probes with the ``values`` of the last event of their key at or before their time, null
+    where there is none.
+
+    Both lie in one order, cut into ranges of (key, time): a key with almost all rows spans many
+    tasks. A range looks back within itself and takes the last event before it from
+    one small record for each range and key. Of events at one time the last by ``order``
+    counts, and it counts for probes of that time. Keys match null-safely.
+    """
+    order = order or []
+    packed = F.struct(*[F.col(v) for v in values])
+    marked = events.select(*keys, ts, *order, packed.alias("_v"), F.lit(0).alias("_probe"),
+                           F.lit(None).alias("_p"))
+    kept = F.struct(*[F.col(c) for c in probes.columns])
+    asked = probes.select(*keys, ts, *[F.lit(None).cast(events.schema[o].dataType).alias(o) for o in order],
+                          F.lit(None).cast(events.select(packed.alias("v")).schema["v"].dataType).alias("_v"),
+                          F.lit(1).alias("_probe"), kept.alias("_p"))
+    both = marked.withColumn("_p", F.col("_p").cast(asked.schema["_p"].dataType)).unionByName(asked)
+    rows = lay_out(both, keys, [ts, "_probe", *order])
+    inside = (Window.partitionBy(PART, *keys).orderBy(ROW)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = rows.select("_p", PART, *keys, "_probe", F.last("_v", ignorenulls=True).over(inside).alias("_near")).filter(
+        "_probe = 1")
+    lasts = rows.filter("_probe = 0").groupBy(PART, *keys).agg(F.max_by("_v", ROW).alias("_v"))
+    # A range without events of a key passes on what came before it.
+    spans = rows.groupBy(PART, *keys).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    every = _joined_spans(spans, lasts, [PART, *keys])
+    carried = every.select(
+        PART, *keys, F.last("_v", ignorenulls=True).over(_before(keys)).alias("_far")).filter(F.col("_far").isNotNull())
+    found = attach_bounded(local, carried, [PART, *keys])
+    return found.select("_p.*", *[
+        F.coalesce(F.col("_near"), F.col("_far")).getField(v).alias(v) for v in values])
+
+
+def _joined_spans(spans: DataFrame, lasts: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join by keys of which some may be null: both sides have a record per range and key."""
+    both = spans.withColumn("_v", F.lit(None).cast(lasts.schema["_v"].dataType)).unionByName(lasts.select(*keys, "_v"))
+    return both.groupBy(*keys).agg(F.first("_v", ignorenulls=True).alias("_v"))

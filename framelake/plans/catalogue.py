@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from framelake import session
 from framelake.functions import address, frames, header, layout, timestamps
-from framelake.operators import assemble, chained, flows, joins, metrics, ordered
+from framelake.operators import assemble, chained, flows, joins, metrics, ordered, rules
+from framelake.operators.numbering import Numbering
 from framelake.plans import views
 from framelake.plans.views import ALIGNED, SHORT, SMALL_BATCH, TINY
-from framelake.sources import headers, logs, recording
-from framelake.sources import packets as landing
-from framelake.streaming import jobs
+from framelake.sources import feed, headers, logs, recording
+from framelake.streaming import idle, jobs, sink
 from framelake.streaming.inorder import InOrder, run
 from framelake.streaming.record import recorder
 
@@ -108,14 +108,7 @@ def header_validate(spark, sf_dir):
 
 
 def header_render(spark, sf_dir):
-    started = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-               + F.make_dt_interval(secs=F.col("file_id") * 4321))
-    typed = (header.parse(views.headers(spark, sf_dir))
-             .withColumn("file_size", F.lit(TINY.file_bytes).cast("bigint"))
-             .withColumn("mjd_start", timestamps.mjd(started))
-             .withColumn("utc_start", timestamps.utc_stamp(started)))
-    rendered = typed.filter(F.col("pkt_nbit").isNotNull()).select(
-        "file_id", header.render().alias("header_text"))
+    rendered = _stamped(spark, sf_dir).select("file_id", header.render().alias("header_text"))
     return rendered.select("file_id", "header_text",
                            F.octet_length(header.pad(F.col("header_text"))).alias("header_len"))
 
@@ -126,13 +119,32 @@ def header_files(spark, sf_dir):
     headers.write_files(views.headers(spark, sf_dir), folder, "file_id")
     good, bad = headers.read(spark, folder)
     columns = ["file_id", "nant", "bytes_per_second", "n_missing"]
-    number = headers.file_key(F.col("path")).cast("bigint").alias("file_id")
+    number = F.col("key").cast("bigint").alias("file_id")
     read = good.select(number, "nant", "bytes_per_second", F.lit(0).alias("n_missing"))
     return read.unionByName(bad.select(
         number, F.lit(None).cast("int").alias("nant"), F.lit(None).cast("bigint").alias("bytes_per_second"),
         F.size("missing_keys").alias("n_missing"))).select(*columns)
 
 
+def _stamped(spark, sf_dir):
+    """Typed headers with the fields that a recording adds."""
+    started = (F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+               + F.make_dt_interval(secs=F.col("file_id") * 4321))
+    return (header.parse(views.headers(spark, sf_dir))
+            .withColumn("file_size", F.lit(TINY.file_bytes).cast("bigint"))
+            .withColumn("mjd_start", timestamps.mjd(started))
+            .withColumn("utc_start", timestamps.utc_stamp(started))
+            .filter(F.col("pkt_nbit").isNotNull()))
+
+
+def header_versions(spark, sf_dir):
+    """Typed headers written as files with version lines, and what stands in them."""
+    folder = f"{session.scratch(spark, 'headers')}/text"
+    headers.write_text(_stamped(spark, sf_dir), folder, "file_id")
+    return headers.read_text(spark, folder).select(
+        F.col("key").cast("bigint").alias("file_id"), F.col("header_text"))
+
+
 def header_consistency(spark, sf_dir):
     checked = header.consistency(
         header.parse(views.headers(spark, sf_dir)), TINY.pkts_per_block)
@@ -171,9 +183,9 @@ def flow_rules(spark, sf_dir):
 
 def flow_match_rows(spark, sf_dir):
     """Every packet with the rule it satisfies, and those that satisfy none."""
-    packets, rules = views.packets(spark, sf_dir), views.flow_rules(spark)
-    matched = flows.match_rules(packets, rules).select("stream_id", "seq", "rule_id")
-    none = flows.match_rules(packets, rules, how="left_anti").select(
+    packets, wanted = views.packets(spark, sf_dir), views.flow_rules(spark)
+    matched = flows.match_rules(packets, wanted).select("stream_id", "seq", "rule_id")
+    none = flows.match_rules(packets, wanted, how="left_anti").select(
         "stream_id", "seq", F.lit(None).cast("int").alias("rule_id"))
     return matched.unionByName(none)
 
@@ -191,6 +203,13 @@ def flow_masked(spark, sf_dir):
     return views.packets(spark, sf_dir).filter(wanted).select("stream_id", "seq", "src_port", "dst_port")
 
 
+def flow_masked_rules(spark, sf_dir):
+    """Every packet with the rule of highest precedence among those it satisfies under their masks."""
+    packets = views.packets(spark, sf_dir).drop("payload")
+    found = rules.best_rule(packets, views.masked_rules(spark, sf_dir), spread_by=["seq"])
+    return found.select("stream_id", "seq", "rule_id", "priority")
+
+
 def flow_summary(spark, sf_dir):
     return flows.summary(views.packets(spark, sf_dir), ["src_ip", "dst_port"], _frame_length())
 
@@ -207,6 +226,21 @@ def position_dense(spark, sf_dir):
     return assemble.position_dense(packets)
 
 
+def position_append(spark, sf_dir):
+    """Positions after three appends: the first half of the time but for some packets, the second
+    half, and those that were late."""
+    packets = views.arrivals(spark, sf_dir)
+    late = F.col("seq") % 97 == 5
+    span = packets.agg(F.unix_micros(F.min("arrival_ts").cast("timestamp")).alias("lo"),
+                       F.unix_micros(F.max("arrival_ts").cast("timestamp")).alias("hi")).first()
+    numbering = Numbering(spark, session.scratch(spark, "numbering"), HOUR)
+    if span["lo"] is not None:
+        early = F.unix_micros(F.col("arrival_ts").cast("timestamp")) < (span["lo"] + span["hi"]) // 2
+        for part in (early & ~late, ~early, early & late):
+            numbering.append(packets.filter(part))
+    return numbering.positions().select("stream_id", "seq", "pos")
+
+
 def batch_assemble(spark, sf_dir):
     return assemble.batches(views.positioned(spark, sf_dir), TINY).select(
         "stream_id", "batch_id", "n_packets", "first_seq", "last_seq", "bytes")
@@ -292,6 +326,22 @@ def ring_snapshot(spark, sf_dir):
     return metrics.snapshot(views.ring_log(spark, sf_dir), TINY)
 
 
+def ring_snapshot_at(spark, sf_dir):
+    """Counters of its stream's buffer when each packet arrived."""
+    probes = views.arrivals(spark, sf_dir).select("stream_id", "seq", F.col("arrival_ts").alias("at"))
+    return metrics.snapshot_at(views.ring_log(spark, sf_dir), probes, TINY).select(
+        "stream_id", "seq", "blocks_in_use", "bytes_written", "bytes_read", "bytes_available")
+
+
+def block_as_of(spark, sf_dir):
+    """The block filled last when each packet arrived."""
+    probes = views.arrivals(spark, sf_dir)
+    filled = views.ring_log(spark, sf_dir).filter("kind = 'filled'").select(
+        "stream_id", F.col("ts").alias("arrival_ts"), "block_id", F.col("ts").alias("fill_ts"))
+    return ordered.as_of(probes, filled, ["stream_id"], "arrival_ts", ["block_id", "fill_ts"], ["block_id"]).select(
+        "stream_id", "seq", "block_id", "fill_ts")
+
+
 def progress_windowed(spark, sf_dir):
     # At one time fills precede clears ("filled" sorts after "cleared").
     rows = metrics.occupancy(views.ring_log(spark, sf_dir), TINY).withColumn(
@@ -393,64 +443,131 @@ def recording_roundtrip(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------
 # The events, or what was derived from them, followed as a stream until drained.
 
-# A backlog is released in this many spans of time, so that what is carried from one to the
-# next counts.
-SLICES = 3
+# What a micro-batch takes in, and how far behind the newest row another may come: results go
+# out while the stream runs, the rest at its end.
+FEED_BYTES = 1 << 20
+LATENESS = 24 * HOUR
+
 
+def _run(rows, sink):
+    feed.drain(run(rows, sink, session.scratch(rows.sparkSession, "state"), finite=False))
 
-def _drained(rows, step, ts="arrival_ts"):
+
+def _drained(rows, step, ts="arrival_ts", hook=None):
     spark = rows.sparkSession
-    sink = InOrder(spark, session.scratch(spark, "stream"), step, ts)
-    run(rows, sink, session.scratch(spark, "state")).awaitTermination()
-    sink.finish(spark, SLICES)
+    sink = InOrder(spark, session.scratch(spark, "stream"), step, ts, LATENESS, hook)
+    _run(rows, sink)
+    sink.finish(spark)
     return sink.result(spark)
 
 
 def _followed(spark, sf_dir):
-    return views.packets_of(views.follow(spark, sf_dir, "events"))
+    return views.packets_of(views.follow(spark, sf_dir, "events", FEED_BYTES))
 
 
-def _landed(rows, label):
-    """Rows written as a folder of files and followed as a stream."""
-    path = f"{session.scratch(rows.sparkSession, label)}/landed"
-    rows.write.parquet(path)
-    return landing.follow(rows.sparkSession, path, rows.schema)
+def _landed(rows, label, ts):
+    """Rows written as files in the order of their times, and followed as a stream."""
+    spark = rows.sparkSession
+    path = f"{session.scratch(spark, label)}/landed"
+    rows.repartitionByRange(ts).sortWithinPartitions(ts).write.parquet(path)
+    return feed.follow(spark, path, rows.schema, session.scratch(spark, "feed"), FEED_BYTES, order="name")
+
+
+def stream_source(spark, sf_dir):
+    """The events, admitted by bytes, appended to a Parquet sink."""
+    folder = f"{session.scratch(spark, 'appended')}/rows"
+    rows = _followed(spark, sf_dir).select("stream_id", "seq", "src_ip", F.md5("payload").alias("payload_md5"))
+    feed.drain(jobs.start(rows, folder, session.scratch(spark, "state"), finite=False))
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def stream_idle(spark, sf_dir):
+    """Live form of idle_runs: windows go out as the watermark passes them, idle ones too. A row
+    behind the last packet moves the watermark past it."""
+    arrivals = views.arrivals(spark, sf_dir)
+    end = arrivals.agg(F.max("arrival_ts").alias("arrival_ts")).select(
+        F.lit("end of data").alias("stream_id"), (F.col("arrival_ts") + F.expr("interval 2 days")).alias("arrival_ts"))
+    packets = _landed(arrivals.select("stream_id", "arrival_ts").unionByName(end), "packets", "arrival_ts")
+    folder = f"{session.scratch(spark, 'idle')}/rows"
+    rows = idle.windows(packets, 600, "1 day")
+    feed.drain(idle.start(rows, folder, session.scratch(spark, "state")))
+    found = idle.runs(spark.read.schema(rows.schema).parquet(folder))
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "run_end")})
+
+
+def stream_status(spark, sf_dir):
+    """Status rows of the buffer's log, appended to a Parquet sink as they come."""
+    folder = f"{session.scratch(spark, 'status')}/rows"
+    log = _landed(views.ring_log(spark, sf_dir), "ring", "ts")
+    rows = log.select("stream_id", "ts", "kind", "block_id", F.pmod("block_id", F.lit(TINY.nbufs)).alias("slot"))
+    feed.drain(jobs.start(rows, folder, session.scratch(spark, "state"), finite=False))
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
+def stream_dwell(spark, sf_dir):
+    """Live form of block_dwell: fills and clears joined as they come. A row far behind the
+    log on either side moves the watermark past its end."""
+    log = views.ring_log(spark, sf_dir)
+    end = log.agg(F.max("ts").alias("ts")).select(
+        F.lit("end of data").alias("stream_id"), F.lit(-1).cast("bigint").alias("block_id"),
+        (F.col("ts") + F.expr("interval 400 days")).alias("ts"))
+    sides = [_landed(log.filter(F.col("kind") == kind).select("stream_id", "block_id", "ts").unionByName(end), kind, "ts")
+             for kind in ("filled", "cleared")]
+    rows = jobs.dwell(*sides, lateness="1 day", bound="97 hours")
+    folder = f"{session.scratch(spark, 'dwell')}/rows"
+    feed.drain(jobs.start(rows, folder, session.scratch(spark, "state"), finite=False))
+    found = spark.read.schema(rows.schema).parquet(folder).filter("block_id >= 0")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("fill_ts", "clear_ts")})
+
+
+def stream_sink(spark, sf_dir):
+    """All packets as one stream, whose sequence numbers count it, recorded by the streaming
+    sink and sealed at its end."""
+    folder = f"{session.scratch(spark, 'sink')}/files"
+    padded = F.expr(f"substring(concat(payload, unhex(repeat('00', {SHORT.pkt_size}))), 1, {SHORT.pkt_size})")
+    rows = _followed(spark, sf_dir).select(F.lit("all").alias("stream_id"), "seq", "arrival_ts", padded.alias("payload"))
+    feed.drain(sink.start(sink.place(rows, SHORT), folder, session.scratch(spark, "state")))
+    fields = {**views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header, "pkt_data": SHORT.pkt_data}
+    sink.seal(spark, folder, SHORT, fields)
+    sink.seal(spark, folder, SHORT, fields, last=True)
+    return recording.read(spark, folder, SHORT).select(
+        (recording.file_number(F.col("file")) * SHORT.blocks_per_file + F.col("block_index")).alias("block_id"),
+        "packet_index", F.md5("payload").alias("payload_md5"))
 
 
 def stream_batches(spark, sf_dir):
     """Batches, with the incomplete last one of every stream that ends: an end-of-data row
     follows the last packet of every stream but the purchases."""
-    followed = _followed(spark, sf_dir).select("stream_id", "seq", "arrival_ts")
-    ends = views.packets(spark, sf_dir).groupBy("stream_id").agg(F.max("arrival_ts").alias("arrival_ts")).filter(
+    packets = views.arrivals(spark, sf_dir)
+    ends = packets.groupBy("stream_id").agg(F.max("arrival_ts").alias("arrival_ts")).filter(
         "stream_id <> 'purchase'").select(
         "stream_id", F.lit(None).cast("bigint").alias("seq"), "arrival_ts", F.lit(True).alias("eod"))
-    both = followed.withColumn("eod", F.lit(False)).unionByName(_landed(ends, "ends"))
-    rows = jobs.as_batches(_drained(both, jobs.batches(TINY)), TINY)
-    return rows
+    both = _landed(packets.withColumn("eod", F.lit(False)).unionByName(ends), "packets", "arrival_ts")
+    return jobs.as_batches(_drained(both, jobs.batches(TINY)), TINY)
 
 
 def stream_blocks(spark, sf_dir):
-    rows = jobs.as_blocks(_drained(_followed(spark, sf_dir), jobs.blocks(TINY)), TINY)
+    rows = jobs.as_blocks(_drained(_followed(spark, sf_dir).select("stream_id", "seq", "arrival_ts"), jobs.blocks(TINY)), TINY)
     return rows.withColumn("fill_ts", F.col("fill_ts").cast("timestamp_ntz"))
 
 
 def stream_throughput(spark, sf_dir):
-    sink = jobs.WindowCounts(spark, session.scratch(spark, "stream"), ALIGNED, HOUR)
-    run(_followed(spark, sf_dir), sink, session.scratch(spark, "state")).awaitTermination()
-    rows = sink.result(spark)
+    counts = jobs.WindowCounts(spark, session.scratch(spark, "stream"), ALIGNED, HOUR)
+    _run(_followed(spark, sf_dir), counts)
+    rows = counts.result(spark)
     return rows.select("stream_id", F.col("win_start").cast("timestamp_ntz").alias("win_start"),
                        "packets", "kb", F.round("gbps", 12).alias("gbps"))
 
 
 def stream_occupancy(spark, sf_dir):
-    log = _landed(views.ring_log(spark, sf_dir), "ring")
+    log = _landed(views.ring_log(spark, sf_dir), "ring", "ts")
     rows = _drained(log, jobs.Occupancy(TINY), "ts")
     return rows.withColumns({"ts": F.col("ts").cast("timestamp_ntz"),
                              "fill_pct": F.round("fill_pct", 9)})
 
 
 def stream_progress(spark, sf_dir):
-    filled = _landed(views.ring_log(spark, sf_dir).filter(F.col("kind") == "filled"), "ring")
+    filled = _landed(views.ring_log(spark, sf_dir).filter(F.col("kind") == "filled"), "ring", "ts")
     rows = _drained(filled, jobs.Progress(PROGRESS_SECONDS, {"block_id": "bigint"}, ["ts", "block_id"]), "ts")
     return rows.select("stream_id", "block_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
@@ -463,36 +580,40 @@ def stream_recording(spark, sf_dir):
     padded = F.expr(f"substring(concat(payload, unhex(repeat('00', {SHORT.pkt_size}))), 1, {SHORT.pkt_size})")
     rows = _followed(spark, sf_dir).select(
         stream.alias("stream_id"), "seq", "arrival_ts", padded.alias("payload"))
-    sink = recorder(spark, session.scratch(spark, "live"), SHORT, {
-        **views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header, "pkt_data": SHORT.pkt_data})
-    run(rows, sink, session.scratch(spark, "state")).awaitTermination()
-    sink.finish(spark, SLICES)
-    return recording.read(spark, sink.step.files, SHORT).select(
+    live = recorder(spark, session.scratch(spark, "live"), SHORT, {
+        **views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header, "pkt_data": SHORT.pkt_data}, LATENESS)
+    _run(rows, live)
+    live.finish(spark)
+    return recording.read(spark, live.step.files, SHORT).select(
         recording.stream_of(F.col("file")).alias("stream_id"),
         (recording.file_number(F.col("file")) * SHORT.blocks_per_file + F.col("block_index")).alias("block_id"),
         "packet_index", F.md5("payload").alias("payload_md5"))
 
 
 def stream_hook(spark, sf_dir):
-    """Blocks handed to a user's function as they are published: it writes what it got."""
-    folder, calls = f"{session.scratch(spark, 'hook')}/blocks", []
+    """Blocks handed to a user's function as they are published: it writes what it got, under the
+    number of the release."""
+    folder = f"{session.scratch(spark, 'hook')}/blocks"
 
-    def publish(blocks):
-        calls.append(None)
-        jobs.as_blocks(blocks, TINY).write.parquet(f"{folder}/call={len(calls)}")
+    def publish(blocks, release):
+        jobs.as_blocks(blocks, TINY).write.mode("overwrite").parquet(f"{folder}/release={release}")
 
-    _drained(_followed(spark, sf_dir), jobs.Hooked(jobs.blocks(TINY), publish))
+    _drained(_followed(spark, sf_dir).select("stream_id", "seq", "arrival_ts"), jobs.blocks(TINY), hook=publish)
     return spark.read.parquet(folder).select("stream_id", "block_id", "n_packets")
 
 
 def stream_packing(spark, sf_dir):
-    """Live form of pack_variable: blocks completed before the end of the data."""
+    """Live form of pack_variable; every stream ends with an end-of-data row, which sends on
+    its last block."""
     rows = views.table(spark, sf_dir, "lineitem").select(
         F.col("l_returnflag").alias("stream_id"), F.col("l_shipdate").cast("timestamp").alias("ts"),
-        "l_orderkey", "l_linenumber", (F.lit(16) + F.col("l_quantity").cast("bigint") * 8).alias("size"))
-    packed = _drained(_landed(rows, "records"),
-                      jobs.Packing(4000, ["ts", "l_orderkey", "l_linenumber", "size"]), "ts")
-    return packed
+        "l_orderkey", "l_linenumber", (F.lit(16) + F.col("l_quantity").cast("bigint") * 8).alias("size"),
+        F.lit(False).alias("eod"))
+    empty = {c: F.lit(None).cast(rows.schema[c].dataType) for c in ("l_orderkey", "l_linenumber", "size")}
+    ends = rows.groupBy("stream_id").agg(F.max("ts").alias("ts")).select(
+        "stream_id", "ts", *[v.alias(c) for c, v in empty.items()], F.lit(True).alias("eod"))
+    return _drained(_landed(rows.unionByName(ends), "records", "ts"),
+                    jobs.Packing(4000, ["ts", "l_orderkey", "l_linenumber", "size"]), "ts")
 
 
 QUERIES = {fn.__name__: fn for fn in (
@@ -505,7 +626,9 @@ QUERIES = {fn.__name__: fn for fn in (
     progress_windowed, progress_exact, offset_gaps, log_metrics, recording_roundtrip,
     stream_batches, stream_blocks, stream_throughput, stream_occupancy, stream_progress,
     stream_recording, stream_packing, flow_match_rows, flow_match_frames, flow_masked,
-    position_dense, header_files, pkt_generate, stream_hook)}
+    position_dense, header_files, pkt_generate, stream_hook, stream_source, stream_status, stream_dwell, stream_idle,
+    position_append,
+    stream_sink, flow_masked_rules, ring_snapshot_at, block_as_of, header_versions)}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -410,10 +410,63 @@ b AS (
   GROUP BY b.stream_id, b.block_id, b.end_at)
 SELECT stream_id, block_id, n AS n_records, CAST(end_at - start_at AS BIGINT) AS used_bytes,
        CAST(4000 - (end_at - start_at) AS BIGINT) AS pad_bytes
-FROM b WHERE block_id >= 0
-QUALIFY block_id < max(block_id) OVER (PARTITION BY stream_id)""",
+FROM b WHERE block_id >= 0""",
+
+    "stream_source": f"""WITH {PACKETS}
+SELECT stream_id, seq, src_ip, md5(props) AS payload_md5 FROM packets""",
+
+    "stream_status": f"""WITH {RING}
+SELECT stream_id, ts, kind, block_id, block_id % 8 AS slot FROM ring""",
+
+    "stream_sink": f"""WITH {PACKETS}
+SELECT seq // 10 AS block_id, seq % 10 AS packet_index,
+       md5(unhex(rpad(left(hex(encode(props)), 18), 18, '0'))) AS payload_md5
+FROM packets WHERE seq // 10 < (SELECT count(*) FROM packets) // 10""",
+
+    "ring_snapshot_at": f"""WITH {RING}, probes AS (
+  SELECT stream_id, seq, arrival_ts AS ts, 0 AS w, 0 AS r FROM packets),
+both_ AS (
+  SELECT stream_id, ts, CASE kind WHEN 'filled' THEN 1 ELSE 0 END AS w,
+         CASE kind WHEN 'filled' THEN 0 ELSE 1 END AS r, NULL AS seq FROM ring
+  UNION ALL SELECT stream_id, ts, w, r, seq FROM probes),
+c AS (
+  SELECT stream_id, seq, CAST(sum(w) OVER o AS BIGINT) AS w, CAST(sum(r) OVER o AS BIGINT) AS r FROM both_
+  WINDOW o AS (PARTITION BY stream_id ORDER BY ts RANGE UNBOUNDED PRECEDING))
+SELECT stream_id, seq, greatest(0, least(w - r, 8)) AS blocks_in_use, w * 4000 AS bytes_written,
+       r * 4000 AS bytes_read, (8 - greatest(0, least(w - r, 8))) * 4000 AS bytes_available
+FROM c WHERE seq IS NOT NULL""",
+
+    "block_as_of": f"""WITH {BLOCKS}, ends AS (
+  SELECT stream_id, fill_ts, max(block_id) AS block_id FROM blocks GROUP BY ALL)
+SELECT p.stream_id, p.seq, e.block_id, e.fill_ts
+FROM packets p ASOF LEFT JOIN ends e ON e.stream_id = p.stream_id AND e.fill_ts <= p.arrival_ts""",
+
+    "flow_masked_rules": f"""WITH {PACKETS}, rules AS (
+  SELECT c_custkey AS rule_id, c_custkey * 7919 % 100 AS priority,
+         (c_custkey // 256 % 256) * 256 + c_custkey % 256 AS host,
+         [0, 2, 4, 8][c_custkey % 4 + 1] AS loose, 60000 + c_custkey % 4 AS src_port,
+         [0, 1, 16][c_custkey % 3 + 1] AS loose_port,
+         CASE WHEN c_custkey % 5 <> 0 THEN 17202 END AS dst_port FROM customer),
+m AS (
+  SELECT stream_id, seq, rule_id, priority, row_number() OVER (
+           PARTITION BY stream_id, seq ORDER BY priority DESC, rule_id) AS i
+  FROM packets JOIN rules
+    ON eth_type = 2048 AND user_id >> loose = host >> loose
+   AND packets.src_port >> loose_port = rules.src_port >> loose_port
+   AND (rules.dst_port IS NULL OR rules.dst_port = packets.dst_port))
+SELECT p.stream_id, p.seq, m.rule_id, m.priority
+FROM packets p LEFT JOIN (SELECT * FROM m WHERE i = 1) m USING (stream_id, seq)""",
 }
 
+ORACLES["stream_dwell"] = ORACLES["block_dwell"]
+ORACLES["position_append"] = ORACLES["arrival_position"]
+ORACLES["stream_idle"] = ORACLES["idle_runs"]
+
+ORACLES["header_versions"] = """WITH r AS (
+""" + ORACLES["header_render"] + """)
+SELECT file_id, rpad('HDR_VERSION', 20, ' ') || '1.0' || chr(10) || rpad('HDR_SIZE', 20, ' ') || '4096' || chr(10)
+       || header_text AS header_text FROM r"""
+
 ORACLES["pkt_generate"] = ORACLES["pkt_encode"].replace(
     "FROM packets)", "FROM (SELECT * REPLACE (octet_length(encode(stream_id)) + 8 AS size) FROM packets))", 1
 ).replace("hex(encode(props)) AS", "hex(encode(stream_id)) || printf('%016X', seq) AS")

@@ -13,7 +13,8 @@ from framelake import session
 from framelake.functions.layout import ALIGNED, TINY, Layout  # noqa: F401
 from framelake.operators import assemble
 from framelake.operators.joins import attach
-from framelake.sources import packets as landing
+from framelake.operators.rules import prefix_mask
+from framelake.sources import feed
 
 # Twelve batches per block, so that the countdown has something to count.
 SMALL_BATCH = Layout(pkt_header=16, pkt_data=64, pkts_per_block=50, send_n=4)
@@ -37,11 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def follow(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a stream of files."""
+def follow(spark: SparkSession, sf_dir: str, name: str, max_bytes: int) -> DataFrame:
+    """A table as a stream, at most ``max_bytes`` of it in a micro-batch."""
     rows = table(spark, sf_dir, name)
-    # As a pattern, the path may name one file or a folder of part files.
-    return landing.follow(spark, f"{sf_dir}/{name}.parque[t]", rows.schema)
+    return feed.follow(spark, f"{sf_dir}/{name}.parquet", rows.schema, session.scratch(spark, "feed"), max_bytes)
 
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +79,29 @@ def flow_rules(spark: SparkSession) -> DataFrame:
               "src_port int, dst_port int")
 
 
+# Prefix lengths and port masks of the rules below, by customer.
+PREFIXES = (32, 30, 28, 24)
+PORT_MASKS = (0xFFFF, 0xFFFE, 0)
+
+
+def masked_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule per customer: address prefixes of four lengths, port masks, every fifth without a
+    port of destination, priorities that tie."""
+    key = F.col("c_custkey")
+    address = F.concat(F.lit("10.17."), F.pmod(assemble.div(key, 256), F.lit(256)).cast("string"), F.lit("."),
+                       F.pmod(key, F.lit(256)).cast("string"))
+
+    def pick(values, by):
+        return F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), (F.pmod(by, F.lit(len(values))) + 1).cast("int"))
+
+    return table(spark, sf_dir, "customer").select(
+        key.alias("rule_id"), (key * 7919 % 100).alias("priority"),
+        F.lit(None).cast("string").alias("src_mac"), F.lit(DST_MAC).alias("dst_mac"), address.alias("src_ip"),
+        pick([prefix_mask(n) for n in PREFIXES], key).alias("src_ip_mask"), F.lit(DST_IP).alias("dst_ip"),
+        (F.lit(60000) + key % 4).cast("int").alias("src_port"), pick(PORT_MASKS, key).alias("src_port_mask"),
+        F.when(key % 5 != 0, 17202).cast("int").alias("dst_port"))
+
+
 def ring_log_of(blocks: DataFrame) -> DataFrame:
     """Fill and clear events; every tenth block is never cleared."""
     block = F.col("block_id")

@@ -31,6 +31,8 @@ from framelake.session import durable, settings
 
 SUFFIX = ".rec"
 STAGING = "_staging"
+# Parts of recordings that are still being written by a stream.
+LIVE = "_live"
 SPLIT_BYTES = 128 << 20
 # Recording bytes written by one task, at least one file.
 TASK_BYTES = 1 << 30
@@ -54,6 +56,12 @@ def resolve(path: str):
     return fs.LocalFileSystem(), path
 
 
+def drop_folder(path: str) -> None:
+    system, root = resolve(path)
+    if system.get_file_info(root).type == fs.FileType.Directory:
+        system.delete_dir(root)
+
+
 def _list(path: str):
     """Recordings under a folder, or the one file given. Lists instead of globbing:
     file names may contain colons."""
@@ -64,7 +72,7 @@ def _list(path: str):
     found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
     return system, sorted(
         (f for f in found if f.type == fs.FileType.File and f"/{STAGING}" not in f.path
-         and not f.base_name.startswith((".", "_"))),
+         and f"/{LIVE}/" not in f.path and not f.base_name.startswith((".", "_"))),
         key=lambda f: f.path)
 
 
@@ -382,6 +390,11 @@ class RecordingSource(DataSource):
     def writer(self, schema, overwrite):
         return RecordingWriter(dict(self.options), overwrite)
 
+    def streamWriter(self, schema, overwrite):
+        from framelake.streaming.sink import LiveWriter
+
+        return LiveWriter(dict(self.options))
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(RecordingSource)

@@ -19,17 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from framelake.sources.recording import resolve
+from framelake.sources.recording import drop_folder, resolve
 
 LEDGER = "bound bigint, top bigint, carry bigint, open array<struct<id:bigint,top:bigint>>, finished boolean"
 
 
-def drop_folder(path: str) -> None:
-    system, root = resolve(path)
-    if system.get_file_info(root).type == fs.FileType.Directory:
-        system.delete_dir(root)
-
-
 class InOrder:
     """``foreachBatch`` target. ``root`` is a shared folder for what is held back, carried
     and put out. ``lateness`` in seconds says how far behind the newest row another may
@@ -37,11 +31,14 @@ class InOrder:
 
     A row older than what was already released cannot be put in its place any more: it is
     kept in the folder ``late``, out of the results.
+
+    ``hook(rows, release)`` is handed what a release has put out, with its number. A release that
+    is repeated calls it again with the same rows and number, so what it does must go by that.
     """
 
     def __init__(self, spark: SparkSession, root: str, step, ts: str = "arrival_ts",
-                 lateness: int | None = None):
-        self.root, self.step, self.ts, self.lateness = root, step, ts, lateness
+                 lateness: int | None = None, hook=None):
+        self.root, self.step, self.ts, self.lateness, self.hook = root, step, ts, lateness, hook
         self.out = posixpath.join(root, "out")
         spark.createDataFrame([], step.carried).write.mode("overwrite").parquet(self._at("carry", -1))
         spark.createDataFrame([], step.output).write.mode("overwrite").parquet(self._at("out", -1))
@@ -107,6 +104,8 @@ class InOrder:
         out, carried = self.step(rows, spark.read.parquet(self._at("carry", carry)), last)
         out.write.mode("overwrite").parquet(self._at("out", batch_id))
         carried.write.mode("overwrite").parquet(self._at("carry", batch_id))
+        if self.hook is not None:
+            self.hook(spark.read.schema(self.step.output).parquet(self._at("out", batch_id)), batch_id)
 
     def finish(self, spark: SparkSession, slices: int = 1) -> None:
         """End of data: release what is held, in ``slices`` equal spans of time, so that a

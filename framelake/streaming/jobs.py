@@ -233,19 +233,3 @@ def start(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
     if name:
         writer = writer.queryName(name)
     return (writer.trigger(availableNow=True) if finite else writer).start()
-
-
-@dataclasses.dataclass
-class Hooked:
-    """A step whose output of each release is also handed to ``hook(df)``."""
-
-    step: object
-    hook: object
-
-    def __post_init__(self):
-        self.carried, self.output = self.step.carried, self.step.output
-
-    def __call__(self, rows: DataFrame, carry: DataFrame, last: bool):
-        out, carried = self.step(rows, carry, last)
-        self.hook(out)
-        return out, carried

@@ -128,8 +128,8 @@ def test_header_files(spark, tmp_path):
     out = str(tmp_path / "out")
     stamped = good.limit(1).withColumns({
         "file_size": F.lit(10).cast("bigint"), "mjd_start": F.lit(61081.5), "utc_start": F.lit("x")})
-    headers.write_text(stamped, out)
-    text = "\n".join(r["value"] for r in spark.read.text(out).collect())
+    headers.write_text(stamped, out, "key")
+    text = headers.read_text(spark, out).first()["header_text"]
     assert text.startswith("HDR_VERSION         1.0\nHDR_SIZE            4096\nNANT                4\n")
 
 

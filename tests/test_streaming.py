@@ -189,10 +189,14 @@ def test_pack_variable(spark, sf, tmp_path):
 
 
 def test_block_hook(spark, arrivals, landed, tmp_path):
-    seen = []
-    step = jobs.Hooked(jobs.blocks(TINY), lambda df: seen.append(df.filter("is_complete").count()))
-    drain(landing.follow(spark, landed, arrivals.schema, 2), tmp_path, step, lateness=DAY)
-    assert sum(seen) == assemble.blocks(assemble.position(arrivals), TINY).count() and len(seen) > 1
+    seen = {}
+    sink = InOrder(spark, str(tmp_path / "out"), jobs.blocks(TINY), lateness=DAY,
+                   hook=lambda df, release: seen.update({release: df.filter("is_complete").count()}))
+    run(landing.follow(spark, landed, arrivals.schema, 2), sink, str(tmp_path / "c")).awaitTermination()
+    before_end = sum(seen.values())
+    sink.finish(spark)
+    every = assemble.blocks(assemble.position(arrivals), TINY).count()
+    assert sum(seen.values()) == every and len(seen) > 1 and 0 < before_end < every
 
 
 def test_recording_rolls_over(spark, arrivals, tmp_path):
