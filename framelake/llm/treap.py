@@ -27,8 +27,9 @@ TOP = 20
 # Text and documents of a shard; a longer text is a shard by itself.
 SHARD_BYTES = 8 << 20
 SHARD_DOCS = 8192
-# Ranges of documents taken further at once, and path ends held at once for an item.
-BEAM = 256
+# Ranges of documents taken further at once, fewer of them until enough documents are found, and
+# path ends held at once for an item.
+BEAM, FIRST_BEAM = 256, 32
 PATHS = 4_000_000
 # Terms of items that are handed to all workers at once.
 BLOCK_TERMS = 200_000
@@ -193,8 +194,7 @@ def _descend(shard: Shard, rows: np.ndarray, weights: np.ndarray, best: Best) ->
     """Put the best documents of a shard into ``best``. ``rows`` are the rows of an item's terms."""
     # An item of very many terms goes through narrower ranges of documents, one after the other.
     depth = 0
-    while depth < shard.height and len(rows) << (shard.height - depth) > PATHS and (
-            len(shard.doc_ids) >> (shard.height - depth)) < len(shard.doc_ids):
+    while depth < shard.height and len(rows) << (shard.height - depth) > PATHS:
         depth += 1
     span = shard.height - depth
     for begin in range(0, ((len(shard.doc_ids) - 1) >> span) + 1):
@@ -207,14 +207,18 @@ def _descend(shard: Shard, rows: np.ndarray, weights: np.ndarray, best: Best) ->
 def _best_first(shard: Shard, rows, weights, best: Best, level: int, column: int, paths: np.ndarray) -> None:
     levels, columns = np.array([level]), np.array([column])
     bounds = shard.most[paths] @ weights
+    if level == shard.height:
+        best.add(bounds, [shard.doc_ids[column]])
+        return
     while True:
         live = bounds >= best.floor
         if not live.any():
             return
         levels, columns, bounds, paths = levels[live], columns[live], bounds[live], paths[live]
-        if len(bounds) > BEAM:
-            order = np.argpartition(-bounds, BEAM)
-            now, later = order[:BEAM], order[BEAM:]
+        beam = BEAM if len(best.found) == best.top else FIRST_BEAM
+        if len(bounds) > beam:
+            order = np.argpartition(-bounds, beam)
+            now, later = order[:beam], order[beam:]
         else:
             now, later = np.arange(len(bounds)), np.zeros(0, np.int64)
         row_bit = (rows[None, :] >> (shard.height - 1 - levels[now])[:, None]) & 1

@@ -74,8 +74,9 @@ class Cached:
             known.clear()
         split = [self.split(t) for t in texts]
         missing = list(set().union(*split).difference(known)) if split else []
-        # A letter and a tail that is always a token of its own are looked up in two parts.
-        cut = [p for p in missing if p[-1:] in self.tails and p[-2:-1].isalpha()] if self.tails else []
+        # A letter and a tail that is always a token of its own are looked up in two parts. Only
+        # after a plain letter: normalising takes others apart, and the tail may join what is left.
+        cut = [p for p in missing if p[-1:] in self.tails and p[-2:-1].isalpha() and p[-2:-1].isascii()] if self.tails else []
         whole = missing
         if cut:
             whole = set(missing).difference(cut)
@@ -145,7 +146,7 @@ def ids_of(path: str, layout: str, entries: int = CACHE_ENTRIES) -> Cached:
         known.update(zip(rest, one_by_one(rest)))
         return [known[p] for p in pieces]
 
-    # A full stop or comma between a letter and white space is a token of its own.
+    # A full stop or comma between a plain letter and white space is a token of its own.
     return Cached(encode, {"word": word_pieces, "byte": byte_level_pieces}[layout], entries, ".,",
                   library.get_vocab_size())
 

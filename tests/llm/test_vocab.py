@@ -31,6 +31,19 @@ def test_ids(name, layout):
             whole.encode(text, add_special_tokens=False).ids, kind).tobytes(), repr(text)
 
 
+@pytest.mark.parametrize("name, layout", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
+def test_every_letter_before_a_full_stop_or_comma(name, layout):
+    path = public_tokenizers.path(name)
+    whole = vocab._library(path)
+    kind = vocab.id_type(whole.get_vocab_size())
+    letters = [chr(c) for c in range(0x30000) if chr(c).isalpha()]
+    given = [f"ab {letter}{tail} {letter}x{letter}{tail}" for letter in letters for tail in ".,"]
+    want = [vocab.np.array(e.ids, kind).tobytes() for e in whole.encode_batch_fast(given, add_special_tokens=False)]
+    cache = vocab.ids_of(path, layout)
+    found = [b"".join(f) for at in range(0, len(given), 5000) for f in cache.each(given[at:at + 5000])]
+    assert [g for g, w, f in zip(given, want, found) if w != f] == []
+
+
 def test_lengths():
     import sentencepiece
 
