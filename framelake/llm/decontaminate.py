@@ -8,7 +8,6 @@ cut into blocks of that size, and the documents are scanned once for each.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import pickle
 
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm import vocab, words
+from framelake.llm import vocab, words, workers
 
 WINDOW = 10
 # Windows broadcast at once: about 100 bytes each.
@@ -84,7 +83,7 @@ class Lookup:
                     yield int(at), n, items
 
 
-@functools.lru_cache(maxsize=2)
+@workers.kept_for("decontamination", 2)
 def _lookup(handed: bytes) -> Lookup:
     return Lookup(pickle.loads(handed))
 
@@ -153,6 +152,7 @@ def scan(docs: DataFrame, items: DataFrame, text: str = "text", into: str = "fou
 
 def _finder(handed):
     def find(texts: pa.Array) -> pa.Array:
+        workers.begin("decontamination")
         return _scan_batch(texts, _lookup(handed.value))
 
     return F.arrow_udf(find, f"struct<{SCANNED.replace(' ', ':').replace(',:', ',')}>")

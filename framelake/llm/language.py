@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm import vocab
+from framelake.llm import vocab, workers
 from framelake.session import stored
 
 DIMENSIONS = 8192
@@ -208,7 +208,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language:
     return fit(table["lang"].to_pylist(), dense, table["letters"].to_numpy(), k, slack)
 
 
-@functools.lru_cache(maxsize=2)
+@workers.kept_for("language", 2)
 def _model(handed: bytes) -> Model:
     return pickle.loads(handed)
 
@@ -224,6 +224,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", into: str = "lang
     shape = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
     def find(texts: pa.Array) -> pa.Array:
+        workers.begin("language")
         known, parts = _model(handed.value), []
         for start, stop in vocab.byte_blocks(texts):
             block = [t or "" for t in texts[start:stop].to_pylist()]

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm import vocab, words
+from framelake.llm import vocab, words, workers
 from framelake.llm.components import components
 from framelake.operators.joins import attach
 from framelake.session import stored
@@ -93,6 +93,7 @@ def _sign(docs: DataFrame, n: int) -> DataFrame:
     def sign(batches):
         shape = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("f1", pa.int64()),
                            ("f2", pa.int64()), ("small", pa.list_(pa.int64()))])
+        workers.begin("minhash")
         for batch in batches:
             texts = batch.column("text")
             for start, stop in vocab.byte_blocks(texts, BLOCK_BYTES):
@@ -110,6 +111,7 @@ def _sign(docs: DataFrame, n: int) -> DataFrame:
 def _sets(docs: DataFrame, n: int) -> DataFrame:
     def sets(batches):
         shape = pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+        workers.begin("minhash")
         for batch in batches:
             texts = batch.column("text")
             for start, stop in vocab.byte_blocks(texts, BLOCK_BYTES):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framelake.llm import vocab
+from framelake.llm import vocab, workers
 from framelake.operators.joins import attach_bounded
 from framelake.session import scratch
 from framelake.sources.recording import resolve
@@ -75,6 +75,7 @@ def unframe(record: bytes) -> np.ndarray:
 def encode(texts: pa.Array, tokenizer: str, layout: str, end_id: int | None,
            entries: int = vocab.CACHE_ENTRIES):
     """Id bytes of each text (null as empty), with the end id appended."""
+    workers.begin("tokens")
     cache = vocab.ids_of(tokenizer, layout, entries)
     kind = vocab.id_type(max(cache.vocabulary, (end_id or 0) + 1))
     tail = b"" if end_id is None else np.array([end_id], kind).tobytes()

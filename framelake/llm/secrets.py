@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import base64
 import bisect
-import functools
 import hashlib
 import re
 
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm import vocab
+from framelake.llm import vocab, workers
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -74,7 +73,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
-@functools.lru_cache(maxsize=2)
+@workers.kept_for("secrets", 2)
 def _encoding(ranks: str):
     import tiktoken
 
@@ -212,6 +211,7 @@ def scan(docs: DataFrame, text: str = "text", into: str = "found", ranks: str =
     texts are scanned, one row out per row in, without a shuffle.
     """
     def find(texts: pa.Array) -> pa.Array:
+        workers.begin("secrets")
         return _scan_batch(texts, ranks, ratio)
 
     return docs.withColumn(into, F.arrow_udf(find, SPANS)(F.col(f"`{text}`")))
@@ -235,10 +235,14 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", ranks: s
     A null text stays null. Other columns, a length column among them, are left alone.
     """
     def clean(texts: pa.Array) -> pa.Array:
-        out = []
-        for t in texts.to_pylist():
-            found = scan_text(t, ranks, ratio) if t else None
-            out.append(_cut(t, found["starts"], found["ends"], mark) if found and found["starts"] else t)
-        return pa.array(out, pa.string())
+        workers.begin("secrets")
+        parts = []
+        for start, stop in vocab.byte_blocks(texts):
+            out = []
+            for t in texts[start:stop].to_pylist():
+                found = scan_text(t, ranks, ratio) if t else None
+                out.append(_cut(t, found["starts"], found["ends"], mark) if found and found["starts"] else t)
+            parts.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return docs.withColumn(text, F.arrow_udf(clean, T.StringType())(F.col(f"`{text}`")))

@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm import vocab
+from framelake.llm import vocab, workers
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIMIT = 4096
 
 
 def _counts(texts: pa.Array, model: str) -> pa.Array:
+    workers.begin("tokens")
     cache, out = vocab.lengths_of(model), np.zeros(len(texts), np.int64)
     for start, stop in vocab.byte_blocks(texts):
         block = [t or "" for t in texts[start:stop].to_pylist()]

@@ -15,6 +15,8 @@ import re
 import numpy as np
 import pyarrow as pa
 
+from framelake.llm import workers
+
 # Bytes of text encoded together, and entries a worker keeps.
 BLOCK_BYTES = 1 << 20
 CACHE_ENTRIES = 1_000_000
@@ -110,7 +112,7 @@ _EDGES = {
 }
 
 
-@functools.lru_cache(maxsize=4)
+@workers.kept_for("tokens", 4)
 def ids_of(path: str, layout: str, entries: int = CACHE_ENTRIES) -> Cached:
     """Id bytes of a ``tokenizers`` file; ``layout`` is how it treats spaces (``word`` or
     ``byte``). Ids are little-endian, of ``id_type`` width. A worker keeps ``entries`` pieces,
@@ -160,7 +162,7 @@ def vocabulary_size(path: str) -> int:
     return _library(path).get_vocab_size()
 
 
-@functools.lru_cache(maxsize=2)
+@workers.kept_for("tokens", 2)
 def lengths_of(path: str) -> Cached:
     """Token counts of a ``sentencepiece`` model whose pieces hold word marks only in front
     and never a line feed; other models are refused."""
