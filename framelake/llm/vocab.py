@@ -106,9 +106,11 @@ def _library(name: str):
 # Words encoded in one text. In a vocabulary of words the last token of each carries the end
 # mark; at the byte level the first begins with the space, written as the sign below.
 TOGETHER = 500
+# Letters of Latin scripts count as plain, but for the one that lower-casing takes apart; at the byte
+# level so does all printable text without a sign that could begin a special string.
 _EDGES = {
-    "word": (re.compile("[a-z]+"), " ", lambda token: token.endswith("</w>")),
-    "byte": (re.compile(" [A-Za-z]+"), "", lambda token: token.startswith("Ġ")),
+    "word": (re.compile("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f]+"), " ", lambda token: token.endswith("</w>")),
+    "byte": (re.compile(" [!-;=-~\u00c0-\u012f\u0131-\u024f]+"), "", lambda token: token.startswith("Ġ")),
 }
 
 

@@ -16,7 +16,9 @@ ODD = ["", " ", "\n", "  ", "a", " a", "a ", "a  b", "a \n b", "\n\n", "a\n\nb",
 def texts():
     rng = random.Random(5)
     parts = ["foo", "Bar,", "'s", " ", "  ", "\n", "\t", "é", "12", "-", "<|endoftext|>", "日本", "\x1c"]
-    return ODD + ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(400)]
+    latin = [chr(c) for c in range(0x21, 0x250) if chr(c).isprintable()] + [" "] * 150
+    return (ODD + ["".join(rng.choices(parts, k=rng.randrange(60))) for _ in range(400)]
+            + ["".join(rng.choices(latin, k=rng.randrange(200))) for _ in range(300)])
 
 
 @pytest.mark.parametrize("name, layout", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "byte")])
