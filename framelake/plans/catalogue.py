@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,12 +13,16 @@ from framelake.operators import assemble, chained, flows, joins, metrics, ordere
 from framelake.operators.numbering import Numbering
 from framelake.plans import views
 from framelake.plans.views import ALIGNED, SHORT, SMALL_BATCH, TINY
-from framelake.sources import feed, headers, logs, recording
+from framelake.sources import feed, headers, logs, recording, tail
 from framelake.streaming import idle, jobs, sink
 from framelake.streaming.inorder import InOrder, run
 from framelake.streaming.record import recorder
 
 HOUR = 3600
+# Days read from recordings.
+RANGE = (datetime.datetime(2024, 1, 10), datetime.datetime(2024, 1, 15))
+# Bytes of logs that a micro-batch takes in.
+LOG_BYTES = 256 << 10
 PROGRESS_SECONDS = 2 * 24 * HOUR
 
 
@@ -366,9 +371,9 @@ def offset_gaps(spark, sf_dir):
     return metrics.offset_gaps(extents, "l_orderkey")
 
 
-def log_metrics(spark, sf_dir):
-    """Hourly log lines per stream, written as text files and read back. A run starts each
-    week, with two damaged lines and a counter of the buffer; every event counts as one
+def _write_logs(spark, sf_dir):
+    """Hourly log lines per stream, written as text files below the folder returned. A run starts
+    each week, with two damaged lines and a counter of the buffer; every event counts as one
     aligned block."""
     per_hour = metrics.throughput(
         views.packets(spark, sf_dir).select("stream_id", "arrival_ts"), ALIGNED, HOUR)
@@ -394,8 +399,24 @@ def log_metrics(spark, sf_dir):
     ).filter("value is not null")
     path = f"{session.scratch(spark, 'logs')}/text"
     logs.write(lines, path, "file", ["win_start", "part"])
-    return logs.read_folders(spark, path).select(
-        "file", "run_id", "line_no", "kind", "blocks", "fill_pct", "kb", "gbps", "counter", "amount")
+    return path
+
+
+LOG_COLUMNS = ["run_id", "line_no", "kind", "blocks", "fill_pct", "kb", "gbps", "counter", "amount"]
+
+
+def log_metrics(spark, sf_dir):
+    """Log lines read back as typed rows with their runs."""
+    return logs.read_folders(spark, _write_logs(spark, sf_dir)).select("file", *LOG_COLUMNS)
+
+
+def stream_log_metrics(spark, sf_dir):
+    """Live form of log_metrics: the logs followed by steps of some bytes, which cut them anywhere."""
+    path = _write_logs(spark, sf_dir)
+    rows = tail.follow(spark, path, session.scratch(spark, "tail"), LOG_BYTES, folder="file")
+    runs = jobs.LogRuns(spark, session.scratch(spark, "stream"))
+    _run(rows, runs)
+    return runs.result(spark).select(F.col("log").alias("file"), *LOG_COLUMNS)
 
 
 # --- recordings ----------------------------------------------------------------------
@@ -440,6 +461,31 @@ def recording_roundtrip(spark, sf_dir):
         "file", "block_index", "packet_index", F.md5("payload").alias("payload_md5"))
 
 
+def recording_range(spark, sf_dir):
+    """All packets recorded with their times, then those of blocks that reach into five days."""
+    path = f"{session.scratch(spark, 'recordings')}/files"
+    padded = F.expr(f"substring(concat(payload, unhex(repeat('00', {SHORT.pkt_size}))), 1, {SHORT.pkt_size})")
+    placed = assemble.position(views.packets(spark, sf_dir).select(
+        "stream_id", "seq", "arrival_ts", padded.alias("payload")))
+    per_block = SHORT.send_n * SHORT.batches_per_block
+    totals = placed.groupBy("stream_id").agg(F.count(F.lit(1)).alias("_n"))
+    block = assemble.div(F.col("pos"), per_block)
+    rows = joins.attach(placed, totals, ["stream_id"], "left", null_safe=True).filter(
+        block < assemble.div(F.col("_n"), per_block)).select(
+        F.concat_ws("_", "stream_id", F.lpad(assemble.div(block, SHORT.blocks_per_file).cast("string"), 8, "0")).alias("file"),
+        block.alias("block_id"), F.pmod("pos", F.lit(per_block)).alias("ordinal"), "payload", "arrival_ts")
+    rows = session.stored(rows, "placed")
+    firsts = rows.groupBy("file").agg(F.min("arrival_ts").alias("first_ts"))
+    fields = {**views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header, "pkt_data": SHORT.pkt_data}
+    recording.write(rows, recording.headers_for(firsts, fields, SHORT), path, SHORT)
+    found = recording.read(spark, path, SHORT, times=True, between=RANGE)
+    return found.select(
+        F.regexp_extract("file", "^(.*)_[0-9]+[.]rec$", 1).alias("stream_id"),
+        (recording.file_number(F.col("file")) * SHORT.blocks_per_file + F.col("block_index")).alias("block_id"),
+        "packet_index", F.md5("payload").alias("payload_md5"),
+        *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "last_ts")])
+
+
 # --- streams -------------------------------------------------------------------------
 # The events, or what was derived from them, followed as a stream until drained.
 
@@ -627,7 +673,7 @@ QUERIES = {fn.__name__: fn for fn in (
     stream_batches, stream_blocks, stream_throughput, stream_occupancy, stream_progress,
     stream_recording, stream_packing, flow_match_rows, flow_match_frames, flow_masked,
     position_dense, header_files, pkt_generate, stream_hook, stream_source, stream_status, stream_dwell, stream_idle,
-    position_append,
+    position_append, stream_log_metrics, recording_range,
     stream_sink, flow_masked_rules, ring_snapshot_at, block_as_of, header_versions)}
 
 

@@ -395,6 +395,16 @@ FROM p GROUP BY stream_id, pos // 16 HAVING count(*) = 16 OR stream_id <> 'purch
 SELECT stream_id, pos // 10 AS block_id, pos % 10 AS packet_index, md5(payload) AS payload_md5
 FROM p WHERE pos // 10 < total // 10""",
 
+    "recording_range": f"""WITH {PACKETS}, p AS (
+  SELECT stream_id, arrival_ts, unhex(rpad(left(hex(encode(props)), 18), 18, '0')) AS payload,
+         count(*) OVER (PARTITION BY stream_id) AS total,
+         row_number() OVER (PARTITION BY stream_id ORDER BY arrival_ts, seq) - 1 AS pos
+  FROM packets),
+b AS (SELECT *, min(arrival_ts) OVER w AS first_ts, max(arrival_ts) OVER w AS last_ts FROM p WHERE pos // 10 < total // 10
+      WINDOW w AS (PARTITION BY stream_id, pos // 10))
+SELECT stream_id, pos // 10 AS block_id, pos % 10 AS packet_index, md5(payload) AS payload_md5, first_ts, last_ts
+FROM b WHERE last_ts >= TIMESTAMP '2024-01-10' AND first_ts < TIMESTAMP '2024-01-15'""",
+
     "stream_packing": """WITH RECURSIVE r AS (
   SELECT stream_id, sum(size) OVER (PARTITION BY stream_id ORDER BY ts, o, n, size
                                     ROWS UNBOUNDED PRECEDING) AS cum
@@ -477,3 +487,4 @@ ORACLES["stream_blocks"] = ORACLES["block_assemble"]
 ORACLES["stream_occupancy"] = ORACLES["ring_occupancy"]
 ORACLES["stream_progress"] = ORACLES["progress_exact"].replace(
     "SELECT f.stream_id, f.ts, f.blocks_written, f.fill_pct", "SELECT f.stream_id, f.block_id, f.ts")
+ORACLES["stream_log_metrics"] = ORACLES["log_metrics"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import math
 import os
 import tempfile
@@ -128,7 +129,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     for tables of which later jobs read a few columns or which are large."""
     folder = f"{scratch(df.sparkSession, label)}/table"
     df.write.option("compression", "zstd").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    found = df.sparkSession.read.schema(df.schema).parquet(folder)
+    found._stored_in = folder
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and that nothing will read again, and let Spark drop the
+    shuffle files of jobs whose plans nothing refers to any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._stored_in)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    for table in tables[:1]:
+        table.sparkSession._jvm.System.gc()
 
 
 def durable(df: DataFrame) -> DataFrame:

@@ -10,13 +10,17 @@ files into place. No block is ever held in memory.
 
 from __future__ import annotations
 
+import datetime
 import posixpath
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +37,8 @@ SUFFIX = ".rec"
 STAGING = "_staging"
 # Parts of recordings that are still being written by a stream.
 LIVE = "_live"
+# Times of the blocks of recordings that were written with them.
+INDEX = "_index"
 SPLIT_BYTES = 128 << 20
 # Recording bytes written by one task, at least one file.
 TASK_BYTES = 1 << 30
@@ -72,7 +78,7 @@ def _list(path: str):
     found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
     return system, sorted(
         (f for f in found if f.type == fs.FileType.File and f"/{STAGING}" not in f.path
-         and f"/{LIVE}/" not in f.path and not f.base_name.startswith((".", "_"))),
+         and f"/{LIVE}/" not in f.path and f"/{INDEX}/" not in f.path and not f.base_name.startswith((".", "_"))),
         key=lambda f: f.path)
 
 
@@ -84,6 +90,7 @@ class FileRange:
     size: int
     first: int
     last: int
+    times: list | None = None
 
 
 class Split(InputPartition):
@@ -107,17 +114,50 @@ def _pack(ranges, weight, limit):
     return splits + ([Split(current)] if current else [])
 
 
+INDEX_SCHEMA = pa.schema([("file", pa.string()), ("block_index", pa.int64()), ("first_us", pa.int64()),
+                          ("last_us", pa.int64()), ("written_us", pa.int64())])
+
+
+def block_times(path: str, lo: int | None = None, hi: int | None = None) -> dict[str, dict[int, tuple[int, int]]]:
+    """First and last packet time (microseconds) of the blocks of every recording that has them, of
+    blocks with a packet from ``lo`` on and before ``hi`` only. A file written again counts
+    as it was written last."""
+    system, root = resolve(path)
+    folder = posixpath.join(root, INDEX)
+    if system.get_file_info(folder).type != fs.FileType.Directory:
+        return {}
+    rows = pq.read_table(folder, filesystem=system, schema=INDEX_SCHEMA)
+    newest = rows.group_by("file").aggregate([("written_us", "max")])
+    at = dict(zip(newest["file"].to_pylist(), newest["written_us_max"].to_pylist()))
+    out = {name: {} for name in at}
+    keep = pa.array(np.ones(len(rows), bool))
+    if lo is not None:
+        keep = pc.and_(keep, pc.greater_equal(rows["last_us"], lo))
+    if hi is not None:
+        keep = pc.and_(keep, pc.less(rows["first_us"], hi))
+    for batch in rows.filter(keep).to_batches():
+        for name, block, first, last, written in zip(*(c.to_pylist() for c in batch.columns)):
+            if written == at[name]:
+                out[name][block] = (first, last)
+    return out
+
+
 class RecordingReader(DataSourceReader):
     """Options: ``path``; ``record`` (packet, block or header); ``block_bytes``,
     ``pkt_size``, ``pkts_per_block`` (packets stored per block, padding excluded);
     ``blocks`` as "a-b" to read only that range of every file; ``split_bytes`` and
-    ``parallelism`` to size the tasks."""
+    ``parallelism`` to size the tasks; ``times`` to add the times of the first and the last
+    packet of the block; ``between`` as "lo:hi" (microseconds, either may be missing) to read
+    only blocks that can hold a packet of that time. Blocks without known times are read."""
 
     def __init__(self, options):
         self.path = options["path"]
         self.record = options.get("record", "packet")
         self.split = int(options.get("split_bytes", SPLIT_BYTES))
         self.parallelism = int(options.get("parallelism", 1))
+        self.times = options.get("times") == "true"
+        since, _, until = options.get("between", "").partition(":")
+        self.since, self.until = int(since) if since else None, int(until) if until else None
         if self.record == "header":
             self.block_bytes = int(options.get("block_bytes", 0))
             return
@@ -135,17 +175,30 @@ class RecordingReader(DataSourceReader):
         if self.record == "header":
             return _pack([FileRange(f.path, f.size, 0, 0) for f in found], lambda r: 0, limit)
         step = max(1, limit // self.block_bytes)
+        timed = self.times or self.since is not None or self.until is not None
+        known = block_times(self.path, self.since, self.until) if timed else {}
         ranges = []
         for f in found:
             n = max(0, f.size - HEADER_BYTES) // self.block_bytes
             stop = n if self.hi is None else min(n, self.hi)
-            ranges += [FileRange(f.path, f.size, b, min(b + step, stop))
-                       for b in range(self.lo, stop, step)]
+            times = known.get(posixpath.basename(f.path))
+            for b, end in [(self.lo, stop)] if times is None else _consecutive(times, self.lo, stop):
+                ranges += [FileRange(f.path, f.size, c, min(c + step, end), None if times is None else [
+                    times[i] for i in range(c, min(c + step, end))]) for c in range(b, end, step)]
         return _pack(ranges, lambda r: (r.last - r.first) * self.block_bytes, limit)
 
     def read(self, partition):
         for item in getattr(partition, "ranges", ()):
-            yield from self._read_range(item)
+            for batch in self._read_range(item):
+                yield self._with_times(batch, item) if self.times else batch
+
+    def _with_times(self, batch, item):
+        blocks = batch.column("block_index").to_numpy() - item.first
+        for i, name in enumerate(("first_ts", "last_ts")):
+            values = None if item.times is None else np.array([t[i] for t in item.times])[blocks]
+            column = pa.nulls(len(blocks), pa.int64()) if values is None else pa.array(values, pa.int64())
+            batch = batch.append_column(name, column.cast(pa.timestamp("us", "UTC")))
+        return batch
 
     def _read_range(self, partition):
         system, _ = resolve(self.path)
@@ -205,11 +258,23 @@ class RecordingReader(DataSourceReader):
             names=["file", "block_index", "packet_index", "payload"])
 
 
+def _consecutive(blocks, lo: int, hi: int):
+    """Runs [first, end) of consecutive block numbers within [lo, hi)."""
+    wanted = np.array(sorted(b for b in blocks if lo <= b < hi), np.int64)
+    cuts = np.flatnonzero(np.diff(wanted) > 1) + 1
+    return [(int(run[0]), int(run[-1]) + 1) for run in np.split(wanted, cuts) if len(run)]
+
+
 @dataclass
 class Written(WriterCommitMessage):
     moves: list
 
 
+def _micros(value: datetime.datetime) -> int:
+    aware = value if value.tzinfo else value.replace(tzinfo=datetime.timezone.utc)
+    return (aware - datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)) // datetime.timedelta(microseconds=1)
+
+
 class PushdownReader(RecordingReader):
     """Drops files and blocks that filters on ``file`` and ``block_index`` exclude.
 
@@ -227,6 +292,11 @@ class PushdownReader(RecordingReader):
             if column == ("file",) and isinstance(f, (EqualTo, In)):
                 names = {value} if isinstance(f, EqualTo) else set(value)
                 self.names = names if self.names is None else self.names & names
+            elif column == ("last_ts",) and self.times and isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual)):
+                self.since = max(_micros(value), self.since if self.since is not None else _micros(value))
+            elif column == ("first_ts",) and self.times and isinstance(f, (EqualTo, LessThan, LessThanOrEqual)):
+                until = _micros(value) + (not isinstance(f, LessThan))
+                self.until = until if self.until is None else min(until, self.until)
             elif column == ("block_index",) and self.record != "header":
                 if isinstance(f, (EqualTo, GreaterThanOrEqual, GreaterThan)):
                     self.lo = max(self.lo, value + isinstance(f, GreaterThan))
@@ -267,6 +337,15 @@ def _bytes_of(payloads):
     return data.slice(lo, hi - lo) if data is not None else pa.py_buffer(b"")
 
 
+def _merged_times(stats) -> pa.Table:
+    """One row a block, from pieces of it."""
+    names = ["file", "block_index", "first_us", "last_us"]
+    table = pa.table({n: [row[i] for row in stats] for i, n in enumerate(names)}).group_by(names[:2]).aggregate(
+        [("first_us", "min"), ("last_us", "max")]).rename_columns(names)
+    written = pa.array([time.time_ns() // 1000] * len(table), pa.int64())
+    return table.append_column("written_us", written).cast(INDEX_SCHEMA)
+
+
 class RecordingWriter(DataSourceArrowWriter):
     """Rows arrive sorted by (file, block_id, ordinal). Block -1 is the header.
 
@@ -288,7 +367,8 @@ class RecordingWriter(DataSourceArrowWriter):
         system, root = resolve(self.path)
         folder = posixpath.join(self._staging(root), uuid.uuid4().hex)
         system.create_dir(folder, recursive=True)
-        moves, state = [], {"file": None, "out": None, "block": None, "used": 0}
+        moves, state = [], {"file": None, "out": None, "block": None, "used": 0, "index": -1}
+        stats = []
 
         def finish_block():
             if state["block"] is None:
@@ -322,19 +402,28 @@ class RecordingWriter(DataSourceArrowWriter):
                         if block != -1:
                             raise ValueError(f"{file} does not begin with a header")
                         staged = posixpath.join(folder, file + SUFFIX)
-                        state.update(file=file, out=system.open_output_stream(staged))
+                        state.update(file=file, out=system.open_output_stream(staged), index=-1)
                         moves.append((staged, posixpath.join(root, file + SUFFIX)))
                     if block != state["block"]:
                         finish_block()
                         state["block"] = block
+                        state["index"] += block >= 0
                     data = _bytes_of(payloads.slice(start, stop - start))
                     state["out"].write(data)
                     state["used"] += data.size
+                    if block >= 0 and "at" in batch.schema.names:
+                        span = pc.min_max(batch.column("at").slice(start, stop - start)).as_py()
+                        if span["min"] is not None:
+                            stats.append((file + SUFFIX, state["index"], span["min"], span["max"]))
             finish_file()
         except BaseException:
             if state["out"] is not None:
                 state["out"].close()
             raise
+        if stats:
+            staged = posixpath.join(folder, "_times")
+            pq.write_table(_merged_times(stats), staged, filesystem=system)
+            moves.append((staged, posixpath.join(root, INDEX, f"{uuid.uuid4().hex}.parquet")))
         return Written(moves)
 
     def commit(self, messages):
@@ -348,6 +437,9 @@ class RecordingWriter(DataSourceArrowWriter):
             if found:
                 raise FileExistsError(f"{len(found)} recordings exist already, {min(found)} among them")
 
+        if any(posixpath.dirname(target) != root.rstrip("/") for target in targets):
+            system.create_dir(posixpath.join(root, INDEX), recursive=True)
+
         def place(move):
             staged, target = move
             if system.get_file_info(target).type == fs.FileType.File:
@@ -360,7 +452,8 @@ class RecordingWriter(DataSourceArrowWriter):
         with ThreadPoolExecutor(COMMIT_THREADS) as pool:
             list(pool.map(place, moves))
         if self.overwrite:
-            for f in _list(self.path)[1]:
+            earlier = system.get_file_info(fs.FileSelector(posixpath.join(root, INDEX), allow_not_found=True))
+            for f in [*_list(self.path)[1], *earlier]:
                 if f.path not in targets:
                     system.delete_file(f.path)
         self._drop_staging(system, root)
@@ -380,7 +473,8 @@ class RecordingSource(DataSource):
         return "recording"
 
     def schema(self):
-        return READ_SCHEMAS[self.options.get("record", "packet")]
+        found = READ_SCHEMAS[self.options.get("record", "packet")]
+        return found + ", first_ts timestamp, last_ts timestamp" if self.options.get("times") == "true" else found
 
     def reader(self, schema):
         # Spark refuses a reader with pushFilters unless its setting is on.
@@ -444,7 +538,8 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
     """Write recordings. Appending to a folder that has one of the same name is an error,
     unless ``replace`` allows it.
 
-    ``packets``: file, block_id, ordinal (position in the block), payload.
+    ``packets``: file, block_id, ordinal (position in the block), payload; with ``arrival_ts``
+    the times of every block are kept beside the recordings.
     ``headers``: file, header (binary, at most 4096 bytes); one row per file.
     A file is at most ``blocks_per_file`` blocks, so hashing by file gives tasks of
     bounded size whatever the share of one stream; payloads move once.
@@ -453,7 +548,8 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
     register(packets.sparkSession)
     rows = packets.select(
         "file", F.col("block_id").cast("bigint").alias("block_id"),
-        F.col("ordinal").cast("bigint").alias("ordinal"), "payload")
+        F.col("ordinal").cast("bigint").alias("ordinal"), "payload",
+        *([F.unix_micros(F.col("arrival_ts").cast("timestamp")).alias("at")] if "arrival_ts" in packets.columns else []))
     heads = headers.select(
         "file", F.lit(-1).cast("bigint").alias("block_id"),
         F.lit(0).cast("bigint").alias("ordinal"), F.col("header").alias("payload"))
@@ -464,7 +560,7 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
     heads = durable(heads)
     spread = packets.sparkSession.conf.get("spark.sql.shuffle.partitions")
     parts = -(-heads.count() * layout.file_bytes // TASK_BYTES)
-    both = rows.unionByName(heads)
+    both = rows.unionByName(heads, allowMissingColumns=True)
     moved = both.repartition(parts, "file") if parts > int(spread) else both.repartition("file")
     rows_per_batch = max(1, BATCH_BYTES // layout.pkt_size)
     with settings(packets.sparkSession, {
@@ -477,11 +573,14 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
 
 def read(spark: SparkSession, path: str, layout: Layout, record: str = "packet",
          direct: bool = False, blocks: str | None = None,
-         split_bytes: int = SPLIT_BYTES) -> DataFrame:
+         split_bytes: int = SPLIT_BYTES, times: bool = False,
+         between: tuple[datetime.datetime | None, datetime.datetime | None] | None = None) -> DataFrame:
     """Packets, blocks or headers of all recordings under ``path``.
 
     Filters on ``file`` and ``block_index`` limit what is read when the session has
-    ``spark.sql.python.filterPushdown.enabled`` on; ``blocks`` does so always.
+    ``spark.sql.python.filterPushdown.enabled`` on; ``blocks`` does so always. So do ``between``, a
+    time from which on and one before which a block must have a packet (blocks whose times were
+    not written are read), and filters on ``first_ts`` and ``last_ts``, the columns of ``times``.
     """
     register(spark)
     pushing = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
@@ -491,4 +590,8 @@ def read(spark: SparkSession, path: str, layout: Layout, record: str = "packet",
               .option("pkts_per_block", stored).option("split_bytes", split_bytes)
               .option("parallelism", spark.sparkContext.defaultParallelism)
               .option("push_filters", pushing))
+    if times and record != "header":
+        reader = reader.option("times", "true")
+    if between is not None:
+        reader = reader.option("between", ":".join("" if t is None else str(_micros(t)) for t in between))
     return (reader.option("blocks", blocks) if blocks else reader).load()

@@ -15,6 +15,7 @@ from framelake.functions.timestamps import gbps, whole_kb
 from framelake.operators import assemble, chained, metrics
 from framelake.operators.joins import attach
 from framelake.session import durable
+from framelake.sources import logs, tail
 
 STREAM = ["stream_id"]
 
@@ -233,3 +234,39 @@ def start(df: DataFrame, path: str, checkpoint: str, name: str | None = None,
     if name:
         writer = writer.queryName(name)
     return (writer.trigger(availableNow=True) if finite else writer).start()
+
+
+class LogRuns:
+    """``foreachBatch`` target for followed log lines: typed rows with the run and the line they
+    belong to. Lines of a log arrive in order, so what a micro-batch must know is how many
+    runs and lines each log had before; that is carried from one to the next.
+
+    A micro-batch that is repeated replaces what it wrote.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self.out = root, f"{root}/out"
+        none = logs.classify(spark.createDataFrame([], tail.SCHEMA)).withColumns(
+            {c: F.lit(0).cast("bigint") for c in ("run_id", "line_no")})
+        none.write.mode("overwrite").parquet(f"{self.out}/batch=-1")
+        spark.createDataFrame([], "log string, runs bigint, lines bigint").write.mode("overwrite").parquet(self._carry(-1))
+
+    def _carry(self, batch_id: int) -> str:
+        return f"{self.root}/carry/batch={batch_id}"
+
+    def __call__(self, lines: DataFrame, batch_id: int) -> None:
+        spark = lines.sparkSession
+        # Micro-batches are numbered without gaps.
+        before = spark.read.parquet(self._carry(batch_id - 1))
+        numbered = durable(logs.with_run(logs.classify(lines), "log", ["path", "offset"]))
+        known = attach(numbered, before, ["log"], "left", spread_by=["offset"], null_safe=True)
+        known.select(*[(F.col(c) + F.coalesce(b, F.lit(0))).alias(c) if b else F.col(c) for c, b in (
+            (c, {"run_id": "runs", "line_no": "lines"}.get(c)) for c in numbered.columns)]).write.mode(
+            "overwrite").parquet(f"{self.out}/batch={batch_id}")
+        here = numbered.groupBy("log").agg(
+            F.max("run_id").cast("bigint").alias("runs"), F.max("line_no").cast("bigint").alias("lines"))
+        both = before.unionByName(here).groupBy("log").agg(F.sum("runs").alias("runs"), F.sum("lines").alias("lines"))
+        both.write.mode("overwrite").parquet(self._carry(batch_id))
+
+    def result(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.out).drop("batch")

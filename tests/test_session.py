@@ -1,5 +1,7 @@
 """Shuffle widths and the shared folder."""
 
+import os
+
 import pytest
 
 from framelake import session
@@ -40,3 +42,12 @@ def test_cluster_needs_a_named_folder():
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_stored_tables_are_discarded(spark):
+    table = session.stored(spark.range(5), "test")
+    folder = table._stored_in.removeprefix("file:")
+    assert table.count() == 5 and os.path.isdir(folder)
+    session.discard(table)
+    assert not os.path.exists(folder)
+    session.discard()
