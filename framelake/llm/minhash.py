@@ -10,13 +10,16 @@ collection, so a hash that no other document has is dropped before any pair is f
 Tables give candidates; links are confirmed on the full sets, without ever writing down all
 pairs of a group:
 
+* large groups are settled first: each document is compared with one or two others that share a
+  single small hash with it, and a hash all of whose documents are connected then forms no
+  tables;
 * each key names one pivot, the document with the most collisions, and everything in it is
   compared with the pivot;
 * keys whose documents are then still in several components join their documents into
   groups, and there each document is compared, in numpy, with all of other components. A
   large group is cut into blocks, and each pair of blocks is one task.
 
-Both steps give edges that connect what is linked; components are the result.
+All steps give edges that connect what is linked; components are the result.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from framelake.llm import vocab, words, workers
 from framelake.llm.components import components
 from framelake.operators.joins import attach
-from framelake.session import stored
+from framelake.session import discard, stored
 
 WORDS = 5
 SIMILARITY = (75, 100)
@@ -126,18 +129,42 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
 
 # -- candidates ------------------------------------------------------------------------
 
-def tables(classes: DataFrame) -> DataFrame:
+def shared_hashes(classes: DataFrame) -> DataFrame:
+    """``rep``, ``slot``, ``h`` of the small hashes that occur more than once, with how often
+    (``n``) and in which document first (``anchor``). ``classes`` has ``rep`` and ``small``."""
+    hashes = classes.select("rep", F.posexplode("small").alias("slot", "h"))
+    # Stored before the join, so that Spark can split a hash that very many documents have.
+    repeated = stored(hashes.groupBy("slot", "h").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("anchor"))
+                      .filter("n > 1"), "repeated")
+    return hashes.join(repeated, ["slot", "h"])
+
+
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """One or two pairs for each document: with the least document that shares a hash with it, and
+    with the first document of its most frequent hash. ``a`` < ``b``."""
+    others = shared.filter("rep <> anchor")
+    each = others.groupBy("rep").agg(F.min("anchor").alias("least"), F.max(F.struct(
+        "n", (-F.col("anchor")).alias("first"))).alias("top"))
+    pairs = each.select("rep", F.explode(F.array_distinct(F.array("least", -F.col("top.first")))).alias("other"))
+    return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def unsettled(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """The hashes whose documents are in more than one component. Documents that share a table
+    and are not connected yet share such hashes on both sides, so no candidate is lost."""
+    known = shared.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "rep", "slot", "h", "n", F.coalesce("component", "rep").alias("label"))
+    mixed = known.groupBy("slot", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    return shared.join(stored(mixed.select("slot", "h"), "unsettled"), ["slot", "h"])
+
+
+def tables(shared: DataFrame) -> DataFrame:
     """``key``, ``rep`` and ``weight`` of every table entry that can hold a second document.
 
-    ``classes`` has ``rep`` and ``small``. A small hash must occur twice, and a document must
-    have such hashes in both collections; ``weight`` sums how often they occur.
+    A document must have shared hashes in both collections; ``weight`` sums how often they occur.
     """
-    hashes = classes.select("rep", F.posexplode("small").alias("slot", "h"))
-    # Stored before the join, so that Spark can split a hash that very many documents have.
-    repeated = stored(hashes.groupBy("slot", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
-    kept = hashes.join(repeated, ["slot", "h"])
     # At most 2 * SIDE entries for a document.
-    each = kept.groupBy("rep").agg(F.collect_list(F.struct("slot", "h")).alias("all"), F.sum("n").alias("weight"))
+    each = shared.groupBy("rep").agg(F.collect_list(F.struct("slot", "h")).alias("all"), F.sum("n").alias("weight"))
     left = F.filter("all", lambda x: x["slot"] < SIDE)
     right = F.filter("all", lambda x: x["slot"] >= SIDE)
     pairs = (each.select("rep", "weight", F.explode(left).alias("u"), right.alias("right"))
@@ -259,16 +286,24 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     grouped = usable.groupBy("f1", "f2", "n_shingles").agg(
         F.min("doc_id").alias("rep"), F.first("small").alias("small"))
     classes = stored(grouped, "classes")
-    entries = stored(tables(classes), "tables")
-    pairs = stored(stars(entries), "stars")
-    members = entries.select("rep").distinct().select(F.col("rep").alias("doc_id"), F.lit(True).alias("_in"))
+    shared = stored(shared_hashes(classes), "shared")
+    members = shared.select("rep").distinct().select(F.col("rep").alias("doc_id"), F.lit(True).alias("_in"))
     wanted = attach(picked.filter("doc_id IS NOT NULL"), stored(members, "wanted"), ["doc_id"], "inner")
     sets = stored(_sets(wanted.select("doc_id", "text"), n).filter(F.size("shingles") > 0), "sets")
-    links = stored(confirm(pairs, sets, similarity), "links")
-    labels = components(links)
+    # Large groups are settled on single hashes, before tables are formed of what is open.
+    early = stored(confirm(stored(first_pairs(shared), "first"), sets, similarity), "early")
+    settled = stored(components(early), "settled")
+    entries = stored(tables(unsettled(shared, settled)), "tables")
+    discard(shared, settled)
+    pairs = stored(stars(entries), "stars")
+    links = stored(confirm(pairs, sets, similarity), "links").union(early)
+    labels = stored(components(links), "labels")
     groups = stored(mixed_groups(entries, labels), "groups")
+    discard(entries, pairs, labels)
     more = stored(group_links(groups, sets, similarity), "more")
-    found = components(links.union(more))
+    discard(groups, sets)
+    found = stored(components(links.union(more)), "found")
+    discard(more)
     by_class = (classes.join(found, F.col("rep") == F.col("node"), "left")
                 .select("f1", "f2", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
     out = signed.join(by_class, ["f1", "f2", "n_shingles"], "left").select(
