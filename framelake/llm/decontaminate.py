@@ -182,26 +182,29 @@ def digest(found: str = "found"):
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents without any hit, with their columns as they were."""
-    mark = "_contamination"
+    mark = words.free_name(docs.columns, "_contamination")
     found = scan(docs, items, text, mark, **options)
     return found.filter(F.size(f"{mark}.hits") == 0).drop(mark)
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents with the runs of hit words taken out of ``text``; none is dropped."""
-    mark = "_contamination"
+    mark = words.free_name(docs.columns, "_contamination")
 
     def clean(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
-        out = []
-        for t, ss, es in zip(texts.to_pylist(), starts.to_pylist(), ends.to_pylist()):
-            if t and ss:
-                raw, kept, at = t.encode(), [], 0
-                for s, e in sorted(zip(ss, es)):
-                    kept.append(raw[at:max(at, s)])
-                    at = max(at, e)
-                t = (b"".join(kept) + raw[at:]).decode()
-            out.append(t)
-        return pa.array(out, pa.string())
+        parts = []
+        for begin, stop in vocab.byte_blocks(texts):
+            out, block = [], slice(begin, stop)
+            for t, ss, es in zip(texts[block].to_pylist(), starts[block].to_pylist(), ends[block].to_pylist()):
+                if t and ss:
+                    raw, kept, at = t.encode(), [], 0
+                    for s, e in sorted(zip(ss, es)):
+                        kept.append(raw[at:max(at, s)])
+                        at = max(at, e)
+                    t = (b"".join(kept) + raw[at:]).decode()
+                out.append(t)
+            parts.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     found = scan(docs, items, text, mark, **options)
     cut = F.arrow_udf(clean, "string")

@@ -168,8 +168,6 @@ def judge(docs: DataFrame, text: str = "text", into: str = "quality", most_lost:
 
 def clean(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """Documents kept, with their failing lines taken out of ``text`` and all columns as they were."""
-    mark = "_quality"
-    while mark in docs.columns:
-        mark += "_"
+    mark = words.free_name(docs.columns, "_quality")
     found = judge(docs, text, mark, **options).filter(F.col(f"{mark}.kept"))
     return found.withColumn(text, F.col(f"{mark}.text")).drop(mark)

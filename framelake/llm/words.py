@@ -28,6 +28,14 @@ LETTERS_DIGITS = (((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x41) & (_
                   | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A column name that none of the columns has, whatever their case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 @dataclasses.dataclass
 class Words:
     """Words of a block of texts, in order: hash, text they are of, byte range in ``data``,

@@ -77,3 +77,18 @@ def test_no_stage_reads_past_its_input(stages):
     assert names == ["documents", "language_id", "minhash_near_dedup", "decontamination", "secret_scan",
                      "best_fit_packing"]
     assert [len(rows) for _, rows in stages[:4]] == sorted((len(rows) for _, rows in stages[:4]), reverse=True)
+
+
+def test_columns_of_any_name_and_type_stay(spark, sf):
+    extra = {"language": F.lit("x"), "_language": F.lit(1), "_before": F.lit("b"), "_gone": F.lit(True), "_Contamination": F.lit(2),
+             "a.b": F.lit(3), "tags": F.create_map(F.lit("k"), F.col("source"))}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    docs = docs.union(docs.limit(1)).withColumns(extra)
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = corpus_pipeline.session.stored(stage(spark, kept, sf), "test")
+        assert kept.columns == docs.columns, name
+    rows = kept.collect()
+    assert rows and all((r["language"], r["_language"], r["_before"], r["_gone"], r["_Contamination"], r["a.b"], r["tags"])
+                        == ("x", 1, "b", True, 2, 3, {"k": r["source"]}) for r in rows)
+    assert len({r["doc_id"] for r in rows}) == len(rows)
