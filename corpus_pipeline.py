@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
-read again as the next stage's ``docs``. All but the last keep the columns of the documents.
+read again as the next stage's ``docs``. All but the last keep the columns of the documents, under
+whatever names and of whatever types others come with them.
 """
 
 from __future__ import annotations
@@ -11,32 +12,41 @@ from pyspark.sql import functions as F
 
 from framelake import session
 from framelake.llm import decontaminate, language, minhash, packing, secrets
+from framelake.llm.words import free_name
 from framelake.operators.joins import attach
 
 
+def _as_they_were(docs: DataFrame):
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those too far from any go, and so do texts
     that are null or have no letter."""
     session.ship_package(spark)
-    found = language.identify(docs.drop("language"))
-    return found.filter("NOT language.rejected").select(*docs.columns)
+    mark = free_name(docs.columns, "_language")
+    found = language.identify(docs, into=mark)
+    return found.filter(f"NOT {mark}.rejected").select(*_as_they_were(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id.
 
     Documents without words belong to no group. Of rows that share an id, which are one
-    document, the least stays; rows without an id all stay.
+    document, one stays, the least as JSON; rows without an id all stay.
     """
     session.ship_package(spark)
     found = session.stored(minhash.near_duplicates(docs), "near")
     gone = found.filter("NOT kept").select("doc_id").distinct()
     several = (found.filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
                .filter("n > 1").select("doc_id"))
-    marks = gone.select("doc_id", F.lit(True).alias("_gone")).union(several.select("doc_id", F.lit(False)))
+    mark = free_name(docs.columns, "_gone")
+    marks = gone.select("doc_id", F.lit(True).alias(mark)).union(several.select("doc_id", F.lit(False)))
     marked = attach(docs, session.stored(marks, "marks"), ["doc_id"])
-    once = marked.filter("_gone IS NULL").select(*docs.columns)
-    repeated = (marked.filter("NOT _gone").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("r"))
+    once = marked.filter(f"{mark} IS NULL").select(*_as_they_were(docs))
+    row = F.struct(*_as_they_were(docs))
+    # As JSON any row can be compared, one with maps too.
+    repeated = (marked.filter(f"NOT {mark}").groupBy("doc_id").agg(F.min_by(row, F.to_json(row)).alias("r"))
                 .select("r.*"))
     return once.union(repeated)
 
@@ -50,10 +60,11 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in the text replaced and ``n_chars`` brought up to date."""
     session.ship_package(spark)
-    cleaned = secrets.redact(docs.withColumn("_before", F.col("text")))
-    length = F.when(F.col("text").eqNullSafe(F.col("_before")), F.col("n_chars")).otherwise(
+    before = free_name(docs.columns, "_before")
+    cleaned = secrets.redact(docs.withColumn(before, F.col("text")))
+    length = F.when(F.col("text").eqNullSafe(F.col(before)), F.col("n_chars")).otherwise(
         F.length("text").cast("long"))
-    return cleaned.withColumn("n_chars", length).select(*docs.columns)
+    return cleaned.withColumn("n_chars", length).select(*_as_they_were(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
