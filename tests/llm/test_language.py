@@ -1,3 +1,4 @@
+import math
 import random
 import zlib
 
@@ -59,3 +60,58 @@ def test_clusters():
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
     centres = language.cluster(rows, 3)
     assert sorted(centres.argmax(1)) == [0, 1, 2]
+
+
+def plain_grams(text):
+    """Bigrams and trigrams of the words of a text, a space before and after each, in one line."""
+    line, inside = " ", False
+    for c in text.lower():
+        letter = ord(c) < 0x30000 and c.isalpha()
+        if letter or inside:
+            line += c if letter else " "
+        inside = letter
+    line += " "
+    return [line[i:i + 2] for i in range(len(line) - 1)] + [line[i:i + 3] for i in range(len(line) - 2)]
+
+
+def place(gram):
+    """The place of one gram by itself: the last bigram or trigram of a line that is just it."""
+    points = [ord(c) for c in gram]
+    mask = (1 << 32) - 1
+    a, b, c = int(language._A), int(language._B), int(language._C)
+    second = points[1] * b & mask
+    two = ((points[0] * a + second) & mask) ^ (second >> 15)
+    if len(gram) == 2:
+        return (two * b & mask) >> int(language._SHIFT)
+    three = (two * c & mask) ^ (points[2] * a & mask)
+    three ^= three >> 13
+    return (three * c & mask) >> int(language._SHIFT)
+
+
+def brute(text, model):
+    """Prediction by dictionaries and sums over them."""
+    found, letters = {}, sum(ord(c) < 0x30000 and c.isalpha() for c in text.lower())
+    if not letters:
+        return "und", 0.0, True
+    for gram in plain_grams(text):
+        found[place(gram)] = found.get(place(gram), 0) + 1
+    weights = {p: math.log1p(n) * float(model.idf[p]) for p, n in found.items()}
+    length = math.sqrt(sum(w * w for w in weights.values()))
+    cosines = [sum(w * float(centroid[p]) for p, w in weights.items()) / length for centroid in model.centroids]
+    best = max(range(len(cosines)), key=lambda i: cosines[i])
+    limit = model.limits[min(31, int(math.log2(letters)))]
+    return model.languages[best], cosines[best], cosines[best] < limit
+
+
+def test_predictions_equal_brute_force_on_the_given_texts(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.learn(docs.filter(~language.held_out(docs.doc_id)))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    texts |= {-1 - i: t for i, t in enumerate(["", "12 34", "a", "İstanbul ŞİŞE", "日本語の文章です" * 9, "ΑΣ α", "x\ny\tz", "\U00020000 \U00030000"])}
+    got = dict(zip(texts, model.predict(list(texts.values()))))
+    for i, text in texts.items():
+        lang, score, rejected = brute(text, model)
+        assert abs(got[i][1] - max(0.0, min(1.0, score))) < 1e-4, text[:50]
+        # Rounding may tip what is all but equal.
+        if abs(score - model.limits[min(31, int(math.log2(max(1, len(text)))))]) > 1e-4:
+            assert got[i][0] == lang and got[i][2] == rejected, text[:50]
