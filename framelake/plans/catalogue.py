@@ -489,9 +489,11 @@ def recording_range(spark, sf_dir):
 # --- streams -------------------------------------------------------------------------
 # The events, or what was derived from them, followed as a stream until drained.
 
-# What a micro-batch takes in, and how far behind the newest row another may come: results go
-# out while the stream runs, the rest at its end.
+# What a micro-batch takes in at first and what that grows to behind a backlog, what a task of it
+# reads, and how far behind the newest row another may come: results go out while the stream
+# runs, the rest at its end.
 FEED_BYTES = 1 << 20
+FEED_LIMITS = {"max_bytes": FEED_BYTES, "most_bytes": feed.MAX_BYTES, "split_bytes": 8 << 20}
 LATENESS = 24 * HOUR
 
 
@@ -508,7 +510,7 @@ def _drained(rows, step, ts="arrival_ts", hook=None):
 
 
 def _followed(spark, sf_dir):
-    return views.packets_of(views.follow(spark, sf_dir, "events", FEED_BYTES))
+    return views.packets_of(views.follow(spark, sf_dir, "events", **FEED_LIMITS))
 
 
 def _landed(rows, label, ts):
@@ -516,7 +518,7 @@ def _landed(rows, label, ts):
     spark = rows.sparkSession
     path = f"{session.scratch(spark, label)}/landed"
     rows.repartitionByRange(ts).sortWithinPartitions(ts).write.parquet(path)
-    return feed.follow(spark, path, rows.schema, session.scratch(spark, "feed"), FEED_BYTES, order="name")
+    return feed.follow(spark, path, rows.schema, session.scratch(spark, "feed"), order="name", **FEED_LIMITS)
 
 
 def stream_source(spark, sf_dir):

@@ -38,10 +38,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def follow(spark: SparkSession, sf_dir: str, name: str, max_bytes: int) -> DataFrame:
-    """A table as a stream, at most ``max_bytes`` of it in a micro-batch."""
+def follow(spark: SparkSession, sf_dir: str, name: str, **limits) -> DataFrame:
+    """A table as a stream; ``limits`` say how much of it a micro-batch takes in."""
     rows = table(spark, sf_dir, name)
-    return feed.follow(spark, f"{sf_dir}/{name}.parquet", rows.schema, session.scratch(spark, "feed"), max_bytes)
+    return feed.follow(spark, f"{sf_dir}/{name}.parquet", rows.schema, session.scratch(spark, "feed"), **limits)
 
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 The position of a feed is a file and a row in it. A micro-batch takes rows up to a number of
 bytes, so one large file is spread over several, and a task of it reads part of a row group.
+A feed that may grow takes in more with each micro-batch while more lies behind it, so that a
+long backlog is a few large micro-batches and not very many small ones.
 Files get their numbers when they are first seen, in a catalogue on shared storage; a restarted
 feed finds them in the same order and goes on where the checkpoint of its query stands.
 """
@@ -28,6 +30,8 @@ from framelake.sources.recording import resolve
 MAX_BYTES = 256 << 20
 SPLIT_BYTES = 32 << 20
 BATCH_ROWS = 8192
+# How much more a micro-batch of a growing feed takes in than the one before, while it is behind.
+GROWTH = 4
 # Entries of the catalogue are merged into one file when there are this many.
 MERGE_FILES = 64
 OPEN_THREADS = 16
@@ -89,13 +93,16 @@ class Rows(InputPartition):
 
 class FeedReader(DataSourceStreamReader):
     """Options: ``path`` (folder or file), ``catalogue`` (shared folder of this feed),
-    ``max_bytes`` (of a micro-batch, as stored without compression), ``split_bytes`` (of a task),
-    ``order`` (``time`` or ``name``: how files found together follow each other)."""
+    ``max_bytes`` (of a micro-batch, as stored without compression), ``most_bytes`` (what that may grow
+    to while the feed is behind), ``split_bytes`` (of a task), ``order`` (``time`` or ``name``: how files
+    found together follow each other)."""
 
     def __init__(self, options, schema: T.StructType):
         self.path = options["path"]
         self.folder = options["catalogue"]
         self.limit = max(1, int(options.get("max_bytes", MAX_BYTES)))
+        self.most = max(self.limit, int(options.get("most_bytes", 0)))
+        self.room = self.limit
         self.split = max(1, int(options.get("split_bytes", SPLIT_BYTES)))
         self.by_name = options.get("order") == "name"
         self.schema = schema
@@ -133,7 +140,7 @@ class FeedReader(DataSourceStreamReader):
         """As far as one micro-batch may go from where the last planned one ended."""
         self._discover()
         at = self.at or self.initialOffset()
-        file, row, left = at["file"], at["row"], self.limit
+        file, row, left = at["file"], at["row"], self.room
         while left > 0 and file < len(self.catalogue.files):
             before = 0
             for rows, size in self._groups(file):
@@ -154,6 +161,10 @@ class FeedReader(DataSourceStreamReader):
         # Spark calls this with the last offset twice when it goes on from a checkpoint.
         if self.catalogue is None:
             self.catalogue = Catalogue(self.folder)
+        if end != self.at:
+            # Planned anew, the same micro-batch changes nothing.
+            behind = end["file"] < len(self.catalogue.files)
+            self.room = min(self.most, self.room * GROWTH) if behind else self.limit
         self.at = end
         self.groups = {i: g for i, g in self.groups.items() if i >= start["file"]}
         last = end["file"] + (end["row"] > 0)
@@ -219,15 +230,16 @@ class FeedSource(DataSource):
 
 
 def follow(spark: SparkSession, path: str, schema: T.StructType, catalogue: str, max_bytes: int = MAX_BYTES,
-           split_bytes: int = SPLIT_BYTES, order: str = "time") -> DataFrame:
+           split_bytes: int = SPLIT_BYTES, order: str = "time", most_bytes: int = 0) -> DataFrame:
     """Stream over landed Parquet files, at most ``max_bytes`` a micro-batch: the poll limit and the
-    back-pressure of the stream. Only the columns of ``schema`` are read. ``catalogue`` is a
+    back-pressure of the stream. With ``most_bytes`` that limit grows up to there while the stream is
+    behind, and falls back when it has caught up. Only the columns of ``schema`` are read. ``catalogue`` is a
     shared folder that belongs to this query alone, as its checkpoint does. Files found together
     follow each other by their times, or with ``order="name"`` by their names."""
     spark.dataSource.register(FeedSource)
     return (spark.readStream.format("feed").schema(schema).option("path", path).option("catalogue", catalogue)
             .option("max_bytes", max_bytes).option("split_bytes", split_bytes)
-            .option("order", order).load())
+            .option("most_bytes", most_bytes).option("order", order).load())
 
 
 def drain(query: StreamingQuery) -> StreamingQuery:

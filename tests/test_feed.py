@@ -129,3 +129,25 @@ def test_missing_columns_are_null_and_types_are_those_asked_for(spark, tmp_path)
     rows = feed.follow(spark, str(tmp_path / "in"), schema, str(tmp_path / "files"))
     feed.drain(jobs.start(rows.filter(F.col("later").isNull()), str(tmp_path / "out"), str(tmp_path / "c"), finite=False))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_a_feed_that_is_behind_takes_in_more(spark, tmp_path):
+    """Twice the backlog is not twice the micro-batches; caught up, the limit is the first one again."""
+    steps = {}
+    for n in (800, 3200):
+        folder = tmp_path / str(n)
+        land(folder / "in", "a.parquet", 0, n)
+        options = {"path": str(folder / "in"), "catalogue": str(folder / "files"), "max_bytes": "1000", "most_bytes": "1000000"}
+        reader = feed.FeedReader(options, SCHEMA)
+        at, rows, steps[n] = reader.initialOffset(), [], 0
+        while (end := reader.latestOffset()) != at:
+            for part in reader.partitions(at, end):
+                rows += [i for b in reader.read(part) for i in b.column("seq").to_pylist()]
+            reader.partitions(at, end)
+            at, steps[n] = end, steps[n] + 1
+        assert rows == list(range(n)) and reader.room == reader.limit
+    assert steps[3200] <= steps[800] + 2 < 8
+    small = feed.follow(spark, str(tmp_path / "3200" / "in"), SCHEMA, str(tmp_path / "f"), 1000, most_bytes=4000)
+    query = feed.drain(jobs.start(small, str(tmp_path / "out"), str(tmp_path / "c"), finite=False))
+    sizes = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert sum(sizes) == 3200 and sizes[1] > 2 * sizes[0] and max(sizes) < 6 * sizes[0]
