@@ -25,6 +25,8 @@ from framelake.session import durable
 
 # Slices composed together by one task.
 FAN_IN = 64
+# Rows of a slice, which a task holds at once: a partition is cut into as many as it takes.
+SLICE_ROWS = 1 << 18
 # State before anything was emitted; low enough that adding a period is safe.
 NEVER = -(1 << 60)
 
@@ -217,9 +219,17 @@ def _entries(nodes: DataFrame, keys: list[str], key_ddl: str, initial: int) -> D
         above.groupBy(*keys, "_parent")).applyInPandas(descend, entry_ddl)
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """Laid-out rows with ``_part`` as the number of a slice of at most ``SLICE_ROWS`` rows."""
+    # Rows of a partition are numbered from 0 on in the lower bits.
+    piece = F.expr(f"({ROW} & {(1 << 33) - 1}) div {SLICE_ROWS}")
+    most = rows.agg(F.max(piece)).first()[0]
+    return rows.withColumn(PART, F.col(PART) * F.lit((most or 0) + 1) + piece)
+
+
 def _scan(rows: DataFrame, keys: list[str], value: str, rule, finish, finish_ddl: str) -> DataFrame:
     """Run ``rule`` over laid-out rows; ``finish(slice, chosen, before)`` shapes the output."""
-    key_ddl = _key_type(rows, keys)
+    key_ddl, rows = _key_type(rows, keys), _cut(rows)
 
     def summarise(group: pd.DataFrame) -> pd.DataFrame:
         values = group.sort_values(ROW)[value].to_numpy(dtype=np.int64)

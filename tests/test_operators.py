@@ -301,3 +301,27 @@ def test_layout_of_direct_mode(spark):
     rows = [("s", START + datetime.timedelta(seconds=i), i) for i in range(33)]
     direct = assemble.blocks(assemble.position(frame(spark, rows)), layout, direct=True).collect()
     assert [(r["n_batches"], r["pad_bytes"]) for r in direct] == [(1, 2720)] * 2
+
+
+def test_slices_are_cut_by_rows(spark, monkeypatch):
+    """However many rows a partition has, a task holds those of one slice."""
+    monkeypatch.setattr(chained, "SLICE_ROWS", 50)
+    monkeypatch.setattr(chained, "FAN_IN", 3)
+    rows = [(s, i, i * 37 % 61) for s, n in (("a", 1000), (None, 30), ("b", 333)) for i in range(n)]
+    df = spark.createDataFrame(rows, "stream_id string, i bigint, size bigint").repartition(2)
+    laid = ordered.lay_out(df.coalesce(1), ["stream_id"], ["i"])
+    cut = chained._cut(laid)
+    assert max(r["count"] for r in cut.groupBy(ordered.PART).count().collect()) <= 50
+    assert cut.groupBy().agg(F.max_by(ordered.PART, ordered.ROW), F.max(ordered.PART)).first()[:1] == (
+        cut.agg(F.max(ordered.PART)).first()[0],)
+    got = {(r["stream_id"], r["block_id"]): (r["n_records"], r["used_bytes"])
+           for r in chained.pack_variable(df, 100, "stream_id", ["i"], "size").collect()}
+    want = {}
+    for s in ("a", None, "b"):
+        block, used, n = -1, 101, 0
+        for _, _, size in (r for r in rows if r[0] == s):
+            if used + size > 100:
+                block, used, n = block + 1, 0, 0
+            used, n = used + size, n + 1
+            want[s, block] = (n, used)
+    assert got == want
