@@ -47,6 +47,8 @@ COMMIT_THREADS = 16
 OPEN_BYTES = 1 << 20
 # Rows per Arrow batch are chosen so that a batch stays around this size.
 BATCH_BYTES = 8 << 20
+# What a packet row takes beside its payload: names, numbers and offsets.
+ROW_BYTES = 64
 
 READ_SCHEMAS = {
     "packet": "file string, block_index bigint, packet_index bigint, payload binary",
@@ -215,7 +217,8 @@ class RecordingReader(DataSourceReader):
                 return
             # Whole blocks are read together while they are small; a large block is
             # read in pieces.
-            step = max(1, BATCH_BYTES // self.block_bytes)
+            step = max(1, BATCH_BYTES // self.block_bytes if self.record == "block"
+                       else batch_rows(self.pkt_size) // self.per_block)
             for first in range(partition.first, partition.last, step):
                 n = min(step, partition.last - first)
                 if self.record == "block":
@@ -228,7 +231,7 @@ class RecordingReader(DataSourceReader):
                         name, np.repeat(np.arange(first, first + n), self.per_block),
                         np.tile(np.arange(self.per_block), n), np.ascontiguousarray(body))
                 else:
-                    rows = max(1, BATCH_BYTES // self.pkt_size)
+                    rows = batch_rows(self.pkt_size)
                     for at in range(0, self.per_block, rows):
                         k = min(rows, self.per_block - at)
                         raw = self._read(src, k * self.pkt_size, first, at * self.pkt_size)
@@ -315,6 +318,11 @@ class PushdownReader(RecordingReader):
         return kept
 
 
+def batch_rows(pkt_size: int) -> int:
+    """Packets of an Arrow batch: short ones take more beside their payload than in it."""
+    return max(1, BATCH_BYTES // (pkt_size + ROW_BYTES))
+
+
 def _runs(files, blocks):
     """Ranges of consecutive rows with the same file and block."""
     if len(blocks) == 0:
@@ -562,9 +570,8 @@ def write(packets: DataFrame, headers: DataFrame, path: str, layout: Layout,
     parts = -(-heads.count() * layout.file_bytes // TASK_BYTES)
     both = rows.unionByName(heads, allowMissingColumns=True)
     moved = both.repartition(parts, "file") if parts > int(spread) else both.repartition("file")
-    rows_per_batch = max(1, BATCH_BYTES // layout.pkt_size)
     with settings(packets.sparkSession, {
-            "spark.sql.execution.arrow.maxRecordsPerBatch": str(rows_per_batch)}):
+            "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows(layout.pkt_size))}):
         (moved.sortWithinPartitions(*order)
          .write.format("recording").mode(mode)
          .option("path", path).option("block_bytes", layout.block_bytes)

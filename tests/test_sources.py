@@ -56,6 +56,19 @@ def test_large_blocks_are_read_in_pieces(spark, tmp_path, monkeypatch):
     assert sorted(pieces) == [(r[0], r[1], r[2], bytes(r[3])) for r in whole]
 
 
+def test_short_packets_come_in_batches_of_bounded_size(spark, tmp_path, monkeypatch):
+    """What a row takes beside its few bytes of payload counts too, in writing and in reading."""
+    monkeypatch.setattr(recording, "BATCH_BYTES", 1000)
+    path = str(tmp_path)
+    body, heads = placed(spark)
+    recording.write(body, heads, path, SMALL)
+    reader = recording.RecordingReader({
+        "path": path, "block_bytes": SMALL.block_bytes, "pkt_size": 10, "pkts_per_block": 10})
+    sizes = [batch.nbytes for split in reader.partitions() for batch in reader.read(split)]
+    assert sum(sizes) > 2000 and max(sizes) <= 1000
+    assert recording.batch_rows(9) * (9 + 40) < recording.BATCH_BYTES
+
+
 def test_block_header_and_range_views(spark, tmp_path):
     path = str(tmp_path)
     body, heads = placed(spark)
