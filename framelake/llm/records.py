@@ -145,7 +145,8 @@ def _fetched(batches):
             with system.open_input_file(path) as src:
                 src.seek(run[0]["at"])
                 data = src.read(run[-1]["at"] + run[-1]["length"] - run[0]["at"])
-            ids = [unframe(data[r["at"] - run[0]["at"]:][:r["length"]]) for r in run]
+            places = [(r["at"] - run[0]["at"], r["length"]) for r in run]
+            ids = [unframe(data[at:at + length]) for at, length in places]
             for row, found in zip(run, ids):
                 if len(found) != row["n_tokens"]:
                     raise ValueError(f"{row['file']} record {row['record']} does not match its index")

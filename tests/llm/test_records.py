@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from framelake.llm import records
@@ -53,3 +54,39 @@ def test_damage_is_refused():
             records.unframe(record[:i] + bytes([record[i] ^ 1]) + record[i + 1:])
     with pytest.raises(ValueError):
         records.unframe(record[:-1])
+
+
+def test_a_run_of_records_is_copied_once(monkeypatch):
+    """Taking the records out of what was read costs their own bytes, not the rest of the run each."""
+    sliced = []
+
+    class Counted(bytes):
+        def __getitem__(self, key):
+            found = bytes(self)[key]
+            sliced.append(len(found))
+            return found
+
+    class Read:
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            pass
+
+        def seek(self, _):
+            pass
+
+        def read(self, _):
+            return Counted(raw)
+
+        open_input_file = lambda self, _: self
+
+    parts = [records.frame(np.arange(i + 1, dtype="<u2").tobytes(), 2) for i in range(40)]
+    raw = b"".join(parts)
+    at = [sum(map(len, parts[:i])) for i in range(40)]
+    batch = pa.RecordBatch.from_pylist([
+        {"file": "f", "record": i, "at": at[i], "length": len(parts[i]), "n_tokens": i + 1} for i in range(40)])
+    monkeypatch.setattr(records, "resolve", lambda name: (Read(), name))
+    ((run, ids),) = records._fetched([batch])
+    assert len(run) == 40 and all(found.tolist() == list(range(i + 1)) for i, found in enumerate(ids))
+    assert sum(sliced) == len(raw)
