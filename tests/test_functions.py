@@ -214,3 +214,11 @@ def test_dates_agree_with_calendar(spark):
     rows = days.select("d", timestamps.mjd(F.col("d").cast("timestamp_ntz")).alias("m")).collect()
     zero = datetime.date(1858, 11, 17)
     assert all(r["m"] == (r["d"] - zero).days for r in rows)
+
+
+def test_an_address_beyond_four_octets_makes_no_frame(spark):
+    """Null rather than bytes that would decode to another address."""
+    rows = packets(spark).withColumn("src_ip", F.lit("10.17.256.12"))
+    framed = frames.encode_packets(rows)
+    assert [r["frame"] for r in framed.collect()] == [None, None]
+    assert {r["src_ip"] for r in frames.decode(framed.select("frame")).collect()} == {None}
