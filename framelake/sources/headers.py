@@ -23,6 +23,7 @@ from pyspark.sql.datasource import (
 
 from framelake.functions import header
 from framelake.functions.header import HEADER_BYTES
+from framelake.session import stored
 from framelake.sources.recording import resolve
 
 SUFFIX = ".header"
@@ -33,6 +34,8 @@ SPLIT_BYTES = 16 << 20
 # What opening a file counts for.
 OPEN_BYTES = 4096
 OPEN_THREADS = 16
+# Tasks that write files, for each core.
+TASKS_PER_CORE = 2
 SCHEMA = "path string, key string, header_text string"
 
 
@@ -210,17 +213,21 @@ def read_text(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES) ->
 
 
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Parsed headers, and the rejects with the reason they were refused."""
-    checked = header.validate(read_text(spark, path))
+    """Parsed headers, and the rejects with the reason they were refused. The files are opened
+    once: their texts are stored, for both tables."""
+    checked = header.validate(stored(read_text(spark, path), "headers"))
     good = header.parse(checked.filter("ok").select("path", "key", "header_text"))
     return good, checked.filter("not ok")
 
 
 def write_files(texts: DataFrame, path: str, key: str, mode: str = "append") -> None:
     """Write header texts (``key``, ``header_text``) as text files below ``path``, one a row. Rows
-    are not moved: every task writes those it has."""
-    texts.sparkSession.dataSource.register(HeaderSource)
-    (texts.select(F.col(key).cast("string").alias("key"), "header_text")
+    are dealt out evenly: a file costs far more than moving its text, and a small table that
+    lies in one partition is very many files."""
+    spark = texts.sparkSession
+    spark.dataSource.register(HeaderSource)
+    tasks = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    (texts.select(F.col(key).cast("string").alias("key"), "header_text").repartition(tasks)
      .write.format("headers").option("path", path).mode(mode).save())
 
 

@@ -74,3 +74,19 @@ def test_too_long_and_null_and_empty(spark, tmp_path):
         ("", ""), ("2", "")]
     headers.write_files(some.limit(0), str(tmp_path / "none"), "n")
     assert headers.read_text(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_table_in_one_partition_is_written_by_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "heads")
+    headers.write_files(texts(spark, 400).coalesce(1), path, "n")
+    sizes = [len(files_below(os.path.join(path, f))) for f in os.listdir(path) if f.startswith("part-")]
+    assert sum(sizes) == 400 and len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 100
+
+
+def test_files_are_opened_once_for_good_and_bad(spark, tmp_path):
+    path = str(tmp_path / "heads")
+    headers.write_files(texts(spark, 20), path, "n")
+    good, bad = headers.read(spark, path)
+    for name in files_below(path):
+        os.remove(name)
+    assert (good.count(), bad.count()) == (0, 20)
