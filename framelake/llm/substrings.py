@@ -54,28 +54,34 @@ def contexts(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH):
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, none, none
-    hashes, by_width, width, step = _BYTE[data], {}, 1, _STEP
+    # Arrays of a block are let go of, or narrowed, as soon as they can be: each takes eight times its bytes.
+    hashes, width, step = _BYTE[data], 1, _STEP
     while width < 4 * ANCHOR:
-        hashes = hashes[:-width] * step + hashes[width:]
-        width, step = 2 * width, step * step
-        by_width[width] = hashes
-    anchor, wide = words.mix(by_width[ANCHOR]), by_width[4 * ANCHOR]
-    del by_width, hashes
+        if width == ANCHOR:
+            anchor = words.mix(hashes)
+        wider = hashes[:-width] * step
+        wider += hashes[width:]
+        hashes, width, step = wider, 2 * width, step * step
+    wide = hashes
+    del hashes, wider
     # The least hash and, of equal ones, the last place.
-    least = (anchor & ~_PLACE) | (_PLACE - np.arange(len(anchor), dtype=np.uint64))
+    least = anchor & ~_PLACE
+    least |= np.arange(int(_PLACE), int(_PLACE) - len(anchor), -1).astype(np.uint64)
     span, size = length - ANCHOR + 1, 1
     while 2 * size <= span:
         least = np.minimum(least[:-size], least[size:])
         size *= 2
     if span > size:
         least = np.minimum(least[:size - span], least[span - size:])
-    at = (_PLACE - (least & _PLACE)).astype(np.int64)
+    least &= _PLACE
+    at = np.int32(_PLACE) - least.astype(np.int32)
+    del least
     # A window may not reach into the next text.
     inside = np.ones(len(at) + 1, bool)
     inside[-1] = False
     sizes = np.diff(bounds)
-    text = np.repeat(np.arange(len(sizes)), sizes)[:len(at)]
-    inside[:-1] = np.arange(len(at)) + length <= bounds[text + 1]
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[:len(at)]
+    inside[:-1] = np.arange(length, len(at) + length, dtype=np.int32) <= bounds[1:].astype(np.int32)[text]
     change = np.ones(len(at), bool)
     change[1:] = (at[1:] != at[:-1]) | ~inside[:-2]
     first = np.flatnonzero(change & inside[:-1])
@@ -88,7 +94,7 @@ def contexts(data: np.ndarray, bounds: np.ndarray, length: int = LENGTH):
     mark = wide[first] * _MIX + wide[first + (size - 4 * ANCHOR) // 2]
     mark = mark * _MIX + wide[first + size - 4 * ANCHOR]
     mark = words.mix(mark * _MIX + (size * 1024 + at[first] - first).astype(np.uint64))
-    text = text[first]
+    text = text[first].astype(np.int64)
     return (text, first - bounds[text], last - bounds[text], anchor[at[first]].view(np.int64), mark.view(np.int64))
 
 
@@ -125,29 +131,36 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     sorted by four symbols, and groups not yet single are split by the rank of the suffix
     twice as far on, until every suffix has a rank of its own."""
     n = len(symbols)
-    padded = np.concatenate([symbols.astype(np.uint64), np.zeros(4, np.uint64)])
-    key = (padded[:n] << 48) | (padded[1:n + 1] << 32) | (padded[2:n + 2] << 16) | padded[3:n + 3]
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
+    kind = _places(n)
+    padded = np.concatenate([symbols, np.zeros(4, np.uint16)])
+    key = padded[:n].astype(np.uint64)
+    for i in range(1, 4):
+        key <<= 16
+        key |= padded[i:n + i]
+    order = np.argsort(key, kind="stable").astype(kind)
+    key = key[order]
     head = np.ones(n, bool)
-    head[1:] = sorted_key[1:] != sorted_key[:-1]
+    head[1:] = key[1:] != key[:-1]
+    del key
     # The rank of a group is the place of its first member.
-    place = np.arange(n)
-    rank = np.empty(n + 1, np.int64)
-    rank[order] = np.maximum.accumulate(np.where(head, place, 0))
+    rank = np.empty(n + 1, kind)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n, dtype=kind), 0).astype(kind, copy=False))
     rank[n] = -1
     open_ = _unsorted(head)
     far = 4
     while len(open_):
         suffix = order[open_]
-        group = rank[suffix]
-        key = group * (n + 1) + rank[np.minimum(suffix + far, n)] + 1
-        by_key = np.argsort(key, kind="stable")
+        key = rank[suffix].astype(np.int64)
+        key *= n + 1
+        key += rank[np.minimum(suffix + far, n)]
+        by_key = np.argsort(key, kind="stable").astype(kind)
         suffix, key = suffix[by_key], key[by_key]
+        del by_key
         # Groups keep their places: open_ is ascending, and so is the first part of the key.
         order[open_] = suffix
         new = np.ones(len(open_), bool)
         new[1:] = key[1:] != key[:-1]
+        del key
         rank[suffix] = np.maximum.accumulate(np.where(new, open_, 0))
         last = np.ones(len(open_), bool)
         last[:-1] = new[1:]
@@ -156,10 +169,15 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
     return order
 
 
+def _places(n: int) -> type:
+    """Type of places among ``n`` symbols, and of sums of three of them: half as wide where it can be."""
+    return np.int32 if n < 1 << 29 else np.int64
+
+
 def _unsorted(head: np.ndarray) -> np.ndarray:
     last = np.ones(len(head), bool)
     last[:-1] = head[1:]
-    return np.flatnonzero(~(head & last))
+    return np.flatnonzero(~(head & last)).astype(_places(len(head)))
 
 
 def common_prefixes(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -170,22 +188,30 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
     are compared, four symbols at a time.
     """
     n = len(symbols)
-    before = np.full(n, -1)
+    kind = _places(n)
+    before = np.full(n, -1, kind)
     before[order[1:]] = order[:-1]
-    padded = np.concatenate([symbols.astype(np.int64), np.arange(-1, -9, -1)])
-    here = np.arange(n)
+    here = np.arange(n, dtype=kind)
     derived = (here > 0) & (before > 0)
-    derived[derived] = symbols[here[derived] - 1] == symbols[before[derived] - 1]
-    shared = np.zeros(n, np.int64)
-    live = np.flatnonzero(~derived & (before >= 0))
+    at = np.flatnonzero(derived).astype(kind)
+    derived[at] = symbols[at - 1] == symbols[before[at] - 1]
+    del at
+    shared = np.zeros(n, kind)
+    live = np.flatnonzero(~derived & (before >= 0)).astype(kind)
     a, b = live.copy(), before[live]
+    del before
     while len(live):
         same = (a < n) & (b < n)
-        same[same] = padded[a[same]] == padded[b[same]]
+        same[same] = symbols[a[same]] == symbols[b[same]]
         live, a, b = live[same], a[same] + 1, b[same] + 1
         shared[live] += 1
-    base = np.maximum.accumulate(np.where(derived, 0, here))
-    return np.maximum(shared[base] - (here - base), 0)[order]
+    here[derived] = 0
+    base = np.maximum.accumulate(here)
+    del here, derived
+    shared = shared[base]
+    base -= np.arange(n, dtype=kind)
+    shared += base
+    return np.maximum(shared, 0)[order]
 
 
 # A symbol above the bytes.
@@ -205,8 +231,10 @@ def repeated_windows(parts: list[np.ndarray], length: int = LENGTH):
     order = suffix_array(symbols)
     shared = common_prefixes(symbols, order)
     new = shared < length
-    classes = np.empty(len(symbols), np.int64)
-    classes[order] = np.cumsum(new)
+    del shared
+    classes = np.empty(len(symbols), order.dtype)
+    classes[order] = np.cumsum(new, dtype=order.dtype)
+    del order, new
     many = np.bincount(classes, minlength=classes.max() + 1)[classes] > 1
     return [(many[s:s + max(0, k - length + 1)], classes[s:s + max(0, k - length + 1)])
             for s, k in zip(starts, sizes)]

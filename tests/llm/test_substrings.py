@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -128,3 +129,21 @@ def test_parts_end_windows():
     count = collections.Counter(p.tobytes()[s:s + 3] for p in parts for s in range(len(p) - 2))
     for p, (many, _) in zip(parts, sub.repeated_windows(parts, 3)):
         assert many.tolist() == [count[p.tobytes()[s:s + 3]] > 1 for s in range(len(p) - 2)]
+
+
+def test_memory_of_a_block_and_of_a_shard():
+    rng = np.random.default_rng(3)
+    data = rng.integers(97, 123, 1 << 20).astype(np.uint8)
+    bounds = np.arange(0, len(data) + 1, 1 << 12)
+    parts = [p for at in range(0, len(data) // 2, 256) for p in (data[at:at + 256], data[at:at + 250])]
+
+    def peak(fn, *args):
+        tracemalloc.start()
+        fn(*args)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    # In multiples of the bytes; both were above 70 with arrays of 64 bits throughout.
+    assert peak(sub.contexts, data, bounds) < 56 * len(data)
+    assert peak(sub.repeated_windows, parts) < 64 * len(data)
