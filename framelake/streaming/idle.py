@@ -4,11 +4,13 @@ Packets are counted by window in the task that reads them, so that a busy stream
 keyed state as a few rows of a micro-batch. A stream then waits on an event-time timer: when the
 watermark passes the end of a window it goes out, with zero packets if none came, and the
 timer moves on to the next. The watermark is that of all streams: one that is silent is seen
-to be idle as long as any other is not.
+to be idle as long as any other is not. The state holds counts by spans of many windows, so that
+what a task asks of the state store does not grow with every window.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,6 +24,9 @@ from framelake.session import ROCKSDB_PROVIDER, settings
 from framelake.streaming import jobs
 
 COUNTS = "stream_id string, win bigint, n bigint, last_us bigint"
+# Windows whose counts are one entry of the state, and entries that go out as one table.
+SPAN = 1024
+SPANS_OUT = 64
 
 
 def _counted(seconds: int):
@@ -39,14 +44,15 @@ def _counted(seconds: int):
 
 
 class Windows(StatefulProcessor):
-    """State of a stream: counts of the windows that are not out yet, and the next one to go out."""
+    """State of a stream: counts of the windows that are not out yet, by spans of ``SPAN`` windows, and
+    the next window to go out."""
 
     def __init__(self, seconds: int):
         self.seconds = seconds
 
     def init(self, handle):
         self.handle = handle
-        self.counts = handle.getMapState("counts", "win bigint", "n bigint")
+        self.counts = handle.getMapState("counts", "span bigint", "n binary")
         self.next = handle.getValueState("next", "win bigint, timer bigint")
 
     def _wait(self, win: int) -> None:
@@ -54,18 +60,33 @@ class Windows(StatefulProcessor):
         at = (win + 1) * self.seconds * 1000
         self.handle.registerTimer(at)
 
+    def _span(self, span: int) -> np.ndarray | None:
+        held = self.counts.getValue((span,))
+        return np.frombuffer(held[0], "<i8") if held is not None else None
+
     def handleInputRows(self, key, rows, timerValues):
         state = self.next.get() if self.next.exists() else None
         begun, first = (state[0], state[1]) if state is not None else (None, None)
         for pdf in rows:
-            for win, n in zip(pdf["win"].tolist(), pdf["n"].tolist()):
-                if begun is not None and win < begun:
-                    continue        # behind the watermark: its window is out
-                old = self.counts.getValue((win,))
-                self.counts.updateValue((win,), ((old[0] if old is not None else 0) + n,))
-                if first is None or (begun is None and win < first):
-                    first = win
-                    self._wait(win)
+            wins, packets = pdf["win"].to_numpy(), pdf["n"].to_numpy()
+            if begun is not None:
+                # Behind the watermark: those windows are out.
+                wins, packets = wins[wins >= begun], packets[wins >= begun]
+            if not len(wins):
+                continue
+            order = np.argsort(wins, kind="stable")
+            wins, packets = wins[order], packets[order]
+            spans = wins // SPAN
+            for at in np.split(np.arange(len(wins)), np.flatnonzero(np.diff(spans)) + 1):
+                span = int(spans[at[0]])
+                held = self._span(span)
+                counts = held.copy() if held is not None else np.zeros(SPAN, "<i8")
+                np.add.at(counts, wins[at] - span * SPAN, packets[at])
+                self.counts.updateValue((span,), (counts.tobytes(),))
+            least = int(wins[0])
+            if first is None or (begun is None and least < first):
+                first = least
+                self._wait(least)
         if first is not None:
             self.next.update((begun, first))
         return iter(())
@@ -74,18 +95,21 @@ class Windows(StatefulProcessor):
         begun, first = self.next.get()
         win = first if begun is None else begun
         over = timerValues.getCurrentWatermarkInMs() // (self.seconds * 1000)
-        wins, packets = [], []
+        if win < over:
+            self.next.update((over, first))
+            self._wait(over)
         while win < over:
-            count = self.counts.getValue((win,))
-            if count is not None:
-                self.counts.removeKey((win,))
-            wins.append(win)
-            packets.append(count[0] if count is not None else 0)
-            win += 1
-        if wins:
-            self.next.update((win, first))
-            self._wait(win)
-        yield pd.DataFrame({"stream_id": pd.Series([key[0]] * len(wins), dtype=object), "win": wins, "packets": packets})
+            begin, parts = win, []
+            while win < over and len(parts) < SPANS_OUT:
+                span = win // SPAN
+                stop = min(over, (span + 1) * SPAN)
+                held = self._span(span)
+                parts.append(held[win - span * SPAN:stop - span * SPAN] if held is not None else np.zeros(stop - win, "<i8"))
+                if held is not None and stop == (span + 1) * SPAN:
+                    self.counts.removeKey((span,))
+                win = stop
+            yield pd.DataFrame({"stream_id": pd.Series([key[0]] * (win - begin), dtype=object),
+                                "win": np.arange(begin, win), "packets": np.concatenate(parts)})
 
     def close(self):
         pass

@@ -2,6 +2,8 @@
 
 import datetime
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +65,73 @@ def test_packets_without_a_time_are_ignored(live):
     live([("a", None), ("a", 10), ("a", 15)])
     _, seen = live([("a", 500)])
     assert seen["a", 0] == 2
+
+
+class _State:
+    """What the processor asks of its handle, counted."""
+
+    def __init__(self):
+        self.calls, self.held, self.value, self.timers = 0, {}, None, []
+
+    def getMapState(self, *schema):
+        return self
+
+    def getValueState(self, *schema):
+        return _Value(self)
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.held.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.held[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.held[key]
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+class _Value:
+    def __init__(self, state):
+        self.state = state
+
+    def exists(self):
+        return self.state.value is not None
+
+    def get(self):
+        return self.state.value
+
+    def update(self, value):
+        self.state.calls += 1
+        self.state.value = value
+
+
+def test_calls_to_the_state_do_not_grow_with_every_window():
+    state, processor = _State(), idle.Windows(60)
+    processor.init(state)
+    rng = np.random.default_rng(4)
+    want = np.zeros(100_000, np.int64)
+    out = []
+    for lo in (-50_000, -20_000, 20_000):
+        wins = rng.integers(lo, lo + 30_000, 40_000)
+        np.add.at(want, wins + 50_000, 1)
+        processor.handleInputRows(("a",), [pd.DataFrame({"win": wins[at:at + 10_000], "n": 1}) for at in range(0, 40_000, 10_000)], None)
+        state.watermark = (lo + 29_990) * 60_000 + 5
+        out += list(processor.handleExpiredTimer(("a",), state, None))
+        if lo < 0:
+            # Behind the watermark.
+            processor.handleInputRows(("a",), [pd.DataFrame({"win": [lo, lo + 29_989], "n": [7, 7]})], None)
+    out = pd.concat(out)
+    first = int(out["win"].iloc[0])
+    assert out["win"].tolist() == list(range(first, 49_990)) and set(out["stream_id"]) == {"a"}
+    assert not want[:first + 50_000].any() and out["packets"].tolist() == want[first + 50_000:99_990].tolist()
+    assert state.timers[-1] == (49_990 + 1) * 60_000
+    # 100,000 windows; every one was asked for and removed before.
+    assert state.calls < 2_000
