@@ -521,6 +521,12 @@ def _landed(rows, label, ts):
     return feed.follow(spark, path, rows.schema, session.scratch(spark, "feed"), order="name", **FEED_LIMITS)
 
 
+def _in_order(spark, sf_dir, *columns):
+    """Packets landed in the order of their times: a table that is not, such as one appended to
+    with older rows, would be further behind than the lateness and lose them."""
+    return _landed(views.packets(spark, sf_dir).select(*columns), "packets", "arrival_ts")
+
+
 def stream_source(spark, sf_dir):
     """The events, admitted by bytes, appended to a Parquet sink."""
     folder = f"{session.scratch(spark, 'appended')}/rows"
@@ -595,7 +601,7 @@ def stream_batches(spark, sf_dir):
 
 
 def stream_blocks(spark, sf_dir):
-    rows = jobs.as_blocks(_drained(_followed(spark, sf_dir).select("stream_id", "seq", "arrival_ts"), jobs.blocks(TINY)), TINY)
+    rows = jobs.as_blocks(_drained(_in_order(spark, sf_dir, "stream_id", "seq", "arrival_ts"), jobs.blocks(TINY)), TINY)
     return rows.withColumn("fill_ts", F.col("fill_ts").cast("timestamp_ntz"))
 
 
@@ -626,8 +632,7 @@ def stream_recording(spark, sf_dir):
     stream = (F.when(F.col("stream_id") == "view", None).when(F.col("stream_id") == "click", "a/b_c")
               .otherwise(F.col("stream_id")))
     padded = F.expr(f"substring(concat(payload, unhex(repeat('00', {SHORT.pkt_size}))), 1, {SHORT.pkt_size})")
-    rows = _followed(spark, sf_dir).select(
-        stream.alias("stream_id"), "seq", "arrival_ts", padded.alias("payload"))
+    rows = _in_order(spark, sf_dir, stream.alias("stream_id"), "seq", "arrival_ts", padded.alias("payload"))
     live = recorder(spark, session.scratch(spark, "live"), SHORT, {
         **views.HEADER_FIELDS, "pkt_header": SHORT.pkt_header, "pkt_data": SHORT.pkt_data}, LATENESS)
     _run(rows, live)
@@ -646,7 +651,7 @@ def stream_hook(spark, sf_dir):
     def publish(blocks, release):
         jobs.as_blocks(blocks, TINY).write.mode("overwrite").parquet(f"{folder}/release={release}")
 
-    _drained(_followed(spark, sf_dir).select("stream_id", "seq", "arrival_ts"), jobs.blocks(TINY), hook=publish)
+    _drained(_in_order(spark, sf_dir, "stream_id", "seq", "arrival_ts"), jobs.blocks(TINY), hook=publish)
     return spark.read.parquet(folder).select("stream_id", "block_id", "n_packets")
 
 
