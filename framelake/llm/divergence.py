@@ -8,6 +8,8 @@ each value counting as often as the run is long.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -24,6 +26,8 @@ SCALE = 1_000_000_000
 # Terms of a block and sources of a tile: what one task holds at once.
 BLOCK_TERMS = 16_384
 TILE = 64
+# Blocks of a range when the vocabulary is sorted.
+RANGE_BLOCKS = 4
 # Largest sources whose counts decide the order of terms one by one.
 LEADING = 16
 # Text whose terms are counted together before they leave a worker.
@@ -168,10 +172,11 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
     leading = F.array(*[F.sum(F.when(F.col("idx") == k, F.col("tf")).otherwise(0)) for k in range(LEADING)])
     rest = F.bit_xor(F.when(F.col("idx") >= LEADING, F.xxhash64("idx", "tf")).otherwise(0))
-    kept = counts.groupBy("lang", "term").agg(
+    kept = stored(counts.groupBy("lang", "term").agg(
         F.sum("tf").alias("n"), F.sum("df").alias("df"), leading.alias("leading"), rest.alias("rest")).filter(
-        F.col("df") >= least_docs).drop("df")
-    rows = ordered.lay_out(kept, ["lang"], ["leading", "rest", "term"])
+        F.col("df") >= least_docs).drop("df"), "kept")
+    width = max(1, math.ceil(kept.count() / (RANGE_BLOCKS * block_terms)))
+    rows = ordered.lay_out(kept, ["lang"], ["leading", "rest", "term"], width)
     in_part = F.col(ordered.ROW).bitwiseAND((1 << 33) - 1)
     rows = rows.select("lang", "term", "n", F.col(ordered.PART).cast("bigint").alias("part"),
                        F.expr(f"div({ordered.ROW} & {(1 << 33) - 1}, {block_terms})").alias("block"),
@@ -180,9 +185,10 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         F.min("_at").alias("_lo"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("_sum")))
     placed = stored(attach_bounded(rows, sizes, ["lang", "part", "block"]).select(
         "lang", "term", "n", "part", "block", (F.col("_at") - F.col("_lo")).alias("pos")), "placed")
-    cells = stored(attach(
-        counts.select("lang", "term", "idx", "tf"), placed.select("lang", "term", "part", "block", "pos"),
-        ["lang", "term"], "inner", spread_by=["idx"]).select(
+    # The vocabulary grows with the text, so both sides shuffle whatever its size: a broadcast would
+    # pass all of it through the driver. A term has no more rows than its language has sources.
+    cells = stored(counts.select("lang", "term", "idx", "tf").join(
+        placed.select("lang", "term", "part", "block", "pos").hint("merge"), ["lang", "term"]).select(
         "lang", "part", "block", "idx", "pos", F.col("tf").alias("n")), "cells")
 
     langs = durable(groups.groupBy("lang").agg(F.max("tiles").alias("tiles")).join(

@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pytest
 
+from framelake import session
 from framelake.llm import divergence
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -122,3 +123,38 @@ def test_a_long_text(spark):
     long = " ".join(f"word{chr(97 + i % 20)}" for i in range(400_000))
     rows = [(long, "en", "a")] + [("worda wordb", "en", "b")] * 9
     assert rows_of(divergence.audit(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
+
+
+def joins_of(spark, run):
+    """Joins in the plans of all jobs of a call, as they ran."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    jobs = store.executionsList()
+    plans = [jobs.apply(i).physicalPlanDescription() for i in range(before, store.executionsCount())]
+    return re.findall(r"^\(\d+\) (\w+Join\w*).*\n(?:(?!\(\d+\)).*\n)*?Left keys \[\d+\]: \[(.*)\]", "\n".join(plans), re.M)
+
+
+def test_the_vocabulary_does_not_pass_through_the_driver(spark):
+    df = spark.createDataFrame(sample(4), SCHEMA)
+    joins = joins_of(spark, lambda: divergence.audit(df).collect())
+    assert len(joins) > 5
+    assert {kind for kind, keys in joins if "term#" in keys} == {"SortMergeJoin"}
+
+
+def test_the_vocabulary_is_sampled_by_its_size(spark, monkeypatch):
+    parts = []
+
+    def lay_out(*args):
+        rows = laid(*args)
+        parts.append(rows.rdd.getNumPartitions())
+        return rows
+
+    laid = divergence.ordered.lay_out
+    monkeypatch.setattr(divergence.ordered, "lay_out", lay_out)
+    rows = sample(5)
+    with session.settings(spark, {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        found = rows_of(divergence.audit(spark.createDataFrame(rows, SCHEMA), block_terms=16))
+    assert found == brute(rows) and parts[0] <= 3
