@@ -52,11 +52,15 @@ def attach(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "left",
     keys = list(on)
     if fits_broadcast(dim, limit):
         dim = F.broadcast(dim)
-    elif spread_by:
-        ways = max(SALT_BUCKETS, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-        fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int"))
-        dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-        keys = keys + ["_salt"]
+    else:
+        if spread_by:
+            ways = max(SALT_BUCKETS, int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+            fact = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int"))
+            dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
+            keys = keys + ["_salt"]
+        # Spark's own estimate takes a stored table for its compressed bytes and leaves out the rows that the
+        # salt repeats, so without a hint it may broadcast what was found too large.
+        dim = dim.hint("merge")
     if null_safe:
         return _null_safe(fact, dim, keys, how).drop("_salt")
     return fact.join(dim, keys, how).drop("_salt")

@@ -325,3 +325,15 @@ def test_slices_are_cut_by_rows(spark, monkeypatch):
             used, n = used + size, n + 1
             want[s, block] = (n, used)
     assert got == want
+
+
+@pytest.mark.parametrize("spread_by", [None, ["id"]])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_a_side_measured_too_large_is_not_broadcast(spark, spread_by, null_safe):
+    """Nor by Spark itself, whose estimate of the same side can be far below its size."""
+    fact = spark.range(100).withColumn("k", F.col("id") % 7)
+    dim = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
+    joined = joins.attach(fact, dim, ["k"], "left", spread_by, limit=0, null_safe=null_safe)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {(r["id"], r["w"]) for r in joined.collect()} == {(i, i % 7 * 10) for i in range(100)}
